@@ -51,8 +51,7 @@ def percentage_convert(
     def project(frame: DataFrame, is_total: bool) -> DataFrame:
         out: list[Column] = [F.lit(is_total).alias("_total")]
         out += [
-            (c if not is_total else F.lit(None).cast("int")).alias(f"_s{i}")
-            for i, c in enumerate(order)
+            (F.lit(None) if is_total else c).alias(f"_s{i}") for i, c in enumerate(order)
         ]
         for field in df.schema:
             if field.name in numeric:
