@@ -16,6 +16,8 @@ from caseweave.plans import context as cx
 from caseweave.plans.adhoc import query_modify, query_run, register_views
 from caseweave.plans.queries import run_query
 from caseweave.plans.reports import MONTHLY_CM_OUTREACH, build_report
+from caseweave.session import tune
+from caseweave.sources.catalog import Sources
 from caseweave.sources.fixtures import fixture_sources
 
 WINDOW = ReportWindow("1997-01-01", "1997-12-31")
@@ -25,20 +27,24 @@ Query = Callable[[SparkSession, str], DataFrame]
 Context = Callable[[SparkSession, str], cx.ReportContext]
 
 
+def _sources(spark: SparkSession, sf_dir: str) -> Sources:
+    return fixture_sources(tune(spark), sf_dir)
+
+
 def _general(spark: SparkSession, sf_dir: str) -> cx.ReportContext:
-    return cx.general_context(fixture_sources(spark, sf_dir), WINDOW)
+    return cx.general_context(_sources(spark, sf_dir), WINDOW)
 
 
 def _monthly(spark: SparkSession, sf_dir: str) -> cx.ReportContext:
-    return cx.monthly_context(fixture_sources(spark, sf_dir), WINDOW)
+    return cx.monthly_context(_sources(spark, sf_dir), WINDOW)
 
 
 def _jac(spark: SparkSession, sf_dir: str) -> cx.ReportContext:
-    return cx.funder_context(fixture_sources(spark, sf_dir), WINDOW, "jac")
+    return cx.funder_context(_sources(spark, sf_dir), WINDOW, "jac")
 
 
 def _a2j(spark: SparkSession, sf_dir: str) -> cx.ReportContext:
-    return cx.a2j_context(fixture_sources(spark, sf_dir), WINDOW)
+    return cx.a2j_context(_sources(spark, sf_dir), WINDOW)
 
 
 def _query(context: Context, name: str, **options: object) -> Query:
@@ -53,31 +59,31 @@ def _rounded(query: Query, *columns: str) -> Query:
 
 
 def _stints(spark: SparkSession, sf_dir: str, max_slots: int | None = None) -> DataFrame:
-    s = fixture_sources(spark, sf_dir)
+    s = _sources(spark, sf_dir)
     return ep.stints(s.pstatus, s.participants, WINDOW, max_slots)
 
 
 def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ep.status_wide(fixture_sources(spark, sf_dir).pstatus)
+    return ep.status_wide(_sources(spark, sf_dir).pstatus)
 
 
 def _anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    participants = fixture_sources(spark, sf_dir).participants
+    participants = _sources(spark, sf_dir).participants
     return ep.status_anomalies(_wide(spark, sf_dir), participants, YEARS)
 
 
 def _case_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
-    participants = fixture_sources(spark, sf_dir).participants
+    participants = _sources(spark, sf_dir).participants
     return ep.stint_case_tally(_wide(spark, sf_dir), participants, WINDOW)
 
 
 def _programs_grants(spark: SparkSession, sf_dir: str, keep_ungranted: bool = False) -> DataFrame:
-    sources = fixture_sources(spark, sf_dir)
+    sources = _sources(spark, sf_dir)
     return cl.grants_cohort(sources, WINDOW, keep_ungranted=keep_ungranted).rows()
 
 
 def _idhs_vp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sources = fixture_sources(spark, sf_dir)
+    sources = _sources(spark, sf_dir)
     return cx.funder_context(sources, WINDOW, "idhs", "IDHS VP", "IDHS").cohort.rows()
 
 
@@ -130,7 +136,7 @@ def queries() -> dict[str, Query]:
         "stints_max_slots": lambda s, d: _stints(s, d, max_slots=5),
         "status_anomalies": _anomalies,
         "max_status_count": lambda s, d: ep.max_status_count(
-            fixture_sources(s, d).pstatus, YEARS
+            _sources(s, d).pstatus, YEARS
         ),
         "stint_case_tally": _case_tally,
         "stint_count": lambda s, d: ep.stint_count(_stints(s, d)),
@@ -144,7 +150,7 @@ def queries() -> dict[str, Query]:
         "grant_cohort": lambda s, d: j(s, d).cohort.rows(),
         "grant_cohort_idhs_vp": _idhs_vp,
         "a2j_cohort": lambda s, d: a(s, d).cohort.rows(),
-        "hd_cohort": lambda s, d: cx.hd_context(fixture_sources(s, d), WINDOW).cohort.rows(),
+        "hd_cohort": lambda s, d: cx.hd_context(_sources(s, d), WINDOW).cohort.rows(),
         # demographics
         "dem_age_tally": _query(g, "dem_age_tally"),
         "dem_age_tally_t1": _query(g, "dem_age_tally", age=21, cutoff="t1"),

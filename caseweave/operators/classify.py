@@ -64,8 +64,8 @@ def grants_cohort(
     keep_ungranted: bool = False,
 ) -> Cohort:
     """Episodes with programs and grants, not yet classified."""
-    known = sources.participants.select(PID).distinct()
-    spans = episodes(sources.pstatus, window, max_slots).join(known, PID, "left_semi")
+    # Unknown participants have no services, so their episodes meet nothing.
+    spans = episodes(sources.pstatus, window, max_slots)
     return Cohort(
         with_stint_count(spans),
         cohort_grants(sources.participants, sources.grant_type, window, keep_ungranted),
@@ -164,7 +164,7 @@ def classify_concat(cohort: AnyCohort | DataFrame) -> DataFrame:
 
     if isinstance(cohort, Cohort):
         left = cohort.episodes.groupBy(PID).agg(*joined(dates))
-        right = cohort.services.groupBy(PID, *names).agg(*joined([*texts, *FLAG_COLUMNS]))
+        right = cohort.served().groupBy(PID, *names).agg(*joined([*texts, *FLAG_COLUMNS]))
         out = right.join(left, PID)
     else:
         out = as_cohort(cohort).rows().groupBy(PID, *names).agg(

@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseweave.functions.matching import flag
@@ -24,11 +25,23 @@ PID = "participant_id"
 
 
 class Cohort:
-    """Episodes and services per participant, joined on demand."""
-
-    def __init__(self, episodes: DataFrame, services: DataFrame):
+    """Episodes and services per participant, joined on demand.
+
+    ``member``: a participant belongs only if some service meets this condition.
+    ``kept``: services that count once membership is decided.
+    """
+
+    def __init__(
+        self,
+        episodes: DataFrame,
+        services: DataFrame,
+        member: Column | None = None,
+        kept: Column | None = None,
+    ):
         self.episodes = episodes
         self.services = services
+        self.member = member
+        self.kept = kept
 
     @property
     def columns(self) -> list[str]:
@@ -38,74 +51,116 @@ class Cohort:
     def _only(df: DataFrame) -> list[str]:
         return [c for c in df.columns if c != PID]
 
+    def _with(self, episodes: DataFrame | None = None, services: DataFrame | None = None) -> Cohort:
+        return Cohort(
+            self.episodes if episodes is None else episodes,
+            self.services if services is None else services,
+            self.member,
+            self.kept,
+        )
+
+    def served(self) -> DataFrame:
+        """Services that count, of participants that belong."""
+        out = self.services if self.kept is None else self.services.where(self.kept)
+        if self.member is None:
+            return out
+        members = self.services.where(self.member).select(PID).distinct()
+        return out.join(members, PID, "left_semi")
+
+    def _per_person(self, **aggregates: Column) -> DataFrame:
+        """One row per belonging participant with services that count.
+
+        Membership is one more aggregate, so the services are read once.
+        Aggregates must look at counting services only (see ``_counting``).
+        """
+        checks = {}
+        if self.member is not None:
+            checks["_member"] = F.max(flag(self.member))
+        if self.kept is not None:
+            checks["_kept"] = F.max(flag(self.kept))
+        if not checks and not aggregates:
+            return self.services.select(PID).distinct()
+        out = self.services.groupBy(PID).agg(
+            *[a.alias(n) for n, a in {**aggregates, **checks}.items()]
+        )
+        for name in checks:
+            out = out.where(F.col(name) == 1)
+        return out.select(PID, *aggregates)
+
+    def _counting(self, condition: Column) -> Column:
+        return condition if self.kept is None else self.kept & condition
+
     def rows(self) -> DataFrame:
         """One row per (episode, service) of a participant."""
-        return self.episodes.join(self.services, PID)
+        return self.episodes.join(self.served(), PID)
 
     # -- derivation -------------------------------------------------------
 
     def with_episode(self, **cols: Column) -> Cohort:
-        return Cohort(self.episodes.withColumns(cols), self.services)
+        return self._with(episodes=self.episodes.withColumns(cols))
 
     def with_service(self, **cols: Column) -> Cohort:
-        return Cohort(self.episodes, self.services.withColumns(cols))
+        return self._with(services=self.services.withColumns(cols))
 
     def where_episode(self, condition: Column) -> Cohort:
-        return Cohort(self.episodes.where(condition), self.services)
+        return self._with(episodes=self.episodes.where(condition))
 
     def where_service(self, condition: Column) -> Cohort:
-        return Cohort(self.episodes, self.services.where(condition))
+        if self.member is None:
+            return self._with(services=self.services.where(condition))
+        return Cohort(self.episodes, self.services, self.member, self._counting(condition))
 
     def join_people(self, facts: DataFrame) -> Cohort:
         """Add columns of a table with one row per participant (inner join)."""
-        return Cohort(self.episodes, self.services.join(facts, PID))
+        return self._with(services=self.services.join(facts, PID))
 
-    def at_last_episode_where(self, service_condition: Column) -> Cohort:
-        """All rows dated at the latest active_date among rows that meet the condition.
+    def at_last_episode_where(self, condition: Column) -> Cohort:
+        """All rows dated at the latest active_date among rows whose service meets a condition.
 
         A participant's episodes go with each of their services, so the latest
-        matching date is the latest date of any participant with a match.
+        matching date is the latest date of any participant with a match. The
+        window holds the episodes of one participant: two per day at most.
         """
-        matched = self.services.where(service_condition).select(PID).distinct()
-        last = (
-            self.episodes.groupBy(PID)
-            .agg(F.max("active_date").alias("active_date"))
-            .join(matched, PID, "left_semi")
+        last = F.max("active_date").over(W.partitionBy(PID))
+        episodes = self.episodes.withColumn("_last", last).where(
+            F.col("active_date") == F.col("_last")
         )
-        return Cohort(self.episodes.join(last, [PID, "active_date"], "left_semi"), self.services)
+        member = self._counting(condition)
+        if self.member is not None:
+            raise ValueError("membership is already decided")
+        return Cohort(episodes.drop("_last"), self.services, member, self.kept)
 
     # -- reductions -------------------------------------------------------
 
     def people(self) -> DataFrame:
         """Distinct participant ids."""
-        served = self.services.select(PID).distinct()
-        return self.episodes.select(PID).distinct().join(served, PID, "left_semi")
+        return self.episodes.select(PID).distinct().join(self._per_person(), PID, "left_semi")
 
     def distinct(self, episode: Sequence[str] = (), service: Sequence[str] = ()) -> DataFrame:
         """Distinct (participant, episode columns, service columns)."""
         left = self.episodes.select(PID, *episode).distinct()
-        right = self.services.select(PID, *service).distinct()
-        return left.join(right, PID, "inner" if service else "left_semi")
+        if not service:
+            return left.join(self._per_person(), PID, "left_semi")
+        return left.join(self.served().select(PID, *service).distinct(), PID)
 
     def person_flags(
         self, flags: dict[str, Column], episode: Sequence[str] = ()
     ) -> DataFrame:
         """One row per (participant, episode columns): 1 where any service meets a condition."""
-        marks = self.services.groupBy(PID).agg(
-            *[F.max(flag(cond)).alias(name) for name, cond in flags.items()]
+        marks = self._per_person(
+            **{name: F.max(flag(self._counting(cond))) for name, cond in flags.items()}
         )
         return self.episodes.select(PID, *episode).distinct().join(marks, PID)
 
     def episode_facts(self, **aggregates: Column) -> DataFrame:
         """One row per participant with aggregates over the episodes."""
-        served = self.services.select(PID).distinct()
         facts = self.episodes.groupBy(PID).agg(*[a.alias(n) for n, a in aggregates.items()])
-        return facts.join(served, PID, "left_semi")
+        return facts.join(self._per_person(), PID, "left_semi")
 
     def row_counts(self, episode: Sequence[str] = ()) -> DataFrame:
         """(participant, episode columns, n_rows): how often a pair occurs in ``rows()``."""
         left = self.episodes.groupBy(PID, *episode).agg(F.count(F.lit(1)).alias("_ne"))
-        right = self.services.groupBy(PID).agg(F.count(F.lit(1)).alias("_ns"))
+        right = self._per_person(_ns=F.count(flag(self._counting(F.lit(True)))))
         return left.join(right, PID).select(
             PID, *episode, (F.col("_ne") * F.col("_ns")).alias("n_rows")
         )

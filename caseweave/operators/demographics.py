@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caseweave.functions.aggregates import best_row
 from caseweave.functions.dates import ReportWindow, add_years, age_years
 from caseweave.functions.matching import ci_contains, flag
 from caseweave.functions.ranking import numbered_rows
@@ -99,15 +100,17 @@ def dem_recent_address_neighborhood(
     """
     out = [PID, "location", "primary_address", "entered_date", "updated_date", "neighborhood"]
     known = F.when(~ci_contains("neighborhood", "other"), F.lit(1)).otherwise(F.lit(0))
-    # The reduction to cohort people comes with distinct names, one row each.
-    named = as_cohort(cohort).distinct(service=["first_name", "last_name"])
-    listed = neighborhoods.join(named.select(PID), PID)
-    numbered = numbered_rows(
-        listed,
-        PID,
-        coarse={"primary": F.lower("primary_address"), "entered": F.col("entered_date")},
-        fine=[known.asc(), F.col("address_id").asc()],
-    )
+    primary, entered = F.lower("primary_address"), F.col("entered_date")
+    places = neighborhoods.where(F.col(PID).isNotNull())
     if latest_only:
-        numbered = numbered.where(F.col("rn") == 1)
-    return numbered.select(*out, "rn")
+        order = [primary, entered, -known, -F.col("address_id")]
+        numbered = best_row(places, PID, order).withColumn("rn", F.lit(1))
+    else:
+        numbered = numbered_rows(
+            places,
+            PID,
+            coarse={"primary": primary, "entered": entered},
+            fine=[known.asc(), F.col("address_id").asc()],
+        )
+    people = as_cohort(cohort).people()
+    return numbered.join(people, PID, "left_semi").select(*out, "rn")

@@ -92,15 +92,19 @@ def episodes(
     ).where(F.col("status_date") <= window.end)
 
     day, nxt = F.col("status_date"), F.col("next_date")
-    within = F.when(F.col("closed_same_day") == 1, F.struct(day.alias("a"), day.alias("c")))
-    onward = F.when(
-        (F.col("last_state") == _ACTIVE) & (nxt.isNull() | (F.col("next_state") == _CLOSED)),
-        F.struct(day.alias("a"), nxt.alias("c")),
+    same_day = F.col("closed_same_day") == 1
+    onward = (F.col("last_state") == _ACTIVE) & (
+        nxt.isNull() | (F.col("next_state") == _CLOSED)
+    )
+    found = F.array(
+        F.when(same_day, F.struct(day.alias("a"), day.alias("c"))),
+        F.when(onward, F.struct(day.alias("a"), nxt.alias("c"))),
     )
-    found = F.filter(F.array(within, onward), lambda e: e.isNotNull())
     return (
-        following.select(PID, F.explode(found).alias("e"))
+        following.where(same_day | onward)
+        .select(PID, F.explode(found).alias("e"))
         .select(PID, F.col("e.a").alias("active_date"), F.col("e.c").alias("closed_date"))
+        .where(F.col("active_date").isNotNull())
         .where(overlaps(F.col("active_date"), F.col("closed_date"), window))
     )
 

@@ -146,15 +146,9 @@ def jac_cm_sessions(
         PID, "case_session_id"
     )
     served = kept.join(_managed(cohort, program), PID, "left_semi")
-    sessions = served.select("case_session_id").distinct().agg(
-        F.count("case_session_id").alias("n")
-    )
-    people = served.select(PID).distinct().agg(F.count(PID).alias("n"))
-    return people.select(
-        F.try_divide(sessions.scalar().cast("double"), F.col("n").cast("double")).alias(
-            "avg_sessions"
-        )
-    )
+    n_sessions = F.countDistinct("case_session_id").cast("double")
+    n_people = F.countDistinct(PID).cast("double")
+    return served.agg(F.try_divide(n_sessions, n_people).alias("avg_sessions"))
 
 
 def jac_transpo_assist(cohort: Q) -> DataFrame:

@@ -16,7 +16,6 @@ from caseweave import fixed_values as fv
 from caseweave.functions.aggregates import (
     concat_distinct,
     distinct_flags,
-    earliest_rows,
     order_by_rank,
     rank_of,
 )
@@ -346,9 +345,11 @@ def legal_case_statuses(
     by_outcome = F.when(
         within(outcome_lag) & F.col("case_outcome").isNotNull(), entry(2, "case_outcome")
     )
-    entries = F.filter(F.array(by_status, by_outcome), lambda e: e.isNotNull())
-    listed = served.select("case_id", "charge", F.explode(entries).alias("e")).select(
-        "case_id", "charge", "e.part", F.col("e.label").alias("case_status_current")
+    entries = F.explode(F.array(by_status, by_outcome))
+    listed = (
+        served.select("case_id", "charge", entries.alias("e"))
+        .where(F.col("e").isNotNull())
+        .select("case_id", "charge", "e.part", F.col("e.label").alias("case_status_current"))
     )
     counts = distinct_flags(listed, ["part", "case_status_current"], "case_id", _charge_flags())
     return order_by_rank(counts, "case_status_current", fv.CASE_STATUS_ORDER).drop("part")
@@ -443,12 +444,21 @@ def legal_case_type_first(
     percentage: bool = False,
     case_client: str = "case",
 ) -> DataFrame:
-    """As ``legal_case_type``, for the earliest arrest date of each participant."""
-    cases = legal.select(PID, "case_id", "arrest_date", "charge", "case_type")
-    served = _since_last_close(cases, last_close).join(
-        as_cohort(cohort).people(), PID, "left_semi"
+    """As ``legal_case_type``, for the earliest arrest date of each participant.
+
+    The first arrest comes from distinct arrest dates; the cases of that day
+    are then found by (participant, day).
+    """
+    arrests = legal.select(PID, "arrest_date").distinct()
+    first = (
+        _since_last_close(arrests, last_close)
+        .groupBy(PID)
+        .agg(F.min("arrest_date").alias("arrest_date"))
+        .join(as_cohort(cohort).people(), PID, "left_semi")
     )
-    return _case_type_report(earliest_rows(served, PID, "arrest_date"), case_client, percentage)
+    cases = legal.select(PID, "case_id", "arrest_date", "charge", "case_type")
+    on_first = cases.join(first, [PID, "arrest_date"], "left_semi")
+    return _case_type_report(on_first, case_client, percentage)
 
 
 def _pending_at(day: Column) -> Column:

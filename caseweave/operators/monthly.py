@@ -39,7 +39,9 @@ def grouped_by_status(cohort: Q, program_grant: str = "grant") -> DataFrame:
     both = F.array(
         F.col("client_status"), F.when(F.col("new_client") == "new client", F.lit("new client"))
     )
-    listed = marked.withColumn("client_status", F.explode(F.array_compact(both)))
+    listed = marked.withColumn("client_status", F.explode(both)).where(
+        F.col("client_status").isNotNull()
+    )
     per_person = listed.groupBy("client_status", "participant_id").agg(
         *[F.max(f"f_{n}").alias(n) for n in flags]
     )
