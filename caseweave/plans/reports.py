@@ -133,7 +133,8 @@ def shared_cohort(ctx: ReportContext, reliable: bool = False) -> Iterator[Report
 
     kept: list[DataFrame] = []
     if isinstance(ctx.cohort, Cohort):
-        kept = [keep(ctx.cohort.episodes), keep(ctx.cohort.services)]
+        # Membership is settled here, so that the blocks need not check it again.
+        kept = [keep(ctx.cohort.episodes), keep(ctx.cohort.served())]
         cohort = Cohort(*kept)
     else:
         kept = [keep(ctx.cohort.rows())]
