@@ -18,13 +18,13 @@ CLIENT_STATUS_ORDER = ["active client", "new client", "closed out"]
 JUVENILE = "juvenile"
 EMERGING_ADULT = "emerging adult"
 
-# Document families (name, strict name part, loose alternatives as regex).
+# Document families (name, part of a well-formed name, texts that mark the family).
 DOCUMENT_FAMILIES = [
-    ("assm_isp", "ASSM_ISP", "ASSM|ISP|Matrix|service"),
-    ("fcs", "FCS", "FCS|Crime"),
-    ("bp", "BP", "BP|Buss"),
-    ("pcl", "PCL", "PCL|PLC|Post-Traumatic"),
-    ("cdc", "CDC", "CDC|Achievement|_AM*"),
+    ("assm_isp", "ASSM_ISP", ["ASSM", "ISP", "Matrix", "service"]),
+    ("fcs", "FCS", ["FCS", "Crime"]),
+    ("bp", "BP", ["BP", "Buss"]),
+    ("pcl", "PCL", ["PCL", "PLC", "Post-Traumatic"]),
+    ("cdc", "CDC", ["CDC", "Achievement", "_A"]),
 ]
 DOCUMENT_DATE_SUFFIX = "[01][0-9][0-3][0-9][12][0-9]{3}$"
 

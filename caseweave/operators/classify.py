@@ -97,11 +97,17 @@ def service_rules() -> list[tuple[str, Column]]:
 def classify(
     cohort: AnyCohort | DataFrame, rules: Sequence[tuple[str, Column]] | None = None
 ) -> AnyCohort:
-    """Add one 1/NULL flag per rule; rules read program and grant columns only."""
-    out = as_cohort(cohort)
-    for name, condition in service_rules() if rules is None else rules:
-        out = out.with_service(**{name: flag(condition)})
-    return out
+    """Add one 1/NULL flag per rule, in one projection.
+
+    Rules read program and grant columns and the flags of earlier rules; their
+    names must be new columns.
+    """
+    c = as_cohort(cohort)
+    flags = dict(service_rules() if rules is None else rules)
+    taken = sorted(flags.keys() & set(c.columns))
+    if taken:
+        raise ValueError(f"cohort already has columns {taken}")
+    return c.with_service(**{name: flag(condition) for name, condition in flags.items()})
 
 
 def build_cohort(
