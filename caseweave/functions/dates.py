@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -60,3 +62,10 @@ def age_years(birth: Column | str, at: Column | str) -> Column:
 def overlaps(start: Column, end: Column, w: ReportWindow) -> Column:
     """Interval [start, end] meets the window; a NULL end is still running."""
     return (start <= w.end) & (end.isNull() | (end >= w.start))
+
+
+def in_years(c: Column | str, years: Sequence[int]) -> Column:
+    """The date lies in one of the years; written as ranges, which a scan can use to skip data."""
+    col = F.col(c) if isinstance(c, str) else c
+    ranges = [col.between(F.lit(dt.date(y, 1, 1)), F.lit(dt.date(y, 12, 31))) for y in years]
+    return reduce(lambda a, b: a | b, ranges, F.lit(False))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from caseweave.functions.dates import ReportWindow
+from caseweave.functions.joins import spread_join
 from caseweave.operators.cohort import PID, AnyCohort, as_cohort
 
 Q = AnyCohort | DataFrame
@@ -19,7 +20,7 @@ def a2j_cases(
     cases = legal.where(window.has(date)).select(
         PID, "offense_date", "case_outcome_date", "case_outcome", "sentence"
     )
-    return people.join(cases, PID).select(
+    return spread_join(cases, people, PID).select(
         *people.columns, "offense_date", "case_outcome_date", "case_outcome", "sentence"
     )
 
@@ -30,6 +31,6 @@ def a2j_linkages(cohort: Q, linkages: DataFrame, window: ReportWindow) -> DataFr
     links = linkages.where(window.has("linked_date")).select(
         PID, "linkage_type", "linkage_org", "goal_area"
     )
-    return people.join(links, PID).select(
+    return spread_join(links, people, PID).select(
         *people.columns, "linkage_type", "linkage_org", "goal_area"
     )

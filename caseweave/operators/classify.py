@@ -28,6 +28,13 @@ FLAG_COLUMNS = [
 ]
 
 
+def _running(window: ReportWindow) -> Column:
+    """The grant has no end or meets the window; one that is open may start later."""
+    return F.col("end_date").isNull() | (
+        (F.col("end_date") >= window.start) & (F.col("start_date") <= window.end)
+    )
+
+
 def cohort_grants(
     participants: DataFrame,
     grants: DataFrame,
@@ -45,9 +52,7 @@ def cohort_grants(
         "comments", fv.COHORT_COMMENT_TERM
     )
     allowed = ~ci_eq("grant_type", fv.EXCLUDED_GRANT)
-    running = F.col("end_date").isNull() | (
-        (F.col("end_date") >= window.start) & (F.col("start_date") <= window.end)
-    )
+    running = _running(window)
     wanted = grants.select(PID, *GRANT_COLUMNS)
     if not keep_ungranted:
         return people.join(wanted.where(known & allowed & running), PID)
@@ -69,6 +74,7 @@ def grants_cohort(
     return Cohort(
         with_stint_count(spans),
         cohort_grants(sources.participants, sources.grant_type, window, keep_ungranted),
+        keys=sources.grant_type.where(_running(window)).select(PID),
     )
 
 

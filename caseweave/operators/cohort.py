@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from caseweave.functions.joins import spread_join
 from caseweave.functions.matching import flag
 
 PID = "participant_id"
@@ -29,6 +30,8 @@ class Cohort:
 
     ``member``: a participant belongs only if some service meets this condition.
     ``kept``: services that count once membership is decided.
+    ``keys``: a table with at least one row per service row, by participant_id;
+    it tells cheaply which participants have very many services.
     """
 
     def __init__(
@@ -37,11 +40,13 @@ class Cohort:
         services: DataFrame,
         member: Column | None = None,
         kept: Column | None = None,
+        keys: DataFrame | None = None,
     ):
         self.episodes = episodes
         self.services = services
         self.member = member
         self.kept = kept
+        self.keys = keys
 
     @property
     def columns(self) -> list[str]:
@@ -57,6 +62,7 @@ class Cohort:
             self.services if services is None else services,
             self.member,
             self.kept,
+            self.keys,
         )
 
     def served(self) -> DataFrame:
@@ -91,8 +97,12 @@ class Cohort:
         return condition if self.kept is None else self.kept & condition
 
     def rows(self) -> DataFrame:
-        """One row per (episode, service) of a participant."""
-        return self.episodes.join(self.served(), PID)
+        """One row per (episode, service) of a participant.
+
+        Episodes are few per participant; services may be many and are split.
+        """
+        out = spread_join(self.served(), self.episodes, PID, sizes=self.keys)
+        return out.select(*self.columns)
 
     # -- derivation -------------------------------------------------------
 
@@ -108,7 +118,8 @@ class Cohort:
     def where_service(self, condition: Column) -> Cohort:
         if self.member is None:
             return self._with(services=self.services.where(condition))
-        return Cohort(self.episodes, self.services, self.member, self._counting(condition))
+        kept = self._counting(condition)
+        return Cohort(self.episodes, self.services, self.member, kept, self.keys)
 
     def join_people(self, facts: DataFrame) -> Cohort:
         """Add columns of a table with one row per participant (inner join)."""
@@ -128,7 +139,7 @@ class Cohort:
         member = self._counting(condition)
         if self.member is not None:
             raise ValueError("membership is already decided")
-        return Cohort(episodes.drop("_last"), self.services, member, self.kept)
+        return Cohort(episodes.drop("_last"), self.services, member, self.kept, self.keys)
 
     # -- reductions -------------------------------------------------------
 

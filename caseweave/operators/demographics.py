@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from caseweave.functions.aggregates import best_row
 from caseweave.functions.dates import ReportWindow, add_years, age_years
+from caseweave.functions.joins import spread_join
 from caseweave.functions.matching import ci_contains, flag
 from caseweave.functions.ranking import numbered_rows
 from caseweave.operators.classify import best_addresses
@@ -101,16 +102,16 @@ def dem_recent_address_neighborhood(
     out = [PID, "location", "primary_address", "entered_date", "updated_date", "neighborhood"]
     known = F.when(~ci_contains("neighborhood", "other"), F.lit(1)).otherwise(F.lit(0))
     primary, entered = F.lower("primary_address"), F.col("entered_date")
-    places = neighborhoods.where(F.col(PID).isNotNull())
+    people = as_cohort(cohort).people()
     if latest_only:
         order = [primary, entered, -known, -F.col("address_id")]
-        numbered = best_row(places, PID, order).withColumn("rn", F.lit(1))
-    else:
-        numbered = numbered_rows(
-            places,
-            PID,
-            coarse={"primary": primary, "entered": entered},
-            fine=[known.asc(), F.col("address_id").asc()],
-        )
-    people = as_cohort(cohort).people()
-    return numbered.join(people, PID, "left_semi").select(*out, "rn")
+        best = best_row(neighborhoods, PID, order).join(people, PID, "left_semi")
+        return best.select(*out, F.lit(1).alias("rn"))
+    places = spread_join(neighborhoods, people, PID)
+    numbered = numbered_rows(
+        places,
+        PID,
+        coarse={"primary": primary, "entered": entered},
+        fine=[known.asc(), F.col("address_id").asc()],
+    )
+    return numbered.select(*out, "rn")

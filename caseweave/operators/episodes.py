@@ -9,8 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseweave.fixed_values import ACTIVE, CLOSED
-from caseweave.functions.dates import ReportWindow, overlaps
-from caseweave.functions.matching import ci_eq, flag
+from caseweave.functions.dates import ReportWindow, in_years, overlaps
+from caseweave.functions.matching import ci_eq, flag, is_true
 from caseweave.operators.cohort import PID
 
 _OTHER, _ACTIVE, _CLOSED = 0, 1, 2
@@ -152,15 +152,13 @@ def status_anomalies(
     for newer, older in ((1, 2), (2, 3), (3, 4)):
         for status in (ACTIVE, CLOSED):
             pair = ci_eq(f"pstatus{newer}", status) & ci_eq(f"pstatus{older}", status)
-            repeated = repeated | F.coalesce(pair, F.lit(False))
-    in_years = F.lit(False)
+            repeated = repeated | is_true(pair)
+    dated = F.lit(False)
     for i in range(1, 5):
-        in_years = in_years | F.coalesce(
-            F.year(f"status_date{i}").isin(*years), F.lit(False)
-        )
+        dated = dated | is_true(in_years(f"status_date{i}", years))
     slots = [c for i in range(1, 5) for c in (f"pstatus{i}", f"status_date{i}")]
     return (
-        wide.where(repeated & in_years)
+        wide.where(repeated & dated)
         .join(participants.select(PID, "first_name", "last_name"), PID)
         .select(PID, "first_name", "last_name", *slots)
     )
@@ -169,7 +167,7 @@ def status_anomalies(
 def max_status_count(pstatus: DataFrame, years: Sequence[int]) -> DataFrame:
     """Largest number of status rows of one participant in the given years."""
     return (
-        pstatus.where(F.year("status_date").isin(*years))
+        pstatus.where(in_years("status_date", years))
         .groupBy(PID)
         .agg(F.count("status_id").alias("n"))
         .agg(F.max("n").alias("max_status_count"))
@@ -203,7 +201,7 @@ def stint_case_tally(
                 & ci_eq(f"pstatus{i + 1}", ACTIVE)
                 & opened(F.col(f"status_date{i + 1}"))
             )
-            hit = hit | F.coalesce(pair, F.lit(False))
+            hit = hit | is_true(pair)
         return hit
 
     def still_open(opened: object) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caseweave import fixed_values as fv
 from caseweave.functions.aggregates import distinct_flags
 from caseweave.functions.dates import ReportWindow, age_years
+from caseweave.functions.joins import spread_join
 from caseweave.functions.matching import ci_contains, ci_eq, is_true
 from caseweave.operators import sessions as sess
 from caseweave.operators.cohort import PID, AnyCohort, as_cohort
@@ -58,7 +59,7 @@ def idhs_class_notes(
     )
     words = F.explode(F.regexp_extract_all("summary_note", F.lit("([A-Za-z0-9]+)"), F.lit(1)))
     return (
-        enrolled.join(people, PID, "left_semi")
+        spread_join(enrolled, people, PID)
         .select(words.alias("acronym"))
         .groupBy("acronym")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -105,7 +106,7 @@ def idhs_linkages(
         & window.has("linked_date")
         & F.col("goal_area").isNotNull()
     ).select(PID, "linkage_id", "goal_area")
-    listed = links.join(managed, PID).select(
+    listed = spread_join(links, managed, PID).select(
         "linkage_id", "new_client", split_areas("goal_area").alias("separated_area")
     )
     return distinct_flags(
@@ -145,7 +146,7 @@ def jac_cm_sessions(
     kept = case_sessions.where(sess.in_scope("cm", window) & sess.successful()).select(
         PID, "case_session_id"
     )
-    served = kept.join(_managed(cohort, program), PID, "left_semi")
+    served = spread_join(kept, _managed(cohort, program), PID)
     n_sessions = F.countDistinct("case_session_id").cast("double")
     n_people = F.countDistinct(PID).cast("double")
     return served.agg(F.try_divide(n_sessions, n_people).alias("avg_sessions"))

@@ -20,6 +20,7 @@ from caseweave.functions.aggregates import (
     rank_of,
 )
 from caseweave.functions.dates import ReportWindow, add_years
+from caseweave.functions.joins import spread_join
 from caseweave.functions.matching import ci_contains, ci_contains_any, ci_eq, ci_starts, flag
 from caseweave.functions.percentages import percentage_convert
 from caseweave.operators import sessions as sess
@@ -328,9 +329,10 @@ def legal_case_statuses(
         opened = opened_closed.lower() in ("opened", "open")
         cases = cases.where(window.has("arrest_date" if opened else "case_outcome_date"))
     first = as_cohort(cohort).episode_facts(first_active=F.min("active_date"))
-    served = cases.select(
+    listed_cases = cases.select(
         PID, "case_id", "charge", "arrest_date", "case_status_current", "case_outcome"
-    ).join(first, PID)
+    )
+    served = spread_join(listed_cases, first, PID)
 
     def within(days: int) -> Column:
         return F.col("first_active") <= F.date_add("arrest_date", days)
@@ -389,11 +391,18 @@ def legal_one_case(
 # -- case types and re-arrests -----------------------------------------------
 
 
-def _since_last_close(cases: DataFrame, last_close: DataFrame) -> DataFrame:
-    """Cases of participants with a close record, arrested after that close."""
-    return cases.join(last_close.select(PID, "last_closed_date"), PID).where(
-        F.col("last_closed_date").isNull() | (F.col("arrest_date") > F.col("last_closed_date"))
-    )
+def _after_last_close() -> Column:
+    return F.col("last_closed_date").isNull() | (F.col("arrest_date") > F.col("last_closed_date"))
+
+
+def _arrests_since_close(legal: DataFrame, last_close: DataFrame) -> DataFrame:
+    """Distinct arrest dates of participants with a close record, after that close.
+
+    Distinct first: a participant then has at most one row per calendar day.
+    """
+    arrests = legal.select(PID, "arrest_date").distinct()
+    closes = last_close.select(PID, "last_closed_date")
+    return arrests.join(closes, PID).where(_after_last_close())
 
 
 def _case_type_report(
@@ -431,7 +440,8 @@ def legal_case_type(
     people = as_cohort(cohort).episode_facts(
         _began=F.max(F.coalesce(window.has("active_date"), F.lit(False)))
     )
-    served = _since_last_close(cases, last_close).join(people, PID)
+    people = people.join(last_close.select(PID, "last_closed_date"), PID)
+    served = spread_join(cases, people, PID).where(_after_last_close())
     if timeframe and opened:
         served = served.where(window.has("arrest_date") | F.col("_began"))
     return _case_type_report(served, case_client, percentage)
@@ -449,9 +459,8 @@ def legal_case_type_first(
     The first arrest comes from distinct arrest dates; the cases of that day
     are then found by (participant, day).
     """
-    arrests = legal.select(PID, "arrest_date").distinct()
     first = (
-        _since_last_close(arrests, last_close)
+        _arrests_since_close(legal, last_close)
         .groupBy(PID)
         .agg(F.min("arrest_date").alias("arrest_date"))
         .join(as_cohort(cohort).people(), PID, "left_semi")
@@ -500,8 +509,7 @@ def legal_rearrested(
     A later arrest exists exactly when the latest (counted) arrest is after the
     first, so two extremes per participant replace a self-join.
     """
-    arrests = legal.select(PID, "arrest_date").distinct()
-    since = _since_last_close(arrests, last_close)
+    since = _arrests_since_close(legal, last_close)
     counted = (
         F.when(window.has("arrest_date"), F.col("arrest_date"))
         if timeframe

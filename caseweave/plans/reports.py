@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import replace
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from caseweave.operators.cohort import Cohort, FlatCohort
@@ -125,26 +126,26 @@ def shared_cohort(ctx: ReportContext, reliable: bool = False) -> Iterator[Report
     are cached on the executors and recomputed where one is lost; ``reliable``
     writes them to the folder set in ``spark.checkpoint.dir`` instead.
     """
+    kept: list[DataFrame] = []
 
     def keep(df: DataFrame) -> DataFrame:
-        return df.checkpoint(eager=False) if reliable else df.persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
+        if reliable:
+            return df.checkpoint()
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        kept.append(cached)
+        cached.count()
+        return cached
 
-    kept: list[DataFrame] = []
-    if isinstance(ctx.cohort, Cohort):
-        # Membership is settled here, so that the blocks need not check it again.
-        kept = [keep(ctx.cohort.episodes), keep(ctx.cohort.served())]
-        cohort = Cohort(*kept)
-    else:
-        kept = [keep(ctx.cohort.rows())]
-        cohort = FlatCohort(kept[0])
     try:
+        if isinstance(ctx.cohort, Cohort):
+            # Membership is settled here, so that the blocks need not check it again.
+            cohort = Cohort(keep(ctx.cohort.episodes), keep(ctx.cohort.served()))
+        else:
+            cohort = FlatCohort(keep(ctx.cohort.rows()))
         yield replace(ctx, cohort=cohort)
     finally:
-        if not reliable:
-            for df in kept:
-                df.unpersist()
+        for df in kept:
+            df.unpersist()
 
 
 def block_folder(block: str) -> str:
@@ -158,15 +159,27 @@ def write_report(
     format: str = "tsv",
     reliable: bool = False,
     mode: str = "errorifexists",
+    parallel: int = 4,
 ) -> dict[str, str]:
-    """Write each block to its own folder below ``path``; returns block -> folder."""
-    folders: dict[str, str] = {}
+    """Write each block to its own folder below ``path``; returns block -> folder.
+
+    ``parallel`` blocks are submitted at a time, since most end in a few small tasks.
+    """
+
+    def write(df: DataFrame, folder: str) -> None:
+        if format == "tsv":
+            df.write.mode(mode).csv(folder, sep="\t", header=True)
+        else:
+            df.write.mode(mode).format(format).save(folder)
+
     with shared_cohort(ctx, reliable) as shared:
-        for block, df in build_report(report, shared).items():
-            folder = f"{path.rstrip('/')}/{block_folder(block)}"
-            if format == "tsv":
-                df.write.mode(mode).csv(folder, sep="\t", header=True)
-            else:
-                df.write.mode(mode).format(format).save(folder)
-            folders[block] = folder
+        blocks = build_report(report, shared)
+        folders = {block: f"{path.rstrip('/')}/{block_folder(block)}" for block in blocks}
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            jobs = [
+                pool.submit(inheritable_thread_target(df.sparkSession)(write), df, folders[block])
+                for block, df in blocks.items()
+            ]
+            for job in jobs:
+                job.result()
     return folders
