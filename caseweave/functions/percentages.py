@@ -33,8 +33,10 @@ def percentage_convert(
     if not numeric:
         return df
 
-    totals_row = df.agg(*[F.sum(c).alias(c) for c in numeric])
+    # One scalar subquery serves the shares and the total row.
     totals = df.agg(F.struct(*[F.sum(c).alias(c) for c in numeric]).alias("t")).scalar()
+    one_row = df.sparkSession.range(0, 1, 1, 1)
+    totals_row = one_row.select(*[totals.getField(c).alias(c) for c in numeric])
 
     def shown(name: str, is_total: bool) -> list[Column]:
         value = F.col(name)
