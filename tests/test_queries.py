@@ -188,6 +188,10 @@ def test_one_case(run):
     cases = [outcome(1, "A", 1), outcome(1, "A", 1), outcome(2, "B", 2), outcome(3, "A", 2), outcome(4, None, 3)]
     people = [member(1), member(2), member(3)]
     assert run("legal_one_case", people, legal=cases) == [(None, 0), ("A", 2)]
+    assert run("legal_one_case", people, {"timeframe": False}, legal=[
+        *cases, case(9, 1, case_outcome="A", case_outcome_date="2020-01-01"), case(8, 2),
+        case(7, 4, case_outcome="C")]) == [(None, 0)]
+    assert run("legal_one_case", [member(4)], {"timeframe": False}, legal=[case(7, 4, case_outcome="C")]) == [("C", 1)]
     assert run("legal_one_case", people, {"literal": True}, legal=cases) == [(None, 0), ("A", 3), ("B", 1)]
 
 
