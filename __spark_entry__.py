@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 from functools import reduce
 
@@ -20,6 +21,9 @@ from caseweave.session import tune
 from caseweave.sources.catalog import Sources
 from caseweave.sources.fixtures import fixture_sources
 
+# The subpackage llm and the pipeline over it may be taken out of the repository.
+HAS_LLM = importlib.util.find_spec("caseweave.llm") is not None
+
 WINDOW = ReportWindow("1997-01-01", "1997-12-31")
 YEARS = (1997, 1998)
 
@@ -128,6 +132,22 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return _report_queries() | _llm_queries()
+
+
+def _llm_queries() -> dict[str, Query]:
+    if not HAS_LLM:
+        return {}
+    from caseweave.llm.queries import QUERIES
+
+    if importlib.util.find_spec("corpus_pipeline") is None:
+        return dict(QUERIES)
+    import corpus_pipeline
+
+    return QUERIES | {"pipeline": corpus_pipeline.run}
+
+
+def _report_queries() -> dict[str, Query]:
     g, m, j, a = _general, _monthly, _jac, _a2j
     return {
         # cohort pipeline
@@ -301,4 +321,17 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     from verification.oracle import oracle
 
-    return oracle()
+    return oracle() | _llm_oracle()
+
+
+def _llm_oracle() -> dict[str, str]:
+    if not HAS_LLM:
+        return {}
+    from caseweave.llm.queries import ORACLE
+
+    if importlib.util.find_spec("corpus_pipeline") is None:
+        return dict(ORACLE)
+    import corpus_pipeline
+
+    sql = corpus_pipeline.ORACLE_SQL
+    return ORACLE | ({"pipeline": sql} if sql else {})
