@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Rows that a Python task receives at once. Texts are whole, so the batch is kept
 # short: its bytes are this many times the mean length of the texts in it.
@@ -19,7 +22,7 @@ WHITE_SPACE = "\t\n\x0b\x0c\r "
 WHITE_SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
-Batches = Iterator[pd.DataFrame]
+Columns = dict[str, Sequence[Any]]
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -62,11 +65,24 @@ def texts(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *columns)
 
 
-def map_batches(
-    df: DataFrame, function: Callable[[Batches], Batches], schema: str
+def map_columns(
+    df: DataFrame, start: Callable[[], Callable[[Columns], Columns]], schema: str
 ) -> DataFrame:
+    """Apply a function of column lists to every batch of rows.
+
+    `start` is called once per task and returns that function. Lists hold Python
+    values, with None for NULL, so that 64-bit ids stay exact.
+    """
     prepare(df.sparkSession)
-    return df.mapInPandas(function, schema)
+    target = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = start()
+        for batch in batches:
+            found = function({c: batch.column(c).to_pylist() for c in batch.schema.names})
+            yield pa.RecordBatch.from_pydict(found, schema=target)
+
+    return df.mapInArrow(run, schema)
 
 
 def lower_ascii(text: Column) -> Column:

@@ -21,14 +21,13 @@ A pair at the similarity limit of 0.75 shares no bucket with a probability of
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseweave.llm.common import map_batches, materialise, prepare, texts
+from caseweave.llm.common import Columns, map_columns, materialise, prepare, texts
 from caseweave.llm.components import connected_components
 from caseweave.llm.shingles import mix, shingle_sets
 
@@ -69,31 +68,33 @@ def band_keys(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for doc_id, found in zip(
-            batch["doc_id"], shingle_sets(batch["text"], SHINGLE_WORDS), strict=True
-        ):
-            if len(found):
-                digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
-                rows.append((doc_id, len(found), digest, band_keys(signature(found))))
-            else:
-                rows.append((doc_id, 0, None, None))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "same", "bands"])
-
-
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        found = shingle_sets(batch["text"], SHINGLE_WORDS)
-        yield pd.DataFrame(
-            {"doc_id": batch["doc_id"], "shingles": [s.view(np.int64) for s in found]}
-        )
+def _signatures() -> Callable[[Columns], Columns]:
+    def run(batch: Columns) -> Columns:
+        sets = shingle_sets(batch["text"], SHINGLE_WORDS)
+        return {
+            "doc_id": batch["doc_id"],
+            "n_shingles": [len(s) for s in sets],
+            "same": [
+                hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
+                for s in sets
+            ],
+            "bands": [band_keys(signature(s)) if len(s) else None for s in sets],
+        }
+
+    return run
+
+
+def _sets() -> Callable[[Columns], Columns]:
+    def run(batch: Columns) -> Columns:
+        sets = shingle_sets(batch["text"], SHINGLE_WORDS)
+        return {"doc_id": batch["doc_id"], "shingles": [s.view(np.int64) for s in sets]}
+
+    return run
 
 
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, same (digest of the set), bands; the last two NULL without words."""
-    return map_batches(
+    return map_columns(
         texts(docs).where(F.col("doc_id").isNotNull()),
         _signatures,
         "doc_id long, n_shingles long, same binary, bands array<long>",
@@ -196,7 +197,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = materialise(keyed.join(shared, "key").distinct(), "members")
     involved = members.select(F.col("id").alias("doc_id")).distinct()
     sets = materialise(
-        map_batches(
+        map_columns(
             texts(docs).join(involved, "doc_id", "left_semi"),
             _sets,
             "doc_id long, shingles array<long>",

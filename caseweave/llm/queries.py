@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from caseweave.llm.byte_pairs import token_counts
 from caseweave.llm.common import table
 from caseweave.llm.near_dedup import near_duplicates
+from caseweave.llm.piece_codec import encode_decode
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +19,20 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return encode_decode(table(spark, sf_dir, "documents"), model)
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer)
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_sentencepiece_codec": op2_sentencepiece_codec,
+    "op4_token_counts": op4_token_counts,
 }
 
 OP1_SQL = r"""
