@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 from typing import Any
 
 import pyarrow as pa
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+import caseweave
+
 # Rows that a Python task receives at once. Texts are whole, so the batch is kept
 # short: its bytes are this many times the mean length of the texts in it.
 BATCH_ROWS = 256
@@ -25,8 +29,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 Columns = dict[str, Sequence[Any]]
 
 
+_SENT: set[str] = set()
+
+
+def _send_package(spark: SparkSession) -> None:
+    """Give the executors this package, as --py-files does, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _SENT:
+        _SENT.add(app)
+        package = Path(caseweave.__file__).resolve().parent
+        folder = tempfile.mkdtemp(prefix="caseweave-")
+        packed = shutil.make_archive(f"{folder}/caseweave", "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(packed)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings that keep Python batches short and let AQE split full keys of joins."""
+    _send_package(spark)
     conf = spark.conf
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
@@ -85,11 +104,6 @@ def map_columns(
     return df.mapInArrow(run, schema)
 
 
-def lower_ascii(text: Column) -> Column:
-    """A-Z only; other letters keep their case."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def n_words(text: Column) -> Column:
     """Number of words between white space; NULL counts none."""
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")

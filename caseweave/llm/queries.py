@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caseweave.llm.byte_pairs import token_counts
 from caseweave.llm.common import table
+from caseweave.llm.license_scan import scan_licenses
 from caseweave.llm.near_dedup import near_duplicates
 from caseweave.llm.piece_codec import encode_decode
+from caseweave.llm.quality_rules import quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,15 +26,25 @@ def op2_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), model)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts(table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_sentencepiece_codec": op2_sentencepiece_codec,
+    "op3_license_scan": op3_license_scan,
     "op4_token_counts": op4_token_counts,
+    "op7_quality_rules": op7_quality_rules,
 }
 
 OP1_SQL = r"""
