@@ -85,7 +85,7 @@ def texts(docs: DataFrame, *columns: str) -> DataFrame:
 
 
 def map_columns(
-    df: DataFrame, start: Callable[[], Callable[[Columns], Columns]], schema: str
+    df: DataFrame, start: Callable[[], Callable[[Columns], Columns]], schema: str | StructType
 ) -> DataFrame:
     """Apply a function of column lists to every batch of rows.
 
@@ -93,7 +93,7 @@ def map_columns(
     values, with None for NULL, so that 64-bit ids stay exact.
     """
     prepare(df.sparkSession)
-    target = to_arrow_schema(StructType.fromDDL(schema))
+    target = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = start()

@@ -12,7 +12,9 @@ from caseweave.llm.common import table
 from caseweave.llm.license_scan import scan_licenses
 from caseweave.llm.near_dedup import near_duplicates
 from caseweave.llm.piece_codec import encode_decode
+from caseweave.llm.quality_classifier import quality
 from caseweave.llm.quality_rules import quality_rules
+from caseweave.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,16 +37,26 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_sentencepiece_codec": op2_sentencepiece_codec,
     "op3_license_scan": op3_license_scan,
     "op4_token_counts": op4_token_counts,
+    "op5_toxicity": op5_toxicity,
     "op7_quality_rules": op7_quality_rules,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 OP1_SQL = r"""
