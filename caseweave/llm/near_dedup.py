@@ -10,9 +10,9 @@
    bucket. Each bucket proposes stars, not pairs: every member is paired with the
    bucket's most connected member and with one that a hash of the key picks.
 4. Pairs are confirmed on the full sets, and confirmed links make components.
-5. Buckets whose members are still in several components propose further stars
-   between the components, around 1, 2, 4, ... members of each component but the
-   largest, until every pair of a bucket that could join two components is tested.
+5. Stars can leave a bucket's members in several components. Those members are
+   compared across components by the shingles that are rarest among them, with exact
+   bounds, so that no link of a bucket is lost and no bucket is paired out.
 
 A pair at the similarity limit of 0.75 shares no bucket with a probability of
 (1 - 0.75 ** ROWS) ** BANDS, below 1e-5; pairs above it far less often.
@@ -121,7 +121,7 @@ def _pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
-def _first_stars(members: DataFrame) -> DataFrame:
+def _stars(members: DataFrame) -> DataFrame:
     """Each member with the bucket's most connected member and with one by hash."""
     weight = members.groupBy("id").agg(F.sum("n").alias("weight"))
     weighted = members.join(weight, "id")
@@ -136,37 +136,49 @@ def _first_stars(members: DataFrame) -> DataFrame:
 
 
 def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members (key, id, root) of the buckets that hold several components; outer:
-    not of the bucket's largest component."""
+    """Members (id, root) of the buckets that hold several components."""
     placed = members.join(roots, "id", "left").select(
         "key", "id", F.coalesce("root", "id").alias("root")
     )
-    parts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
-    spread = (
-        parts.groupBy("key")
-        .agg(
-            F.count(F.lit(1)).alias("parts"),
-            F.max(F.struct("size", (-F.col("root")).alias("root"))).alias("top"),
-        )
-        .where(F.col("parts") > 1)
-    )
-    return placed.join(spread, "key").select(
-        "key", "id", "root", (F.col("root") != -F.col("top.root")).alias("outer")
-    )
+    spread = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    spread = spread.where(F.col("lo") != F.col("hi")).select("key")
+    return placed.join(spread, "key").select("id", "root").distinct()
+
 
+def _across_components(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of different components that can still reach the similarity, exactly.
 
-def _further_stars(mixed: DataFrame, tested: DataFrame, centres: int) -> DataFrame:
-    """Untested pairs of up to `centres` members of each outer component in a bucket
-    with the bucket's members of other components."""
-    in_part = Window.partitionBy("key", "root").orderBy("id")
-    centre = (
-        mixed.where("outer")
-        .withColumn("rank", F.row_number().over(in_part))
-        .where(F.col("rank") <= centres)
-        .select("key", F.col("id").alias("centre"), F.col("root").alias("own"))
+    Two sets that share at least `need` shingles meet within the first
+    size - need + 1 shingles of each, whatever the common order. Rare shingles come
+    first, so documents that share only what their whole group shares do not meet.
+    Shingles of a single document only count as places in the order.
+    """
+    grams = materialise(
+        sets.join(mixed, sets["doc_id"] == mixed["id"]).select(
+            "id", "root", F.size("shingles").alias("size"), F.explode("shingles").alias("gram")
+        ),
+        "grams",
+    )
+    common = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    shared = grams.join(common, "gram")
+    of_doc = Window.partitionBy("id")
+    place = F.row_number().over(of_doc.orderBy("n", "gram")) + (
+        F.col("size") - F.count(F.lit(1)).over(of_doc)
+    )
+    longest = F.col("size") - F.ceil(SIMILARITY_PERCENT * F.col("size") / 100) + 1
+    first = shared.withColumn("place", place).where(F.col("place") <= longest)
+    first = materialise(first.select("gram", "id", "root", "size", "place"), "first")
+    x, y = first.alias("x"), first.alias("y")
+    both = F.col("x.size") + F.col("y.size")
+    need = F.ceil(SIMILARITY_PERCENT * both / (100 + SIMILARITY_PERCENT))
+    meets = (
+        (F.col("x.gram") == F.col("y.gram"))
+        & (F.col("x.id") < F.col("y.id"))
+        & (F.col("x.root") != F.col("y.root"))
+        & (F.col("x.place") <= F.col("x.size") - need + 1)
+        & (F.col("y.place") <= F.col("y.size") - need + 1)
     )
-    stars = mixed.join(centre, "key").where(F.col("own") != F.col("root"))
-    return _pairs(stars, "id", "centre").join(tested, ["a", "b"], "left_anti")
+    return x.join(y, meets).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -204,25 +216,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         ).dropDuplicates(["doc_id"]),
         "sets",
     )
-    tested = materialise(_first_stars(members), "pairs")
-    links = materialise(_confirmed(tested, sets), "confirmed")
+    stars = materialise(_stars(members), "pairs")
+    links = materialise(_confirmed(stars, sets), "confirmed")
     roots = connected_components(links)
-    centres = 1
-    while True:
-        mixed = materialise(_mixed(members, roots), "mixed")
-        sizes = mixed.where("outer").groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-        largest = sizes.agg(F.max("n")).first()[0]
-        if largest is None:
-            break
-        more = materialise(_further_stars(mixed, tested, centres), "pairs")
-        found = materialise(_confirmed(more, sets), "confirmed")
-        tested = tested.union(more)
-        if not found.isEmpty():
-            links = links.union(found)
-            roots = connected_components(links)
-        if centres >= largest:
-            break
-        centres *= 2
+    mixed = materialise(_mixed(members, roots), "mixed")
+    more = materialise(_across_components(mixed, sets), "pairs")
+    across = materialise(_confirmed(more, sets), "confirmed")
+    if not across.isEmpty():
+        roots = connected_components(links.union(across))
     found = of_class.join(roots, of_class["rep"] == roots["id"], "left")
     component = F.coalesce("root", "rep", "doc_id")
     return found.select(
