@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from caseweave.llm.byte_pairs import token_counts
 from caseweave.llm.common import table
 from caseweave.llm.license_scan import scan_licenses
+from caseweave.llm.mixing import FILL_ROUNDS, mix
 from caseweave.llm.near_dedup import near_duplicates
 from caseweave.llm.piece_codec import encode_decode
 from caseweave.llm.quality_classifier import quality
@@ -45,6 +46,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).drop("repetitions")
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -56,6 +61,7 @@ QUERIES: dict[str, Query] = {
     "op4_token_counts": op4_token_counts,
     "op5_toxicity": op5_toxicity,
     "op7_quality_rules": op7_quality_rules,
+    "op9_source_mixing": op9_source_mixing,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
@@ -88,6 +94,69 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.root AS component_id, d.doc_i
 FROM documents d JOIN c ON c.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
+_OP9_START = r"""
+WITH d AS (
+  SELECT doc_id, source,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT)
+      AS place
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS n,
+    1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w
+  FROM d GROUP BY source),
+l AS (
+  SELECT *, 3.0 * n / w AS ratio, sum(n) OVER ()::BIGINT AS total,
+    coalesce(sum(3 * n) OVER (ORDER BY 3.0 * n / w, source ROWS BETWEEN UNBOUNDED PRECEDING
+      AND 1 PRECEDING), 0)::BIGINT AS used,
+    sum(w) OVER (ORDER BY 3.0 * n / w, source ROWS BETWEEN CURRENT ROW
+      AND UNBOUNDED FOLLOWING)::BIGINT AS free
+  FROM s),
+v AS (SELECT (total - used) / free::DOUBLE AS level FROM l
+      WHERE w * ((total - used) / free::DOUBLE) <= 3 * n ORDER BY ratio, source LIMIT 1),
+t AS (
+  SELECT source, n, CASE WHEN level IS NULL OR w * level > 3 * n THEN (3 * n)::DOUBLE
+    ELSE w * level END AS target
+  FROM s LEFT JOIN v ON true),
+p AS (
+  SELECT *, CASE WHEN n > 0 THEN least(3, floor(target / n + 1e-9))::BIGINT ELSE 0 END AS whole
+  FROM t),
+r AS (SELECT *, greatest(0.0::DOUBLE, target - whole * n) AS rest FROM p),
+o0 AS (
+  SELECT d.*, r.n, r.target, r.whole, r.rest, 0 AS extra
+  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)"""
+
+_OP9_ROUND = """,
+g{k} AS (SELECT source, max(rest) - sum(size * extra) AS missing FROM o{k} GROUP BY source),
+f{k} AS (
+  SELECT o{k}.*, missing, extra = 0 AND size > 0 AND size <= missing AND whole < 3 AS fits
+  FROM o{k} JOIN g{k} ON o{k}.source IS NOT DISTINCT FROM g{k}.source),
+o{j} AS (
+  SELECT * EXCLUDE (missing, fits, extra), CASE WHEN fits AND sum(size) OVER (
+    PARTITION BY source, fits ORDER BY place, doc_id ROWS UNBOUNDED PRECEDING) <= missing
+    THEN 1 ELSE extra END AS extra
+  FROM f{k})"""
+
+_OP9_END = """,
+m AS (SELECT source, max(rest) - sum(size * extra) AS missing FROM o{k} GROUP BY source),
+b AS (
+  SELECT o.source, arg_min(o.doc_id, (abs(o.size - m.missing), o.place, o.doc_id)) AS best
+  FROM o{k} o JOIN m ON o.source IS NOT DISTINCT FROM m.source
+  WHERE extra = 0 AND size > 0 AND whole < 3 AND abs(size - missing) < missing
+  GROUP BY o.source)
+SELECT o.doc_id, o.size, o.n AS source_size, o.target,
+  o.size * (whole + extra + CASE WHEN b.best = o.doc_id AND extra = 0 THEN 1 ELSE 0 END)::BIGINT
+    AS taken
+FROM o{k} o LEFT JOIN b ON o.source IS NOT DISTINCT FROM b.source
+"""
+
+OP9_SQL = (
+    _OP9_START
+    + "".join(_OP9_ROUND.format(k=k, j=k + 1) for k in range(FILL_ROUNDS))
+    + _OP9_END.format(k=FILL_ROUNDS)
+)
+
 ORACLE: dict[str, str] = {
+    "op9_source_mixing": OP9_SQL,
     "op1_minhash_near_dedup": OP1_SQL,
 }
