@@ -16,6 +16,7 @@ from caseweave.llm.piece_codec import encode_decode
 from caseweave.llm.quality_classifier import quality
 from caseweave.llm.quality_rules import quality_rules
 from caseweave.llm.toxicity import toxicity
+from caseweave.llm.web_archive import archive_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +47,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("repetitions")
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op4_token_counts": op4_token_counts,
     "op5_toxicity": op5_toxicity,
     "op7_quality_rules": op7_quality_rules,
+    "op8_web_archive": op8_web_archive,
     "op9_source_mixing": op9_source_mixing,
     "op10_quality_classifier": op10_quality_classifier,
 }
@@ -94,6 +100,21 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.root AS component_id, d.doc_i
 FROM documents d JOIN c ON c.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
+OP8_SQL = """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+    sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+m AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000
+    THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS latest
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id < latest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < latest THEN latest END AS refers_to
+FROM m
+"""
+
 _OP9_START = r"""
 WITH d AS (
   SELECT doc_id, source,
@@ -157,6 +178,7 @@ OP9_SQL = (
 )
 
 ORACLE: dict[str, str] = {
+    "op8_web_archive": OP8_SQL,
     "op9_source_mixing": OP9_SQL,
     "op1_minhash_near_dedup": OP1_SQL,
 }
