@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caseweave.llm.byte_pairs import token_counts
 from caseweave.llm.common import table
+from caseweave.llm.fingerprints import fingerprints
 from caseweave.llm.license_scan import scan_licenses
 from caseweave.llm.mixing import FILL_ROUNDS, mix
 from caseweave.llm.near_dedup import near_duplicates
@@ -43,6 +44,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op3_license_scan": op3_license_scan,
     "op4_token_counts": op4_token_counts,
     "op5_toxicity": op5_toxicity,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op7_quality_rules": op7_quality_rules,
     "op8_web_archive": op8_web_archive,
     "op9_source_mixing": op9_source_mixing,
