@@ -1,4 +1,4 @@
-"""Connected components of a link table by minimum labels and pointer jumping."""
+"""Connected components of a link table by repeated contraction."""
 
 from __future__ import annotations
 
@@ -11,41 +11,46 @@ from caseweave.llm.common import materialise
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, root): for every id in a link, the smallest id that can be reached.
 
-    Each round takes the smallest root among a node and its neighbours, lets roots
-    adopt what their members found, and then follows root pointers one step, so that
-    long chains shorten geometrically. Roots are materialised in the shared folder
-    each round; the only value that reaches the driver is the number of changes.
-    Minima are combined before the shuffle, so a node with very many links is no
-    hot group; joins on it are left to AQE to split.
+    In each round every node moves to the neighbour (or stays) with the least hash of
+    its id, and links are rewritten to where their ends moved. The hash changes by
+    round, so a constant share of the nodes goes each time, on long chains, too, and a
+    star is gone after a round or two. Minima are combined before the shuffle, so a
+    node with very many links is no hot group; joins on it are left to AQE to split.
+    Tables of a round are materialised in the shared folder.
     """
-    pairs = links.select(F.col(a).alias("x"), F.col(b).alias("y")).where(F.col("x") != F.col("y"))
-    both = materialise(
-        pairs.union(pairs.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "links"
-    )
-    roots = both.groupBy(F.col("x").alias("id")).agg(F.min("y").alias("y"))
-    roots = materialise(roots.select("id", F.least("id", "y").alias("root")), "roots")
-    while True:
-        seen = both.join(roots.withColumnRenamed("id", "y"), "y").select(
-            F.col("x").alias("id"), F.col("root").alias("new")
+    spark = links.sparkSession
+    x, y = F.least(a, b).alias("x"), F.greatest(a, b).alias("y")
+    pairs = links.where(F.col(a) != F.col(b)).select(x, y).distinct()
+    edges = materialise(pairs, "edges")
+    roots = spark.createDataFrame([], "id long, root long")
+    level = 0
+    while not edges.isEmpty():
+        moves = materialise(_moves(edges, level), "moves")
+        moved = roots.join(moves.withColumnRenamed("x", "root"), "root", "left").select(
+            "id", F.coalesce("to", "root").alias("root")
         )
-        told = roots.select("id", F.col("root").alias("new")).union(seen)
-        best = told.groupBy("id").agg(F.min("new").alias("new"))
-        adopted = (
-            roots.join(best, "id")
-            .groupBy(F.col("root").alias("id"))
-            .agg(F.min("new").alias("adopted"))
+        first = moves.select(F.col("x").alias("id"), F.col("to").alias("root"))
+        roots = materialise(moved if level else first, "roots")
+        ends = (
+            edges.join(moves.withColumnRenamed("to", "to_x"), "x")
+            .join(moves.select(F.col("x").alias("y"), F.col("to").alias("to_y")), "y")
+            .where(F.col("to_x") != F.col("to_y"))
         )
-        merged = best.join(adopted, "id", "left").select(
-            "id", F.least("new", F.coalesce("adopted", "new")).alias("new")
+        edges = materialise(
+            ends.select(
+                F.least("to_x", "to_y").alias("x"), F.greatest("to_x", "to_y").alias("y")
+            ).distinct(),
+            "edges",
         )
-        jumped = merged.join(
-            merged.select(F.col("id").alias("new"), F.col("new").alias("next")), "new"
-        ).select("id", F.col("next").alias("new"))
-        step = materialise(
-            roots.join(jumped, "id").select("id", F.col("new").alias("root"), F.col("root").alias("old")),
-            "roots",
-        )
-        changed = step.where(F.col("root") != F.col("old")).limit(1).count()
-        roots = step.select("id", "root")
-        if not changed:
-            return roots
+        level += 1
+    lowest = roots.groupBy("root").agg(F.min("id").alias("lowest"))
+    return roots.join(lowest, "root").select("id", F.col("lowest").alias("root"))
+
+
+def _moves(edges: DataFrame, level: int) -> DataFrame:
+    """(x, to): the end with the least hash among a node and its neighbours."""
+    both = edges.union(edges.select("y", "x").toDF("x", "y"))
+    order = F.struct(F.xxhash64(F.lit(level), "y").alias("h"), F.col("y").alias("id"))
+    own = F.struct(F.xxhash64(F.lit(level), "x").alias("h"), F.col("x").alias("id"))
+    best = both.groupBy("x").agg(F.min(order).alias("best"))
+    return best.select("x", F.least(own, "best")["id"].alias("to"))
