@@ -85,7 +85,7 @@ def texts(docs: DataFrame, *columns: str) -> DataFrame:
 
 
 def map_columns(
-    df: DataFrame, start: Callable[[], Callable[[Columns], Columns]], schema: str | StructType
+    df: DataFrame, start: Callable[[], Callable[[Columns], Columns]], schema: str
 ) -> DataFrame:
     """Apply a function of column lists to every batch of rows.
 
@@ -93,7 +93,7 @@ def map_columns(
     values, with None for NULL, so that 64-bit ids stay exact.
     """
     prepare(df.sparkSession)
-    target = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+    target = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = start()
@@ -104,6 +104,19 @@ def map_columns(
     return df.mapInArrow(run, schema)
 
 
+def filter_texts(df: DataFrame, start: Callable[[], Callable[[str], bool]]) -> DataFrame:
+    """The rows, with all columns as they are, whose text (NULL as empty) passes."""
+    prepare(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes = start()
+        for batch in batches:
+            mask = [passes(text or "") for text in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(mask, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def n_words(text: Column) -> Column:
     """Number of words between white space; NULL counts none."""
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")

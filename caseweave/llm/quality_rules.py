@@ -276,10 +276,12 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, whole and with their columns. Texts are measured
-    twice, to learn and to decide, so that no copy of them is written."""
+    """The documents that are kept, whole and with their columns.
+
+    They are written with their measures: the verdict needs all of them first, and a
+    filter on a measure would otherwise be moved into the measuring itself."""
     prepare(docs.sparkSession)
-    posterior = learn(measures(docs.select("text")))
-    return _judged(measures(docs), posterior).where("kept").select(
+    measured = materialise(measures(docs), "measured")
+    return _judged(measured, learn(measured)).where("kept").select(
         *[F.col(f"`{_KEPT}{c}`").alias(c) for c in docs.columns]
     )

@@ -22,7 +22,7 @@ from math import exp, log, log1p, sqrt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseweave.llm.common import Columns, map_columns, materialise, prepare
+from caseweave.llm.common import Columns, filter_texts, map_columns, materialise, prepare, texts
 from caseweave.llm.memo import Memo
 from caseweave.llm.samples import fold, labelled
 
@@ -328,8 +328,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel | None:
     return ToxicModel(kept, other, lam, k, offset, slope)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicModel | None, *carried: str) -> DataFrame:
-    """doc_id, held_out, score, predicted, n_passages and the columns carried along.
+def score_toxicity(docs: DataFrame, model: ToxicModel | None) -> DataFrame:
+    """doc_id, held_out, score, predicted, n_passages per row.
 
     A NULL or empty text has no passage and the score of no evidence; without a model
     (no labels of one class) every score is 0. Each row of repeated ids is scored.
@@ -339,32 +339,22 @@ def score_toxicity(docs: DataFrame, model: ToxicModel | None, *carried: str) ->
         scorer = ToxicScorer(model) if model else None
 
         def run(batch: Columns) -> Columns:
-            seen = [scorer.passages(t) if scorer else ([], 0.0) for t in batch["scored_text"]]
-            scores = [model.probability(e) if model else 0.0 for _, e in seen]
+            seen = [scorer.passages(t) if scorer else ([], 0.0) for t in batch["text"]]
             return {
-                **{c: batch[c] for c in fields},
-                "score": scores,
-                "n_passages": [len(p) for p, _ in seen],
+                "doc_id": batch["doc_id"],
+                "score": [model.probability(e) if model else 0.0 for _, e in seen],
+                "n_passages": [len(passages) for passages, _ in seen],
             }
 
         return run
 
-    # carried columns travel by position, so that their names cannot clash
-    fields = ["doc_id", *(f"c{i}" for i in range(len(carried)))]
-    rows = docs.select(
-        F.col("doc_id"),
-        *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carried)],
-        F.coalesce("text", F.lit("")).alias("scored_text"),
-    )
-    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in fields)
-    scored = map_columns(rows, start, f"{kinds}, score double, n_passages long")
+    scored = map_columns(texts(docs), start, "doc_id long, score double, n_passages long")
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         "score",
         (F.col("score") >= PREDICT_AT).cast("int").alias("predicted"),
         "n_passages",
-        *[F.col(f"c{i}").alias(c) for i, c in enumerate(carried) if c != "doc_id"],
     )
 
 
@@ -376,18 +366,11 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, whole and with their columns."""
     model = fit(docs, labels)
-    prepare(docs.sparkSession)
-
-    def start() -> Callable[[Columns], Columns]:
-        scorer = ToxicScorer(model) if model else None
 
-        def run(batch: Columns) -> Columns:
-            toxic = [
-                bool(model) and model.probability(scorer.passages(t or "")[1]) >= PREDICT_AT
-                for t in batch["text"]
-            ]
-            return {c: [x for x, bad in zip(v, toxic, strict=True) if not bad] for c, v in batch.items()}
-
-        return run
+    def start() -> Callable[[str], bool]:
+        if model is None:
+            return lambda text: True
+        scorer = ToxicScorer(model)
+        return lambda text: model.probability(scorer.passages(text)[1]) < PREDICT_AT
 
-    return map_columns(docs, start, docs.schema)
+    return filter_texts(docs, start)
