@@ -199,6 +199,8 @@ def estimate(counts: dict[int, int], n_rules: int) -> dict[int, float]:
     rule's accuracy there. Rates and shares have priors at their start values that
     weigh PRIOR_WEIGHT of the corpus, so the classes keep their meaning at any size.
     """
+    if not counts:
+        return {}
     votes = {code: _votes(code, n_rules) for code in counts}
     shares, rates = _start(n_rules)
     first_rates = rates
