@@ -249,7 +249,7 @@ def mixed_documents(
     Documents without words are in no mix. Rows with the same doc_id and size are
     matched by both, so equal rows are repeated alike.
     """
-    plan = mix(docs, weights, epochs, seed).where("repetitions > 0")
+    plan = mix(docs, weights, epochs, seed).where("repetitions > 0 AND size > 0")
     plan = plan.groupBy("doc_id", "size").agg(F.max("repetitions").alias("repetitions"))
     plan = plan.select(F.col("doc_id").alias("mix_id"), F.col("size").alias("mix_size"), "repetitions")
     names = [f"c{i}" for i in range(len(docs.columns))]
