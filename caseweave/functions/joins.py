@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Session setting: rows of one key that a single task should join at most.
 HOT_ROWS_CONF = "caseweave.join.hotKeyRows"
 HOT_ROWS = 2_000_000
+# Keys that can be hot at once: one needs more than 1 / MAX_HOT_KEYS of all rows, too.
+MAX_HOT_KEYS = 10_000
 
 
 def hot_rows(df: DataFrame) -> int:
@@ -17,23 +19,27 @@ def hot_rows(df: DataFrame) -> int:
 def hot_keys(facts: DataFrame, key: str) -> DataFrame:
     """Keys with more than ``hot_rows`` facts and the number of parts to deal them to.
 
-    The count is exact, by a map-side aggregate of the key column.
+    The count is exact, by a map-side aggregate of the key column. Of all rows, too, a
+    hot key has more than 1 / MAX_HOT_KEYS, so there are fewer than MAX_HOT_KEYS of
+    them whatever the data: that is what lets the list be broadcast.
     """
     limit = hot_rows(facts)
-    return (
-        facts.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > limit)
-        .select(key, F.ceil(F.col("_n") / F.lit(limit)).alias("_parts"))
-    )
+    counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    return counts.where(
+        (F.col("_n") > limit) & (F.col("_n") > F.floor(total / MAX_HOT_KEYS))
+    ).select(key, F.ceil(F.col("_n") / F.lit(limit)).alias("_parts"))
 
 
 def dealt(facts: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    """Facts with ``_part``: dealt in turn for hot keys, 0 for all others."""
+    """Facts with ``_part``: dealt by their content for hot keys, 0 for all others.
+
+    The part depends on the row alone, not on its place in a partition, so a task
+    that is run again after a loss deals the same rows to the same parts.
+    """
     parts = F.coalesce(F.col("_parts"), F.lit(1).cast("bigint"))
-    turn = F.pmod(F.monotonically_increasing_id(), parts)
-    return facts.join(hot, key, "left").withColumn("_part", turn).drop("_parts")
+    own = F.pmod(F.xxhash64(*facts.columns), parts)
+    return facts.join(hot, key, "left").withColumn("_part", own).drop("_parts")
 
 
 def spread_join(
@@ -43,8 +49,7 @@ def spread_join(
 
     The facts of a hot key are dealt to parts of about ``hot_rows`` facts and
     the rows of the other side are repeated per part, so no task receives much
-    more than the limit of any key. Other keys join as usual. The hot keys are
-    broadcast: there are at most (number of facts / limit) of them. ``sizes``
+    more than the limit of any key. Other keys join as usual. ``sizes``
     is a table to count keys in instead of the facts, with no fewer rows per key.
     """
     hot = F.broadcast(hot_keys(facts if sizes is None else sizes, key))

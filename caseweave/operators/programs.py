@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from caseweave import fixed_values as fv
 from caseweave.functions.aggregates import distinct_flags, order_by_rank
 from caseweave.functions.dates import ReportWindow
-from caseweave.functions.joins import spread_join
 from caseweave.functions.matching import ci_contains, ci_ends, ci_eq
 from caseweave.functions.percentages import percentage_convert
 from caseweave.operators import sessions as sess
@@ -72,7 +71,7 @@ def programs_session_tally(
     kept = case_sessions.where(sess.in_scope(cm_outreach, window)).select(
         PID, "case_session_id", "hours", "indirect_type"
     )
-    served = spread_join(kept, as_cohort(cohort).people(), PID)
+    served = kept.join(as_cohort(cohort).people(), PID)
     return distinct_flags(
         served,
         [],

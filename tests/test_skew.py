@@ -64,3 +64,13 @@ def test_no_part_exceeds_the_limit(spark):
     sizes = dealt(facts, hot, "k").groupBy("k", "_part").count()
     assert sizes.agg({"count": "max"}).first()[0] <= 2 * 50
     assert facts.count() == dealt(facts, hot, "k").count()
+
+
+def test_parts_do_not_depend_on_the_order_of_rows(spark, rows):
+    """A task that is run again may see its rows in another order."""
+    facts = spark.range(2000).selectExpr("id % 2 AS k", "id AS fact_id", "cast(id AS string) AS note")
+    hot = hot_keys(facts, "k")
+    one = dealt(facts.repartition(5), hot, "k")
+    two = dealt(facts.repartition(3, "note").orderBy("note"), hot, "k")
+    assert rows(one, "fact_id", "_part") == rows(two, "fact_id", "_part")
+    assert one.select("_part").distinct().count() > 1
