@@ -322,17 +322,25 @@ LEFT JOIN (SELECT participant_id, count(DISTINCT CASE WHEN {SUCCESS} THEN case_s
   GROUP BY participant_id) s USING (participant_id)"""
 
 
-def involvement_wide(timed: bool, slots: int) -> str:
-    keys = "participant_id, linkages_made, linkages_started, successful, unsuccessful"
+INVOLVED = "participant_id, linkages_made, linkages_started, successful, unsuccessful"
+IN_ORDER = "case_outcome NULLS FIRST, charge NULLS FIRST, case_type NULLS FIRST"
+
+
+def involvement_text(timed: bool) -> str:
+    case = " || ' / ' || ".join(f"coalesce({c}, '-')" for c in ("case_outcome", "charge", "case_type"))
+    return f"""SELECT {INVOLVED}, count(*) AS n_cases, string_agg({case}, '; ' ORDER BY {IN_ORDER}) AS cases
+FROM ({involvement(timed)}) x GROUP BY {INVOLVED}"""
+
+
+def involvement_wide(slots: int) -> str:
     cols = ", ".join(
         f"max({p}) FILTER (i = {i}) AS {p}_{i}"
         for i in range(1, slots + 1)
         for p in ("charge", "case_type", "case_outcome")
     )
-    return f"""SELECT {keys}, {cols}, count(*) AS n_cases
-FROM (SELECT *, row_number() OVER (PARTITION BY participant_id
-    ORDER BY case_outcome NULLS FIRST, charge NULLS FIRST, case_type NULLS FIRST) AS i
-  FROM ({involvement(timed)}) x) y GROUP BY {keys}"""
+    return f"""SELECT {INVOLVED}, {cols}, count(*) AS n_cases
+FROM (SELECT *, row_number() OVER (PARTITION BY participant_id ORDER BY {IN_ORDER}) AS i
+  FROM ({involvement(False)}) x) y GROUP BY {INVOLVED}"""
 
 
 def reduction(timed: bool) -> str:
@@ -473,11 +481,14 @@ def demographic(column: str) -> str:
     return tally(column, PROGRAM, COHORT_PEOPLE)
 
 
+NEW_CLIENTS = "mreport WHERE new_client IS NOT NULL"
+
+
 def by_status(flags: dict[str, str]) -> str:
     return (
         tally("client_status", flags, "mreport")
         + " UNION ALL "
-        + tally("new_status", flags, "(SELECT *, new_client AS new_status FROM mreport) m WHERE new_client IS NOT NULL")
+        + f"SELECT 'new client' AS client_status, x.* FROM ({tally('', flags, NEW_CLIENTS)}) x"
     )
 
 
@@ -497,13 +508,16 @@ def ages(bands: list[tuple[int, int]]) -> str:
     return tally("new_client", flags, JAC_PEOPLE)
 
 
-def class_notes(new: bool) -> str:
+def class_notes(new: bool, text: str = "2023 idhs vp", literal: bool = False) -> str:
+    """Words by what ends them: the marks and spaces that the notes hold."""
     scope = f"WHERE start_date > {T1}" if new else ""
-    return f"""SELECT acronym, count(*) AS n FROM (
-  SELECT unnest(string_split_regex(summary_note, '[^A-Za-z0-9]+')) AS acronym
+    shown = "acronym" if literal else "min(acronym) AS acronym"
+    group = "acronym" if literal else "lower(acronym)"
+    return f"""SELECT {shown}, count(*) AS n FROM (
+  SELECT unnest(string_split_regex(summary_note, '[ ,;/]+')) AS acronym
   FROM fx_classes WHERE participant_id IN (SELECT participant_id FROM jac {scope})
-    AND class ILIKE '2023 idhs vp%' AND (unenroll_date IS NULL OR unenroll_date {IN})) x
-WHERE acronym <> '' GROUP BY acronym"""
+    AND class ILIKE '%{text}%' AND (unenroll_date IS NULL OR unenroll_date {IN})) x
+WHERE acronym <> '' GROUP BY {group}"""
 
 
 def service_tally(program: str) -> str:
@@ -578,42 +592,34 @@ def rct() -> str:
     return tally("", flags, "cohort")
 
 
-def anomalies(*years: int) -> str:
-    pairs = " OR ".join(
-        f"(pstatus{i} = pstatus{i + 1} AND pstatus{i} IN ('Active', 'Closed'))" for i in (1, 2, 3)
-    )
-    dated = " OR ".join(f"year(status_date{i}) IN ({', '.join(map(str, years))})" for i in range(1, 5))
-    cols = ", ".join(f"pstatus{i}, status_date{i}" for i in range(1, 5))
-    return f"""SELECT participant_id, first_name, last_name, {cols}
-FROM wide JOIN fx_participants USING (participant_id) WHERE ({pairs}) AND ({dated})"""
-
-
-def case_tally() -> str:
-    """Classes of adjacent (Closed, Active) slots, from the long history."""
-    when = {"before": f"< {T1}", "in": IN, "after": f"> {T2}"}
-    closed = {
-        "#2": ("in", "before"), "#3": ("after", "before"), "#5": ("in", "in"),
-        "#6": ("after", "in"), "#8": ("after", "after"),
+def anomalies(*years: int, slots: str = "TRUE") -> str:
+    return f"""SELECT a.participant_id, first_name, last_name, a.pstatus, a.status_date,
+  n.status_date AS next_date
+FROM placed a JOIN placed n ON n.participant_id = a.participant_id AND n.pos = a.pos + 1
+JOIN fx_participants p ON p.participant_id = a.participant_id
+WHERE a.pstatus = n.pstatus AND a.pstatus IN ('Active', 'Closed') AND {slots}
+  AND EXISTS (SELECT 1 FROM placed a WHERE a.participant_id = p.participant_id
+    AND year(a.status_date) IN ({', '.join(map(str, years))}) AND {slots})"""
+
+
+def case_tally(slots: str = "TRUE") -> str:
+    """Each class counted on its own over all pairs of neighbouring statuses."""
+    when = {"before": f"< {T1}", "in": IN, "after": f"> {T2}", "open": "IS NULL"}
+    classes = {
+        "#2": ("in", "before"), "#3": ("after", "before"), "#4": ("open", "before"),
+        "#5": ("in", "in"), "#6": ("after", "in"), "#7": ("open", "in"),
+        "#8": ("after", "after"), "#9": ("open", "after"),
     }
-    still = {"#4": "before", "#7": "in", "#9": "after"}
-    parts = []
-    for label, (c, a) in closed.items():
-        parts.append(
-            f"""SELECT '{label}' AS case_label, count(DISTINCT n.participant_id) AS n_participants,
-  count(DISTINCT n.participant_id) AS n_rows
-FROM placed n JOIN placed o ON o.participant_id = n.participant_id AND o.slot = n.slot + 1
-WHERE n.slot <= 4 AND n.pstatus = 'Closed' AND o.pstatus = 'Active'
-  AND n.status_date {when[c]} AND o.status_date {when[a]}
-  AND n.participant_id IN (SELECT participant_id FROM fx_participants)"""
-        )
-    for label, a in still.items():
-        parts.append(
-            f"""SELECT '{label}' AS case_label, count(DISTINCT participant_id) AS n_participants,
-  count(DISTINCT participant_id) AS n_rows FROM placed
-WHERE slot = 1 AND pstatus = 'Active' AND status_date {when[a]}
-  AND participant_id IN (SELECT participant_id FROM fx_participants)"""
-        )
-    return " UNION ALL ".join(parts)
+    return " UNION ALL ".join(
+        f"""SELECT '{label}' AS case_label, count(DISTINCT participant_id) AS n_participants,
+  count(*) AS n_rows FROM (
+    SELECT DISTINCT a.participant_id, a.status_date AS began, n.status_date AS ended
+    FROM placed a LEFT JOIN placed n ON n.participant_id = a.participant_id AND n.pos = a.pos + 1
+    WHERE a.pstatus = 'Active' AND (n.pos IS NULL OR n.pstatus = 'Closed') AND {slots}
+      AND a.participant_id IN (SELECT participant_id FROM fx_participants)) e
+WHERE ended {when[c]} AND began {when[b]}"""
+        for label, (c, b) in classes.items()
+    )
 
 
 def concat_rows() -> str:
@@ -647,8 +653,10 @@ BODIES: dict[str, str] = {
     "stints": "SELECT * FROM stints",
     "stints_max_slots": "SELECT * FROM stints5",
     "status_anomalies": anomalies(1997, 1998),
+    "status_anomalies_max_slots": anomalies(1997, 1998, slots="a.slot <= 5"),
     "max_status_count": "SELECT max(n) AS max_status_count FROM (SELECT count(status_id) AS n FROM fx_pstatus WHERE year(status_date) IN (1997, 1998) GROUP BY participant_id) x",
     "stint_case_tally": case_tally(),
+    "stint_case_tally_max_slots": case_tally("a.slot <= 5"),
     "stint_count": "SELECT participant_id, count(*) AS stint_count FROM stints GROUP BY participant_id",
     "stints_plus_count": "SELECT * FROM counted",
     "stint_totals": "SELECT count(*) AS n_rows, count(DISTINCT participant_id) AS n_participants FROM stints",
@@ -667,6 +675,7 @@ BODIES: dict[str, str] = {
     "dem_age_tally_new_clients": dem_age("active_date", 18, new=True),
     "dem_age_list": f"SELECT cohort.*, CASE WHEN active_date < {plus_years('birth_date', 18)} THEN 'Juvenile' ELSE 'Adult' END AS age_group FROM {COHORT_PEOPLE}",
     "dem_race_gender": race_gender("race"),
+    "dem_race_gender_folded": race_gender("race"),
     "dem_race_gender_new_clients": race_gender("gender", new=True),
     "dem_recent_address": f"SELECT s.first_name, s.last_name, a.* FROM (SELECT DISTINCT participant_id, first_name, last_name FROM cohort) s JOIN best_address a USING (participant_id)",
     "dem_recent_address_neighborhood": neighborhood(False),
@@ -693,8 +702,9 @@ JOIN fx_trunc_legal t USING (participant_id) JOIN fx_linkages k USING (participa
 WHERE t.trunc_date = (SELECT max(m.trunc_date) FROM fx_trunc_legal m WHERE m.participant_id = t.participant_id)
   AND t.custody_status = 'In Custody (+)' AND c.active_date <= t.trunc_date + 45""",
     "legal_program_involvement_long": involvement(False),
-    "legal_program_involvement": involvement_wide(False, 5),
-    "legal_program_involvement_timeframe": involvement_wide(True, 5),
+    "legal_program_involvement": involvement_text(False),
+    "legal_program_involvement_timeframe": involvement_text(True),
+    "legal_program_involvement_wide": involvement_wide(8),
     "legal_fel_reduction": reduction(True),
     "legal_fel_reduction_all": reduction(False),
     "legal_case_outcomes": outcomes(True),
@@ -750,6 +760,9 @@ WHERE t.trunc_date = (SELECT max(m.trunc_date) FROM fx_trunc_legal m WHERE m.par
     "a2j_cases_ended": f"SELECT a.*, o.offense_date, o.case_outcome_date, o.case_outcome, o.sentence FROM a2j a JOIN fx_legal o USING (participant_id) WHERE o.case_outcome_date {IN}",
     "a2j_linkages": f"SELECT a.*, l.linkage_type, l.linkage_org, l.goal_area FROM a2j a JOIN fx_linkages l USING (participant_id) WHERE l.linked_date {IN}",
     "grouped_by_status_program": by_status({**PROGRAM, "vp": "vp = 1"}),
+    "grouped_by_status_no_new_clients": by_status({**PROGRAM, "vp": "vp = 1"}).replace(
+        "mreport", f"(SELECT * FROM mreport WHERE active_date < {T1})"
+    ),
     "grouped_by_status_grant": by_status(GRANT),
     "grouped_by_time_program": by_time(PROGRAM),
     "grouped_by_time_program_percentages": by_time_percent(PROGRAM, closed=True),
@@ -760,6 +773,8 @@ WHERE t.trunc_date = (SELECT max(m.trunc_date) FROM fx_trunc_legal m WHERE m.par
     "idhs_tally": "SELECT new_client, count(DISTINCT participant_id) AS n_participants FROM jac GROUP BY new_client",
     "idhs_tally_closed": f"SELECT count(DISTINCT participant_id) AS n_participants FROM jac WHERE end_date {IN} OR closed_date {IN}",
     "idhs_class_notes": class_notes(False),
+    "idhs_class_notes_literal": class_notes(False, literal=True),
+    "idhs_class_notes_other_class": class_notes(False, "other"),
     "idhs_class_notes_new": class_notes(True),
     "idhs_linkages": funder_linkages("jac"),
     "idhs_race_gender": f"SELECT new_client, race, count(race) AS n FROM {JAC_PEOPLE} GROUP BY new_client, race",
