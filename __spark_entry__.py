@@ -68,17 +68,54 @@ def _stints(spark: SparkSession, sf_dir: str, max_slots: int | None = None) -> D
 
 
 def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ep.status_wide(_sources(spark, sf_dir).pstatus)
+    return ep.status_wide(_sources(spark, sf_dir).pstatus, slots=5)
 
 
-def _anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    participants = _sources(spark, sf_dir).participants
-    return ep.status_anomalies(_wide(spark, sf_dir), participants, YEARS)
+def _anomalies(spark: SparkSession, sf_dir: str, max_slots: int | None = None) -> DataFrame:
+    s = _sources(spark, sf_dir)
+    return ep.status_anomalies(s.pstatus, s.participants, YEARS, max_slots)
+
+
+def _case_tally(spark: SparkSession, sf_dir: str, max_slots: int | None = None) -> DataFrame:
+    s = _sources(spark, sf_dir)
+    return ep.stint_case_tally(s.pstatus, s.participants, WINDOW, max_slots)
+
+
+def _involvement(program_timeframe: bool) -> Query:
+    """The outcomes as text, in which form any oracle can return them."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ctx = _general(spark, sf_dir)
+        found = run_query(ctx, "legal_program_involvement", program_timeframe=program_timeframe)
+        texts = F.transform(
+            "cases",
+            lambda c: F.concat_ws(
+                " / ", *[F.coalesce(c[p], F.lit("-")) for p in ("case_outcome", "charge", "case_type")]
+            ),
+        )
+        return found.withColumn("cases", F.array_join(texts, "; "))
+
+    return query
+
+
+def _no_new_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cohort in which nobody is new: the row of new clients is there with zeros."""
+    ctx = _monthly(spark, sf_dir)
+    old = ctx.cohort.where_episode(F.col("active_date") < F.lit(WINDOW.t1).cast("date"))
+    return run_query(
+        cx.ReportContext(ctx.sources, ctx.window, old), "grouped_by_status", program_grant="program"
+    )
 
 
-def _case_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
-    participants = _sources(spark, sf_dir).participants
-    return ep.stint_case_tally(_wide(spark, sf_dir), participants, WINDOW)
+def _folded_races(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spellings of one race are one group after loading with canonical spellings."""
+    s = _sources(spark, sf_dir)
+    mixed = s.participants.withColumn(
+        "race",
+        F.when(F.col(cl.PID) % 2 == 0, F.upper("race")).otherwise(F.concat("race", F.lit(" "))),
+    )
+    spellings = {"participants": {"race": ["Black", "Hispanic/Latinx", "White", "Asian"]}}
+    tidy = s.replaced(participants=mixed).normalised(spellings)
+    return run_query(cx.general_context(tidy, WINDOW), "dem_race_gender", race_gender="race")
 
 
 def _programs_grants(spark: SparkSession, sf_dir: str, keep_ungranted: bool = False) -> DataFrame:
@@ -155,10 +192,12 @@ def _report_queries() -> dict[str, Query]:
         "stints": _stints,
         "stints_max_slots": lambda s, d: _stints(s, d, max_slots=5),
         "status_anomalies": _anomalies,
+        "status_anomalies_max_slots": lambda s, d: _anomalies(s, d, max_slots=5),
         "max_status_count": lambda s, d: ep.max_status_count(
             _sources(s, d).pstatus, YEARS
         ),
         "stint_case_tally": _case_tally,
+        "stint_case_tally_max_slots": lambda s, d: _case_tally(s, d, max_slots=5),
         "stint_count": lambda s, d: ep.stint_count(_stints(s, d)),
         "stints_plus_count": lambda s, d: ep.with_stint_count(_stints(s, d)),
         "stint_totals": lambda s, d: ep.stint_totals(_stints(s, d)),
@@ -177,6 +216,7 @@ def _report_queries() -> dict[str, Query]:
         "dem_age_tally_new_clients": _query(g, "dem_age_tally", new_clients=True),
         "dem_age_list": _query(g, "dem_age_list"),
         "dem_race_gender": _query(g, "dem_race_gender", race_gender="race"),
+        "dem_race_gender_folded": _folded_races,
         "dem_race_gender_new_clients": _query(
             g, "dem_race_gender", race_gender="gender", new_clients=True
         ),
@@ -204,10 +244,9 @@ def _report_queries() -> dict[str, Query]:
         "legal_custody_list": _query(g, "legal_custody_list"),
         "legal_in_custody_links": _query(g, "legal_in_custody_links"),
         "legal_program_involvement_long": _query(g, "legal_program_involvement_long"),
-        "legal_program_involvement": _query(g, "legal_program_involvement", max_cases=5),
-        "legal_program_involvement_timeframe": _query(
-            g, "legal_program_involvement", program_timeframe=True, max_cases=5
-        ),
+        "legal_program_involvement": _involvement(program_timeframe=False),
+        "legal_program_involvement_timeframe": _involvement(program_timeframe=True),
+        "legal_program_involvement_wide": _query(g, "legal_program_involvement_wide", slots=8),
         "legal_fel_reduction": _query(g, "legal_fel_reduction"),
         "legal_fel_reduction_all": _query(g, "legal_fel_reduction", timeframe=False),
         "legal_case_outcomes": _query(g, "legal_case_outcomes"),
@@ -285,6 +324,7 @@ def _report_queries() -> dict[str, Query]:
         "a2j_cases_ended": _query(a, "a2j_cases", started_ended="ended"),
         "a2j_linkages": _query(a, "a2j_linkages"),
         "grouped_by_status_program": _query(m, "grouped_by_status", program_grant="program"),
+        "grouped_by_status_no_new_clients": _no_new_clients,
         "grouped_by_status_grant": _query(m, "grouped_by_status", program_grant="grant"),
         "grouped_by_time_program": _query(
             m, "grouped_by_time", program_grant="program", percentages=False
@@ -301,6 +341,8 @@ def _report_queries() -> dict[str, Query]:
         "idhs_tally": _query(j, "idhs_tally"),
         "idhs_tally_closed": _query(j, "idhs_tally_closed"),
         "idhs_class_notes": _query(j, "idhs_class_notes"),
+        "idhs_class_notes_literal": _query(j, "idhs_class_notes", literal=True),
+        "idhs_class_notes_other_class": _query(j, "idhs_class_notes", class_text="other"),
         "idhs_class_notes_new": _query(j, "idhs_class_notes", new=True),
         "idhs_linkages": _query(j, "idhs_linkages"),
         "idhs_race_gender": _query(j, "idhs_race_gender", race_gender="race"),

@@ -18,6 +18,9 @@ CLIENT_STATUS_ORDER = ["active client", "new client", "closed out"]
 JUVENILE = "juvenile"
 EMERGING_ADULT = "emerging adult"
 
+# Fixed value: what the names of the funder's classes hold.
+CLASS_TEXT = "2023 IDHS VP"
+
 # Document families (name, part of a well-formed name, texts that mark the family).
 DOCUMENT_FAMILIES = [
     ("assm_isp", "ASSM_ISP", ["ASSM", "ISP", "Matrix", "service"]),

@@ -1,7 +1,8 @@
 """Aggregations that stay safe when one key holds a large share of the rows.
 
-Every helper is built on hash aggregation with map-side partials, so a hot key
-is reduced where it is read instead of being shipped whole to one task.
+Every helper has map-side partials, so a hot key is reduced where it is read instead
+of being shipped whole to one task. Counts and dates are hash aggregates; extremes of
+texts and of structs are sort aggregates, which sort the input of a task by key first.
 """
 
 from __future__ import annotations
@@ -30,38 +31,27 @@ def distinct_flags(
     return per_key.groupBy(*groups).agg(*[F.count(name).alias(name) for name in flags])
 
 
-def distinct_count(df: DataFrame, key: str, name: str) -> DataFrame:
-    """One row: number of distinct non-null keys."""
-    return df.select(key).distinct().agg(F.count(key).alias(name))
-
-
 def concat_distinct(c: Column | str, sep: str) -> Column:
     """Distinct non-null values in order, joined by ``sep``; NULL if there are none."""
     values = F.collect_set(c)
     return F.when(F.size(values) > 0, F.concat_ws(sep, F.array_sort(values)))
 
 
-def at_extreme_date(df: DataFrame, key: str, date: str, latest: bool) -> DataFrame:
-    """Rows dated at their key's latest (or earliest) date; ties are kept.
+def latest_rows(df: DataFrame, key: str, date: str, among: DataFrame | None = None) -> DataFrame:
+    """Rows dated at their key's latest date, of the keys in ``among``; ties are kept.
 
-    The extreme date is a partial aggregate. The semi-join hashes on (key,
+    The latest date is a partial aggregate. The semi-join hashes on (key,
     date), which spreads the rows of one busy key over its dates.
     """
-    pick = F.max if latest else F.min
-    edge = df.where(F.col(key).isNotNull()).groupBy(key).agg(pick(date).alias(date))
+    edge = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(date).alias(date))
+    if among is not None:
+        edge = edge.join(among, key, "left_semi")
     return df.join(edge, [key, date], "left_semi")
 
 
-def latest_rows(df: DataFrame, key: str, date: str) -> DataFrame:
-    return at_extreme_date(df, key, date, latest=True)
-
-
-def earliest_rows(df: DataFrame, key: str, date: str) -> DataFrame:
-    return at_extreme_date(df, key, date, latest=False)
-
-
 def best_row(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
-    """The row per key that sorts highest; a max over structs, so no sort per key."""
+    """The row per key that sorts highest: a max over structs, one row per key and task
+    before the shuffle."""
     payload = [c for c in df.columns if c != key]
     ranked = F.struct(
         *[c.alias(f"_o{i}") for i, c in enumerate(order)], F.struct(*payload).alias("_row")

@@ -15,6 +15,18 @@ from caseweave.operators.cohort import PID
 
 _OTHER, _ACTIVE, _CLOSED = 0, 1, 2
 
+# When an episode of each class ended and began, as seen from the window.
+EPISODE_CLASSES = {
+    "#2": ("in", "before"),
+    "#3": ("after", "before"),
+    "#4": ("open", "before"),
+    "#5": ("in", "in"),
+    "#6": ("after", "in"),
+    "#7": ("open", "in"),
+    "#8": ("after", "after"),
+    "#9": ("open", "after"),
+}
+
 
 def dated_history(pstatus: DataFrame) -> DataFrame:
     """Status rows that can take part in an episode."""
@@ -38,8 +50,12 @@ def newest_statuses(pstatus: DataFrame, slots: int) -> DataFrame:
     )
 
 
-def status_wide(pstatus: DataFrame, slots: int = 5) -> DataFrame:
-    """One row per participant, slot 1 newest: pstatus1..n, status_date1..n."""
+def status_wide(pstatus: DataFrame, slots: int) -> DataFrame:
+    """One row per participant, slot 1 newest: pstatus1..n, status_date1..n.
+
+    A view of the newest ``slots`` statuses for reading; checks and tallies use
+    the whole history (``neighbours``).
+    """
     picks: list[Column] = []
     for i in range(1, slots + 1):
         here = F.col("slot") == i
@@ -140,27 +156,69 @@ def stint_totals(stint_rows: DataFrame) -> DataFrame:
     )
 
 
-# -- data-quality checks on the wide history --------------------------------
+# -- data-quality checks on the whole history -------------------------------
+
+
+def neighbours(pstatus: DataFrame, max_slots: int | None = None) -> DataFrame:
+    """Every status row with the next one of its participant, by date then status_id:
+    participant_id, pstatus, status_date, next_pstatus, next_date (NULL for the newest).
+
+    In two steps like ``episodes``: rows are ordered within a day, days within the
+    participant, so that no task orders all rows of one participant.
+    """
+    history = dated_history(pstatus) if max_slots is None else newest_statuses(pstatus, max_slots)
+    in_day = W.partitionBy(PID, "status_date").orderBy("status_id")
+    of_day = history.select(
+        PID,
+        "status_date",
+        "status_id",
+        "pstatus",
+        F.lead("status_id").over(in_day).alias("_next_id"),
+        F.lead("pstatus").over(in_day).alias("_next"),
+    )
+    inside = of_day.where(F.col("_next_id").isNotNull()).select(
+        PID,
+        "pstatus",
+        "status_date",
+        F.col("_next").alias("next_pstatus"),
+        F.col("status_date").alias("next_date"),
+    )
+    ends = of_day.groupBy(PID, "status_date").agg(
+        F.min_by("pstatus", "status_id").alias("_first"),
+        F.max_by("pstatus", "status_id").alias("pstatus"),
+    )
+    by_day = W.partitionBy(PID).orderBy("status_date")
+    onward = ends.select(
+        PID,
+        "pstatus",
+        "status_date",
+        F.lead("_first").over(by_day).alias("next_pstatus"),
+        F.lead("status_date").over(by_day).alias("next_date"),
+    )
+    return inside.unionByName(onward)
 
 
 def status_anomalies(
-    wide: DataFrame, participants: DataFrame, years: Sequence[int]
+    pstatus: DataFrame,
+    participants: DataFrame,
+    years: Sequence[int],
+    max_slots: int | None = None,
 ) -> DataFrame:
-    """Participants with two equal neighbouring statuses among the newest four,
-    and one of those four dates in the given years."""
-    repeated = F.lit(False)
-    for newer, older in ((1, 2), (2, 3), (3, 4)):
-        for status in (ACTIVE, CLOSED):
-            pair = ci_eq(f"pstatus{newer}", status) & ci_eq(f"pstatus{older}", status)
-            repeated = repeated | is_true(pair)
-    dated = F.lit(False)
-    for i in range(1, 5):
-        dated = dated | is_true(in_years(f"status_date{i}", years))
-    slots = [c for i in range(1, 5) for c in (f"pstatus{i}", f"status_date{i}")]
+    """Equal neighbouring statuses, Active or Closed, of participants with a status in the years.
+
+    One row per such pair: participant, status and the two dates. ``max_slots``
+    looks at the newest rows of each participant only.
+    """
+    history = dated_history(pstatus) if max_slots is None else newest_statuses(pstatus, max_slots)
+    seen = history.where(in_years("status_date", years)).select(PID).distinct()
+    same = F.lower("pstatus") == F.lower("next_pstatus")
+    known = ci_eq("pstatus", ACTIVE) | ci_eq("pstatus", CLOSED)
     return (
-        wide.where(repeated & dated)
+        neighbours(pstatus, max_slots)
+        .where(is_true(same & known) & F.col("next_date").isNotNull())
+        .join(seen, PID, "left_semi")
         .join(participants.select(PID, "first_name", "last_name"), PID)
-        .select(PID, "first_name", "last_name", *slots)
+        .select(PID, "first_name", "last_name", "pstatus", "status_date", "next_date")
     )
 
 
@@ -175,63 +233,44 @@ def max_status_count(pstatus: DataFrame, years: Sequence[int]) -> DataFrame:
 
 
 def stint_case_tally(
-    wide: DataFrame, participants: DataFrame, window: ReportWindow
+    pstatus: DataFrame,
+    participants: DataFrame,
+    window: ReportWindow,
+    max_slots: int | None = None,
 ) -> DataFrame:
-    """Participants per episode class, from the wide history.
+    """Participants and episodes per episode class, from the whole history.
 
     Classes: closed in the window after starting before (#2) or in it (#5);
     closed later after starting before (#3), in (#6) or after it (#8); still
     open since before (#4), in (#7) or after it (#9). A class without members
-    is listed with zeros.
+    is listed with zeros. Episodes of the same dates count once per participant.
     """
-    n_slots = sum(c.startswith("pstatus") for c in wide.columns)
-
-    def before(d: Column) -> Column:
-        return d < window.start
-
-    def later(d: Column) -> Column:
-        return d > window.end
-
-    def closed_pair(closed: object, opened: object) -> Column:
-        hit = F.lit(False)
-        for i in range(1, n_slots):
-            pair = (
-                ci_eq(f"pstatus{i}", CLOSED)
-                & closed(F.col(f"status_date{i}"))
-                & ci_eq(f"pstatus{i + 1}", ACTIVE)
-                & opened(F.col(f"status_date{i + 1}"))
-            )
-            hit = hit | is_true(pair)
-        return hit
-
-    def still_open(opened: object) -> Column:
-        return ci_eq("pstatus1", ACTIVE) & opened(F.col("status_date1"))
-
-    classes = {
-        "#2": closed_pair(window.has, before),
-        "#3": closed_pair(later, before),
-        "#4": still_open(before),
-        "#5": closed_pair(window.has, window.has),
-        "#6": closed_pair(later, window.has),
-        "#7": still_open(window.has),
-        "#8": closed_pair(later, later),
-        "#9": still_open(later),
-    }
-    known = wide.join(participants.select(PID), PID)
-    # Rows per participant first, so that a repeated participant counts once in n_participants.
-    per_person = known.groupBy(PID).agg(
-        *[F.count(flag(cond)).alias(label) for label, cond in classes.items()]
-    )
-    one_row = per_person.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(label).alias("case_label"),
-                    F.count(flag(F.col(f"`{label}`") > 0)).alias("n_participants"),
-                    F.coalesce(F.sum(F.col(f"`{label}`")), F.lit(0)).alias("n_rows"),
-                )
-                for label in classes
-            ]
-        ).alias("classes")
-    )
-    return one_row.select(F.inline("classes"))
+    start, end = F.col("status_date"), F.col("next_date")
+    began = (
+        F.when(start < window.start, F.lit("before"))
+        .when(start <= window.end, F.lit("in"))
+        .otherwise(F.lit("after"))
+    )
+    closed = F.when(end < window.start, F.lit("before")).when(end <= window.end, F.lit("in"))
+    ended = F.when(end.isNull(), F.lit("open")).otherwise(
+        F.coalesce(closed, F.lit("after"))
+    )
+    found = (
+        neighbours(pstatus, max_slots)
+        .where(ci_eq("pstatus", ACTIVE) & (end.isNull() | ci_eq("next_pstatus", CLOSED)))
+        .join(participants.select(PID).distinct(), PID, "left_semi")
+        .select(PID, start.alias("a"), end.alias("c"), began.alias("began"), ended.alias("ended"))
+        .distinct()
+    )
+    per_person = found.groupBy("ended", "began", PID).agg(F.count(F.lit(1)).alias("n"))
+    counts = per_person.groupBy("ended", "began").agg(
+        F.count(F.lit(1)).alias("n_participants"), F.sum("n").alias("n_rows")
+    )
+    labels = pstatus.sparkSession.createDataFrame(
+        [(label, ended, began) for label, (ended, began) in EPISODE_CLASSES.items()],
+        "case_label string, ended string, began string",
+    )
+    return labels.join(counts, ["ended", "began"], "left").select(
+        "case_label",
+        *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("n_participants", "n_rows")],
+    )

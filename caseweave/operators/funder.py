@@ -48,22 +48,36 @@ def idhs_tally_closed(cohort: Q, window: ReportWindow) -> DataFrame:
 
 
 def idhs_class_notes(
-    cohort: Q, classes: DataFrame, window: ReportWindow, new: bool = False
+    cohort: Q,
+    classes: DataFrame,
+    window: ReportWindow,
+    new: bool = False,
+    class_text: str = fv.CLASS_TEXT,
+    literal: bool = False,
 ) -> DataFrame:
-    """Words of the class notes of participants, with their number of occurrences."""
+    """Words of the class notes of participants, with their number of occurrences.
+
+    Words are runs of letters and digits of any alphabet. Spellings that differ in
+    case are one word, shown as the first of them; ``literal`` keeps them apart.
+    ``class_text`` is what the names of the classes hold.
+    """
     c = as_cohort(cohort)
     people = (c.where_service(F.col("start_date") > window.start) if new else c).people()
     enrolled = classes.where(
-        ci_contains("class", "2023 IDHS VP")
+        ci_contains("class", class_text)
         & (F.col("unenroll_date").isNull() | window.has("unenroll_date"))
     )
-    words = F.explode(F.regexp_extract_all("summary_note", F.lit("([A-Za-z0-9]+)"), F.lit(1)))
-    return (
+    words = F.explode(F.regexp_extract_all("summary_note", F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+    spellings = (
         spread_join(enrolled, people, PID)
         .select(words.alias("acronym"))
         .groupBy("acronym")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    if literal:
+        return spellings
+    folded = spellings.groupBy(F.lower("acronym").alias("_word"))
+    return folded.agg(F.min("acronym").alias("acronym"), F.sum("n").alias("n")).drop("_word")
 
 
 def idhs_race_gender(cohort: Q, participants: DataFrame, race_gender: str = "race") -> DataFrame:
@@ -106,7 +120,7 @@ def idhs_linkages(
         & window.has("linked_date")
         & F.col("goal_area").isNotNull()
     ).select(PID, "linkage_id", "goal_area")
-    listed = spread_join(links, managed, PID).select(
+    listed = links.join(managed, PID).select(
         "linkage_id", "new_client", split_areas("goal_area").alias("separated_area")
     )
     return distinct_flags(
@@ -146,7 +160,7 @@ def jac_cm_sessions(
     kept = case_sessions.where(sess.in_scope("cm", window) & sess.successful()).select(
         PID, "case_session_id"
     )
-    served = spread_join(kept, _managed(cohort, program), PID)
+    served = kept.join(_managed(cohort, program), PID)
     n_sessions = F.countDistinct("case_session_id").cast("double")
     n_people = F.countDistinct(PID).cast("double")
     return served.agg(F.try_divide(n_sessions, n_people).alias("avg_sessions"))

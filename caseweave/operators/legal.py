@@ -16,6 +16,7 @@ from caseweave import fixed_values as fv
 from caseweave.functions.aggregates import (
     concat_distinct,
     distinct_flags,
+    latest_rows,
     order_by_rank,
     rank_of,
 )
@@ -76,20 +77,15 @@ def legal_custody_list(
 ) -> DataFrame:
     """Latest custody record of each older participant; several rows of that day are joined.
 
-    Records are joined up per (participant, day) first, which spreads a
-    participant with many records, and the latest day is picked from those.
+    Only the rows of the latest day of the older participants are joined up.
     """
     texts = ["legal_status", "legal_status_detail", "custody_status", "comments"]
-    per_day = (
-        trunc_legal.where(F.col(PID).isNotNull() & F.col("trunc_date").isNotNull())
-        .groupBy(PID, "trunc_date")
-        .agg(F.struct(*[concat_distinct(t, ", ").alias(t) for t in texts]).alias("day"))
-    )
-    latest = per_day.groupBy(PID).agg(
-        F.max("trunc_date").alias("recent_date"), F.max_by("day", "trunc_date").alias("day")
-    )
     older = _older_than(cohort, participants, window, age, cutoff)
-    return latest.join(older, PID, "left_semi").select(PID, "recent_date", "day.*")
+    return (
+        latest_rows(trunc_legal, PID, "trunc_date", among=older)
+        .groupBy(PID, F.col("trunc_date").alias("recent_date"))
+        .agg(*[concat_distinct(t, ", ").alias(t) for t in texts])
+    )
 
 
 def legal_custody_tally(
@@ -125,6 +121,8 @@ def legal_in_custody_links(
 
 # -- outcomes and programs ---------------------------------------------------
 
+_INVOLVED = [PID, "linkages_made", "linkages_started", "successful", "unsuccessful"]
+
 
 def legal_program_involvement_long(
     cohort: Q,
@@ -135,15 +133,17 @@ def legal_program_involvement_long(
     program_timeframe: bool = False,
 ) -> DataFrame:
     """One row per participant and outcome in the window, with linkage and session counts."""
+    # linkages and sessions of others are left out before they are counted
+    concerned = as_cohort(cohort).people()
     outcomes = (
         legal.where(window.has("case_outcome_date"))
+        .join(concerned, PID, "left_semi")
         .groupBy(PID, "case_outcome")
         .agg(
             concat_distinct("class_prior_to_plea_trial", ", ").alias("charge"),
             concat_distinct("case_type", ", ").alias("case_type"),
             concat_distinct("sentence", ", ").alias("sentence"),
         )
-        .join(as_cohort(cohort).people(), PID, "left_semi")
     )
     text = F.when(
         ci_starts("case_outcome", "plead"),
@@ -155,6 +155,7 @@ def legal_program_involvement_long(
 
     links = (
         linkages.where(ci_eq("hub_initiated", "yes"))
+        .join(concerned, PID, "left_semi")
         .groupBy(PID)
         .agg(
             F.count(flag(counted("linked_date"))).alias("linkages_made"),
@@ -162,7 +163,9 @@ def legal_program_involvement_long(
         )
     )
     contacts = distinct_flags(
-        case_sessions.where(sess.of_kind("cm") & counted("session_date")),
+        case_sessions.where(sess.of_kind("cm") & counted("session_date")).join(
+            concerned, PID, "left_semi"
+        ),
         [PID],
         "case_session_id",
         {"successful": sess.successful(), "unsuccessful": sess.unsuccessful()},
@@ -189,40 +192,47 @@ def legal_program_involvement(
     case_sessions: DataFrame,
     window: ReportWindow,
     program_timeframe: bool = False,
-    max_cases: int | None = None,
 ) -> DataFrame:
-    """The outcomes of a participant side by side: charge_1, case_type_1, case_outcome_1, charge_2, …
-
-    ``max_cases`` fixes the number of column groups, so that the result has a
-    known schema; a participant with more outcomes then stops the query. By
-    default the width is taken from the data (one aggregate is run).
-    """
+    """One row per participant: the counts, n_cases and all outcomes in the window as
+    ``cases``, an array of (case_outcome, charge, case_type) in that order."""
     long = legal_program_involvement_long(
         cohort, legal, linkages, case_sessions, window, program_timeframe
     )
-    if max_cases is None:
-        sizes = long.groupBy(PID).agg(F.count(F.lit(1)).alias("n"))
-        max_cases = sizes.agg(F.max("n")).first()[0] or 0
-    keys = [PID, "linkages_made", "linkages_started", "successful", "unsuccessful"]
-    parts = ["charge", "case_type", "case_outcome"]
-    numbered = long.withColumn(
-        "_i",
-        F.row_number().over(
-            W.partitionBy(PID).orderBy("case_outcome", "charge", "case_type")
-        ),
+    # one element per distinct outcome text of the participant
+    case = F.struct("case_outcome", "charge", "case_type")
+    return long.groupBy(*_INVOLVED).agg(
+        F.count(F.lit(1)).alias("n_cases"),
+        F.array_sort(F.collect_list(case)).alias("cases"),
     )
-    slots = [
-        F.max(F.when(F.col("_i") == i, F.col(p))).alias(f"{p}_{i}")
-        for i in range(1, max_cases + 1)
-        for p in parts
-    ]
-    fits = F.count(F.lit(1)) <= max_cases
-    checked = F.when(fits, F.count(F.lit(1))).otherwise(
-        F.raise_error(F.lit(f"a participant has more than max_cases={max_cases} outcomes")).cast(
-            "bigint"
-        )
+
+
+def legal_program_involvement_wide(
+    cohort: Q,
+    legal: DataFrame,
+    linkages: DataFrame,
+    case_sessions: DataFrame,
+    window: ReportWindow,
+    slots: int,
+    program_timeframe: bool = False,
+) -> DataFrame:
+    """The outcomes side by side: charge_1, case_type_1, case_outcome_1, charge_2, …
+
+    A view of ``legal_program_involvement`` for a fixed number of column groups. A
+    participant with more outcomes stops the query, whichever of them is read.
+    """
+    found = legal_program_involvement(
+        cohort, legal, linkages, case_sessions, window, program_timeframe
     )
-    return numbered.groupBy(*keys).agg(*slots, checked.alias("n_cases"))
+    too_many = F.raise_error(F.lit(f"a participant has more than {slots} outcomes"))
+    fits = F.col("n_cases") <= slots
+    cases = F.when(fits, F.col("cases")).otherwise(too_many.cast(found.schema["cases"].dataType))
+    columns = [
+        F.get(cases, F.lit(i - 1))[part].alias(f"{part}_{i}")
+        for i in range(1, slots + 1)
+        for part in ("charge", "case_type", "case_outcome")
+    ]
+    n_cases = F.when(fits, F.col("n_cases")).otherwise(too_many.cast("bigint"))
+    return found.select(*_INVOLVED, *columns, n_cases.alias("n_cases"))
 
 
 def legal_fel_reduction(

@@ -16,6 +16,8 @@ from caseweave.operators.programs import grant_flags, program_flags
 
 Q = AnyCohort | DataFrame
 
+NEW_CLIENT = "new client"
+
 
 def _flags(program_grant: str, with_vp: bool) -> dict[str, Column]:
     if program_grant == "grant":
@@ -30,14 +32,14 @@ def grouped_by_status(cohort: Q, program_grant: str = "grant") -> DataFrame:
     """Participants per program or grant, by client status and for new clients.
 
     A new client counts in the status row and in the 'new client' row; both
-    come from one pass.
+    come from one pass. The 'new client' row is there without any, too.
     """
     flags = _flags(program_grant, with_vp=True)
     marked = as_cohort(cohort).person_flags(
         {f"f_{n}": cond for n, cond in flags.items()}, episode=["client_status", "new_client"]
     )
     both = F.array(
-        F.col("client_status"), F.when(F.col("new_client") == "new client", F.lit("new client"))
+        F.col("client_status"), F.when(F.col("new_client") == NEW_CLIENT, F.lit(NEW_CLIENT))
     )
     listed = marked.withColumn("client_status", F.explode(both)).where(
         F.col("client_status").isNotNull()
@@ -46,6 +48,14 @@ def grouped_by_status(cohort: Q, program_grant: str = "grant") -> DataFrame:
         *[F.max(f"f_{n}").alias(n) for n in flags]
     )
     counts = per_person.groupBy("client_status").agg(*[F.count(n).alias(n) for n in flags])
+    nobody = counts.sparkSession.range(1).select(
+        F.lit(NEW_CLIENT).alias("client_status"), *[F.lit(0).cast("bigint").alias(n) for n in flags]
+    )
+    counts = (
+        counts.unionByName(nobody)
+        .groupBy("client_status")
+        .agg(*[F.sum(n).alias(n) for n in flags])
+    )
     return order_by_rank(counts, "client_status", fv.CLIENT_STATUS_ORDER)
 
 

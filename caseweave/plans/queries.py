@@ -66,6 +66,9 @@ QUERIES: dict[str, Query] = {
     "legal_program_involvement": lambda c, **o: legal.legal_program_involvement(
         c.cohort, c.sources.legal, c.sources.linkages, c.sources.case_sessions, c.window, **o
     ),
+    "legal_program_involvement_wide": lambda c, **o: legal.legal_program_involvement_wide(
+        c.cohort, c.sources.legal, c.sources.linkages, c.sources.case_sessions, c.window, **o
+    ),
     "legal_program_involvement_long": lambda c, **o: legal.legal_program_involvement_long(
         c.cohort, c.sources.legal, c.sources.linkages, c.sources.case_sessions, c.window, **o
     ),

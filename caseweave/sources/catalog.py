@@ -67,6 +67,17 @@ class Sources:
         """A copy in which some tables are exchanged."""
         return Sources(lambda n: tables[n] if n in tables else self[n])
 
+    def normalised(self, canonical: Mapping[str, Mapping[str, list[str]]]) -> Sources:
+        """A copy whose category columns have one spelling per value.
+
+        ``canonical`` gives the spellings by table and column, for example
+        ``{"participants": {"race": ["Asian", "Black"]}}``. Grouping then treats
+        'asian' and 'Asian ' as one; other values are only trimmed.
+        """
+        return Sources(
+            lambda n: normalise_categories(self[n], canonical[n]) if n in canonical else self[n]
+        )
+
     @classmethod
     def of(cls, tables: Mapping[str, DataFrame]) -> Sources:
         return cls(lambda n: tables[n])

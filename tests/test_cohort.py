@@ -123,7 +123,7 @@ def test_a2j_lists_a_person_per_cohort_row(sources, window, rows):
 OPTIONS = {
     "programs_service_tally": [{"service_column": name} for name, _ in PACKAGE_LABELS[:3]],
     "grant_tally": [{}, {"start_end": "start_date"}, {"start_end": "end_date"}],
-    "legal_program_involvement": [{"max_cases": 5}],
+    "legal_program_involvement_wide": [{"slots": 8}],
     "dem_age_tally": [{"cutoff": "t2"}, {"new_clients": True}],
     "legal_case_type": [{"timeframe": True, "case_client": "client"}],
     "link_edu_job": [{"first_n_months": 2}, {"link_type": "employment", "cutoff": "active_date"}],

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from caseweave.functions.dates import ReportWindow
 from caseweave.operators import episodes as ep
 
 
@@ -99,12 +100,15 @@ def test_wide_history_and_anomalies(table, window, rows):
         + status(3, ("2022-01-01", "Active"), ("2022-02-01", "Closed")),
     )
     people = table("participants", [{"participant_id": i} for i in (1, 2, 3)])
-    wide = ep.status_wide(history)
+    wide = ep.status_wide(history, 5)
     assert rows(wide, "participant_id", "pstatus1", "status_date2", "pstatus4") == [
         (1, "Closed", "2022-02-01", None), (2, "Closed", "2021-01-01", None),
         (3, "Closed", "2022-01-01", None),
     ]
-    assert rows(ep.status_anomalies(wide, people, [2022, 2023]), "participant_id") == [(1,)]
+    found = ep.status_anomalies(history, people, [2022, 2023])
+    assert rows(found, "participant_id", "pstatus", "status_date", "next_date") == [
+        (1, "Active", "2022-01-01", "2022-02-01")
+    ]
     assert rows(ep.max_status_count(history, [2022, 2023])) == [(3,)]
 
 
@@ -118,33 +122,56 @@ def test_case_tally_counts_later_classes(table, window, rows):
                  ("2023-03-01", "Active"), ("2023-04-01", "Closed")),
     )
     people = table("participants", [{"participant_id": i} for i in (1, 2, 3, 4)])
-    tally = ep.stint_case_tally(ep.status_wide(history), people, window)
+    tally = ep.stint_case_tally(history, people, window)
     assert rows(tally) == [
-        ("#2", 1, 1), ("#3", 0, 0), ("#4", 0, 0), ("#5", 1, 1), ("#6", 0, 0), ("#7", 0, 0),
+        ("#2", 1, 1), ("#3", 0, 0), ("#4", 0, 0), ("#5", 1, 2), ("#6", 0, 0), ("#7", 0, 0),
         ("#8", 1, 1), ("#9", 1, 1),
     ]
 
 
-def test_equals_pairs_of_wide_slots(spark, rows):
-    """The window form against a scan per (closing class, opening class, slot pair)."""
+def test_checks_see_the_whole_history(table, window, rows):
+    """The oldest of forty statuses counts like the newest; slots are an option."""
+    days = [(f"{1990 + i // 2}-0{1 + 5 * (i % 2)}-01", "Active" if i % 2 == 0 else "Closed") for i in range(40)]
+    days.insert(1, ("1990-02-01", "Active"))
+    history = table("pstatus", status(1, *days))
+    people = table("participants", [{"participant_id": 1}])
+    found = ep.status_anomalies(history, people, [1990])
+    assert rows(found, "status_date", "next_date") == [("1990-01-01", "1990-02-01")]
+    assert ep.status_anomalies(history, people, [1990], max_slots=5).count() == 0
+    early = ReportWindow("1990-01-01", "1990-12-31")
+    tally = {r[0]: r[1:] for r in rows(ep.stint_case_tally(history, people, early))}
+    assert tally["#5"] == (1, 1) and tally["#8"] == (1, 19)
+    assert dict((r[0], r[1:]) for r in rows(ep.stint_case_tally(history, people, early, 5)))["#8"] == (1, 2)
+
+
+def test_tally_agrees_with_stints(spark, rows):
+    """Classes that meet the window, counted from the episodes themselves."""
     import __spark_entry__ as entry
 
     sf = "/root/testdata/sf0.01"
-    entry._wide(spark, sf).createOrReplaceTempView("wide_slots")
-    t1, t2 = "DATE '1997-01-01'", "DATE '1997-12-31'"
-    before, inside, after = f"< {t1}", f"BETWEEN {t1} AND {t2}", f"> {t2}"
-    branches = [
-        f"SELECT participant_id, status_date{i + 1}, status_date{i} FROM wide_slots"
-        f" WHERE pstatus{i} = 'Closed' AND status_date{i} {closed}"
-        f" AND pstatus{i + 1} = 'Active' AND status_date{i + 1} {opened}"
-        for closed in (inside, after)
-        for opened in (before, inside)
-        for i in range(1, 5)
-    ] + [
-        "SELECT participant_id, status_date1, CAST(NULL AS DATE) FROM wide_slots"
-        f" WHERE pstatus1 = 'Active' AND status_date1 {opened}"
-        for opened in (before, inside)
-    ]
-    want = spark.sql(" UNION ".join(branches)).toDF("participant_id", "active_date", "closed_date")
-    got = entry.queries()["stints_max_slots"](spark, sf).select(*want.columns)
-    assert rows(got) == rows(want) and len(branches) == 18
+    q = entry.queries()
+    counts: dict[tuple, set] = {}
+    for r in q["stints"](spark, sf).collect():
+        began = "before" if str(r.active_date) < "1997-01-01" else "in"
+        ended = "open" if r.closed_date is None else "in" if str(r.closed_date) <= "1997-12-31" else "after"
+        counts.setdefault((ended, began), set()).add(r)
+    tally = {r.case_label: (r.n_participants, r.n_rows) for r in q["stint_case_tally"](spark, sf).collect()}
+    for label, key in ep.EPISODE_CLASSES.items():
+        if label not in ("#8", "#9"):
+            found = counts.get(key, set())
+            assert tally[label] == (len({r.participant_id for r in found}), len(found)), label
+
+
+def test_newest_slots_give_the_same_episodes_as_the_wide_view(spark, rows):
+    import __spark_entry__ as entry
+
+    sf = "/root/testdata/sf0.01"
+    want = set()
+    for r in entry._wide(spark, sf).collect():
+        history = [(r[f"pstatus{i}"], r[f"status_date{i}"]) for i in range(5, 0, -1) if r[f"status_date{i}"]]
+        for (state, day), (then, until) in zip(history, [*history[1:], (None, None)], strict=True):
+            if state == "Active" and then in (None, "Closed") and str(day) <= "1997-12-31":
+                if until is None or str(until) >= "1997-01-01":
+                    want.add((r.participant_id, day, until))
+    got = entry.queries()["stints_max_slots"](spark, sf).collect()
+    assert {(r.participant_id, r.active_date, r.closed_date) for r in got} == want

@@ -52,7 +52,9 @@ def test_extreme_rows_keep_ties(spark, rows):
         " (1, DATE '2023-02-01', 'c'), (2, NULL, 'd') AS t(k, d, v)"
     )
     assert rows(agg.latest_rows(df, "k", "d"), "v") == [("b",), ("c",)]
-    assert rows(agg.earliest_rows(df, "k", "d"), "v") == [("a",)]
+    only = df.where("v = 'b'").select("k").distinct()
+    assert rows(agg.latest_rows(df, "k", "d", among=only), "v") == [("b",), ("c",)]
+    assert agg.latest_rows(df, "k", "d", among=only.limit(0)).count() == 0
 
 
 def test_concat_of_nothing_is_null(spark, rows):

@@ -223,14 +223,25 @@ def test_rearrest_and_first_charge(run):
     assert run("legal_case_type", people, {"case_client": "client"}, **tables) == [("drug", 2, 0)]
 
 
-def test_involvement_width(run):
+def test_involvement_has_every_outcome(run):
+    cases = [outcome(i, f"A{i:02}", class_prior_to_plea_trial="c") for i in range(1, 31)]
+    cases += [outcome(40, "A", 2), outcome(41, None, 2)]
+    people = [member(1), member(2)]
+    got = run("legal_program_involvement", people, legal=cases, columns=["participant_id", "n_cases", "cases"])
+    assert [(r[0], r[1], len(r[2])) for r in got] == [(1, 30, 30), (2, 2, 2)]
+    assert [c.case_outcome for c in got[0][2]] == [f"A{i:02}" for i in range(1, 31)]
+
+
+def test_involvement_side_by_side(run):
     cases = [outcome(1, "A"), outcome(2, "B", class_prior_to_plea_trial="c"), outcome(3, "A", 2)]
     people = [member(1), member(2)]
-    got = run("legal_program_involvement", people, legal=cases,
+    wide = "legal_program_involvement_wide"
+    got = run(wide, people, {"slots": 2}, legal=cases,
               columns=["participant_id", "case_outcome_1", "charge_2", "case_outcome_2", "n_cases", "successful"])
     assert got == [(1, "A", "c", "B", 2, 0), (2, "A", None, None, 1, 0)]
-    with pytest.raises(Exception, match="max_cases=1"):
-        run("legal_program_involvement", people, {"max_cases": 1}, legal=cases)
+    for column in ("charge_1", "case_outcome_1", "n_cases"):
+        with pytest.raises(Exception, match="more than 1 outcomes"):
+            run(wide, people, {"slots": 1}, legal=cases, columns=["participant_id", column])
 
 
 # -- linkages -----------------------------------------------------------------
@@ -289,6 +300,35 @@ def test_neighborhood_partners(run):
     assert run("programs_rct_neighborhoods", people) == [(6, 3, 1, 1, 1, 1)]
 
 
+def test_new_clients_have_a_row_without_any(spark):
+    import __spark_entry__ as entry
+
+    found = entry.queries()["grouped_by_status_no_new_clients"](spark, "/root/testdata/sf0.01").collect()
+    by_status = {r.client_status: r for r in found}
+    assert [r.client_status for r in found][1] == "new client"
+    assert set(by_status["new client"][1:]) == {0}
+    assert sum(by_status["active client"][1:]) > 0
+
+
+# -- fixtures -------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(("base", "views"), [
+    ("orders", ["pstatus", "grant_type", "legal", "trunc_legal", "address", "neighborhoods"]),
+    ("lineitem", ["linkages", "case_sessions"]),
+    ("events", ["critical_incidents", "mediations", "mediation_followup"]),
+    ("customer", ["participants", "classes"]),
+    ("documents", ["documents_unfiltered"]),
+])
+def test_views_hold_every_row(spark, base, views):
+    from caseweave.sources.fixtures import fixture_sources
+
+    sf = "/root/testdata/sf0.001"
+    n = spark.read.parquet(f"{sf}/{base}.parquet").count()
+    s = fixture_sources(spark, sf)
+    assert {v: s[v].count() for v in views} == dict.fromkeys(views, n)
+
+
 # -- funders ------------------------------------------------------------------
 
 
@@ -304,6 +344,19 @@ def test_class_notes_count_every_word(flat, sources, window, rows):
     assert len(got) == 41 and got["GSW"] == 2 and got["w39"] == 1
 
 
+def test_class_notes_fold_case_and_keep_letters(flat, sources, window, rows):
+    s = sources(classes=[
+        {"participant_id": 1, "class": "2023 IDHS VP", "summary_note": "DV dv José gsw, ÉTÉ été 7é"},
+        {"participant_id": 1, "class": "2025 other", "summary_note": "later"},
+    ])
+    ctx = ReportContext(s, window, flat(member(1)))
+    got = dict(rows(run_query(ctx, "idhs_class_notes")))
+    assert got == {"DV": 2, "José": 1, "gsw": 1, "ÉTÉ": 2, "7é": 1}
+    apart = dict(rows(run_query(ctx, "idhs_class_notes", literal=True)))
+    assert apart == {"DV": 1, "dv": 1, "José": 1, "gsw": 1, "ÉTÉ": 1, "été": 1, "7é": 1}
+    assert rows(run_query(ctx, "idhs_class_notes", class_text="2025")) == [("later", 1)]
+
+
 def test_hours_average_ignores_unknown_sums(run):
     people = [member(i, program="JAC - Case Management") for i in (1, 2, 3)]
     sessions = [session(1, 2.0), session(2, 4.0), session(3, None, 2), session(4, 1.0, 3)]
