@@ -32,14 +32,20 @@ def hot_keys(facts: DataFrame, key: str) -> DataFrame:
 
 
 def dealt(facts: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    """Facts with ``_part``: dealt by their content for hot keys, 0 for all others.
+    """Facts with ``_part``: dealt by content and partition for hot keys, else 0.
 
-    The part depends on the row alone, not on its place in a partition, so a task
-    that is run again after a loss deals the same rows to the same parts.
+    A row's place in its partition has no part in it, so a task that is run again
+    after a loss deals the same rows to the same parts, in whatever order it sees
+    them. The partition's number tells equal rows apart.
     """
     parts = F.coalesce(F.col("_parts"), F.lit(1).cast("bigint"))
-    own = F.pmod(F.xxhash64(*facts.columns), parts)
-    return facts.join(hot, key, "left").withColumn("_part", own).drop("_parts")
+    place = F.xxhash64(*facts.columns, F.spark_partition_id())
+    return (
+        facts.withColumn("_place", place)
+        .join(hot, key, "left")
+        .withColumn("_part", F.pmod("_place", parts))
+        .drop("_parts", "_place")
+    )
 
 
 def spread_join(
