@@ -68,6 +68,9 @@ def rank_of(c: Column | str, values: Sequence[str]) -> Column:
     return out
 
 
-def order_by_rank(df: DataFrame, c: str, values: Sequence[str]) -> DataFrame:
-    """Sort a finished report by a fixed value order, other values last."""
-    return df.orderBy(rank_of(c, values).asc_nulls_last(), F.col(c).asc_nulls_last())
+def order_by_rank(
+    df: DataFrame, c: str, values: Sequence[str], nulls_first: bool = False
+) -> DataFrame:
+    """Sort a finished report by a fixed value order, other values last, NULL last or first."""
+    null = F.col(c).isNotNull() if nulls_first else F.col(c).isNull()
+    return df.orderBy(null, rank_of(c, values).asc_nulls_last(), F.col(c).asc_nulls_last())

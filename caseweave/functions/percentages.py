@@ -25,7 +25,7 @@ def percentage_convert(
     """Turn every numeric column of a finished report into percentages of its total.
 
     ``replace`` overwrites the column, otherwise ``percentage_<column>`` is
-    added. A total row closes the report; its label goes into the first
+    added behind all columns. A total row closes the report; its label goes into the first
     non-numeric column. ``as_text`` writes '12.5%' instead of 12.5.
     """
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
@@ -38,17 +38,12 @@ def percentage_convert(
     one_row = df.sparkSession.range(0, 1, 1, 1)
     totals_row = one_row.select(*[totals.getField(c).alias(c) for c in numeric])
 
-    def shown(name: str, is_total: bool) -> list[Column]:
+    def share(name: str, is_total: bool) -> Column:
         value = F.col(name)
         if is_total:
-            part = value.cast("string") if as_text else value.cast("double")
-        else:
-            part = _percent(value, totals.getField(name))
-            part = F.concat(part.cast("string"), F.lit("%")) if as_text else part
-        if replace:
-            return [part.alias(name)]
-        kept = value.cast("string") if as_text else value
-        return [kept.alias(name), part.alias(f"percentage_{name}")]
+            return value.cast("string") if as_text else value.cast("double")
+        part = _percent(value, totals.getField(name))
+        return F.concat(part.cast("string"), F.lit("%")) if as_text else part
 
     def project(frame: DataFrame, is_total: bool) -> DataFrame:
         out: list[Column] = [F.lit(is_total).alias("_total")]
@@ -56,13 +51,17 @@ def percentage_convert(
             (F.lit(None) if is_total else c).alias(f"_s{i}") for i, c in enumerate(order)
         ]
         for field in df.schema:
-            if field.name in numeric:
-                out += shown(field.name, is_total)
+            if field.name in numeric and replace:
+                out.append(share(field.name, is_total).alias(field.name))
+            elif field.name in numeric:
+                out.append(F.col(field.name).cast("string") if as_text else F.col(field.name))
             elif not is_total:
                 out.append(F.col(field.name))
             else:
                 label = F.lit(total_label) if field.name == labels[0] else F.lit(None)
                 out.append(label.cast(field.dataType).alias(field.name))
+        if not replace:
+            out += [share(name, is_total).alias(f"percentage_{name}") for name in numeric]
         return frame.select(*out)
 
     whole = project(df, False).unionByName(project(totals_row, True))

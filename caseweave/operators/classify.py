@@ -28,6 +28,10 @@ FLAG_COLUMNS = [
 ]
 
 
+# Copies of a row that are made from one array.
+COPIES = 100_000
+
+
 def _running(window: ReportWindow) -> Column:
     """The grant has no end or meets the window; one that is open may start later."""
     return F.col("end_date").isNull() | (
@@ -223,7 +227,8 @@ def a2j_cohort(
 ) -> DataFrame:
     """Participants of the A2J grant with address and legal summary.
 
-    A participant appears once per matching cohort row.
+    A participant appears once per matching cohort row; the copies are made in
+    chunks, so that no row holds an element for each of them.
     """
     granted = as_cohort(cohort).where_service(ci_contains("grant_type", "A2J")).row_counts()
     people = participants.select(PID, "first_name", "last_name", "gender", "race")
@@ -254,5 +259,14 @@ def a2j_cohort(
         "zip",
         "juvenile_adult",
         "case_type",
-        F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n_rows"))).alias("_copy"),
-    ).drop("_copy")
+        F.explode(_chunks(F.col("n_rows"))).alias("_chunk"),
+    ).select("*", F.explode(F.sequence(F.lit(1), F.col("_chunk"))).alias("_copy")).drop(
+        "_chunk", "_copy"
+    )
+
+
+def _chunks(n_rows: Column) -> Column:
+    """Sizes, at most COPIES each, that add up to n_rows."""
+    last = F.lit(COPIES) * F.floor((n_rows - 1) / COPIES)
+    whole = F.sequence(F.lit(0).cast("bigint"), last, F.lit(COPIES).cast("bigint"))
+    return F.transform(whole, lambda begin: F.least(n_rows - begin, F.lit(COPIES)).cast("int"))

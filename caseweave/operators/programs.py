@@ -184,7 +184,7 @@ def programs_session_length_grouped(
         .agg(weighted_rows(F.col("session_length"), F.col("n") * F.col("n_rows")).alias("n"))
     )
     order = ["0", *[label for label, _, _ in fv.SESSION_LENGTH_BANDS], "2+"]
-    return order_by_rank(counts, "session_length", order)
+    return order_by_rank(counts, "session_length", order, nulls_first=True)
 
 
 def programs_rct_neighborhoods(cohort: Q) -> DataFrame:

@@ -102,12 +102,15 @@ class Sources:
         bounds: tuple[int, int],
         partitions: int = 64,
         properties: Mapping[str, str] | None = None,
+        ranges: Mapping[str, tuple[str, str, str]] | None = None,
     ) -> Sources:
         """Tables of a relational database, read in parallel ranges of participant_id.
 
         ``bounds`` are the lowest and highest participant id; rows outside them
-        land in the first and last range. Tables without that column are read
-        in one partition.
+        land in the first and last range. ``ranges`` names another column with its
+        bounds for a table, e.g. ``{"critical_incidents": ("incident_id", "1", "900000"),
+        "mediations": ("date_start_mediation", "2015-01-01", "2025-01-01")}``. Only
+        lookups should have neither: they are read in one partition.
         """
 
         def load(name: str) -> DataFrame:
@@ -117,11 +120,14 @@ class Sources:
                 .option("dbtable", names.get(name, name))
                 .options(**dict(properties or {}))
             )
-            if "participant_id" in SCHEMAS[name].names:
+            by = dict(ranges or {}).get(name)
+            if by is None and "participant_id" in SCHEMAS[name].names:
+                by = ("participant_id", str(bounds[0]), str(bounds[1]))
+            if by is not None:
                 reader = (
-                    reader.option("partitionColumn", "participant_id")
-                    .option("lowerBound", bounds[0])
-                    .option("upperBound", bounds[1])
+                    reader.option("partitionColumn", by[0])
+                    .option("lowerBound", by[1])
+                    .option("upperBound", by[2])
                     .option("numPartitions", partitions)
                 )
             return reader.load()

@@ -124,3 +124,20 @@ def test_normalised_categories(spark, rows):
     df = spark.sql("SELECT * FROM VALUES ('asian '), ('ASIAN'), ('other'), (NULL) AS t(race)")
     got = normalise_categories(df, {"race": ["Asian", "White"]})
     assert rows(got) == [(None,), ("Asian",), ("Asian",), ("other",)]
+
+
+def test_percentages_stand_behind_all_columns(spark):
+    df = spark.sql("SELECT * FROM VALUES ('a', 1L, 3L), ('b', 3L, 1L) AS t(k, x, y)")
+    out = percentage_convert(df, replace=False, order=[F.col("k")])
+    assert out.columns == ["k", "x", "y", "percentage_x", "percentage_y"]
+    assert [tuple(r) for r in out.collect()] == [
+        ("a", 1, 3, 25.0, 75.0), ("b", 3, 1, 75.0, 25.0), ("Total", 4, 4, 4.0, 4.0),
+    ]
+
+
+def test_fixed_order_with_nulls(spark):
+    df = spark.sql("SELECT * FROM VALUES (NULL), ('z'), ('low'), ('HIGH') AS t(v)")
+    ranked = [r.v for r in agg.order_by_rank(df, "v", ["high", "low"]).collect()]
+    assert ranked == ["HIGH", "low", "z", None]
+    first = agg.order_by_rank(df, "v", ["high", "low"], nulls_first=True)
+    assert [r.v for r in first.collect()] == [None, "HIGH", "low", "z"]
