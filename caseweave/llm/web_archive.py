@@ -1,6 +1,6 @@
 """Web pages to ZIP-packaged WARC archives and back.
 
-Writing: tasks write packages of bounded size with a stored archive/data.warc and a
+Writing: tasks write packages of bounded size with a stored archive/data.warc.gz and a
 stored indexes/index.cdxj each. Equal payloads are stored once: the record with the
 largest page_id is the response, the others revisit it. The packages that a finished
 task reports are the manifest; what a lost or repeated attempt wrote is in no manifest.
@@ -11,6 +11,7 @@ are dealt out again, and each record is read by its range of bytes.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import io
 import json
@@ -34,7 +35,7 @@ RANGE_ROWS = 64
 #: All records of one run carry the same date, so that reruns write equal records.
 RECORD_DATE = "2024-01-01T00:00:00Z"
 
-_WARC, _INDEX = "archive/data.warc", "indexes/index.cdxj"
+_WARC, _INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 _ID = "urn:caseweave:page:"
 _MANIFEST = "package string, records long, bytes long"
 _RANGES = "package string, offset long, length long"
@@ -85,6 +86,8 @@ class _Package:
         self.size = 0
 
     def add(self, record: bytes) -> None:
+        """Each record is a gzip member of its own, so that ranges can be read alone."""
+        record = gzip.compress(record, mtime=0)
         entry = {"filename": _WARC, "offset": self.size, "length": len(record)}
         self._index.append(json.dumps(entry))
         self._member.write(record)
