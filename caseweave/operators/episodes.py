@@ -71,14 +71,23 @@ def episodes(
 
     An episode starts at an 'Active' row whose next row, by date then
     status_id, is 'Closed' or does not exist (still open, NULL closed_date).
-    ``max_slots`` looks at the newest rows of each participant only.
+    ``max_slots`` looks at the newest rows of each participant only; so few are
+    put in order at once.
 
-    Two steps, so that no task has to order the whole history of one
+    Else two steps, so that no task has to order the whole history of one
     participant: rows are ordered within (participant, day); each day is then
     summarised by its first and last status, and days are ordered within the
     participant. The second step has at most one row per calendar day.
     """
-    history = dated_history(pstatus) if max_slots is None else newest_statuses(pstatus, max_slots)
+    if max_slots is not None:
+        pairs = neighbours(pstatus, max_slots)
+        closed = F.col("next_date").isNull() | ci_eq("next_pstatus", CLOSED)
+        begun = pairs.where(ci_eq("pstatus", ACTIVE) & closed)
+        found = begun.select(
+            PID, F.col("status_date").alias("active_date"), F.col("next_date").alias("closed_date")
+        )
+        return found.where(overlaps(F.col("active_date"), F.col("closed_date"), window))
+    history = dated_history(pstatus)
     state = (
         F.when(ci_eq("pstatus", ACTIVE), F.lit(_ACTIVE))
         .when(ci_eq("pstatus", CLOSED), F.lit(_CLOSED))
@@ -164,9 +173,20 @@ def neighbours(pstatus: DataFrame, max_slots: int | None = None) -> DataFrame:
     participant_id, pstatus, status_date, next_pstatus, next_date (NULL for the newest).
 
     In two steps like ``episodes``: rows are ordered within a day, days within the
-    participant, so that no task orders all rows of one participant.
+    participant, so that no task orders all rows of one participant. The newest
+    ``max_slots`` rows alone are put in order at once.
     """
-    history = dated_history(pstatus) if max_slots is None else newest_statuses(pstatus, max_slots)
+    if max_slots is not None:
+        newest = newest_statuses(pstatus, max_slots)
+        newer = _newest_first()
+        return newest.select(
+            PID,
+            "pstatus",
+            "status_date",
+            F.lag("pstatus").over(newer).alias("next_pstatus"),
+            F.lag("status_date").over(newer).alias("next_date"),
+        )
+    history = dated_history(pstatus)
     in_day = W.partitionBy(PID, "status_date").orderBy("status_id")
     of_day = history.select(
         PID,
