@@ -156,7 +156,7 @@ def _filled(taken: DataFrame, epochs: int) -> DataFrame:
     bucket's documents are summed one by one.
     """
     width = (1 << 60) // BUCKETS
-    missing = _missing(taken)
+    missing = materialise(_missing(taken), "missing")
     known = taken.alias("t").join(
         missing.alias("m"), F.col("t.source").eqNullSafe(F.col("m.source"))
     )
@@ -194,6 +194,9 @@ def _filled(taken: DataFrame, epochs: int) -> DataFrame:
             F.coalesce("before", F.lit(0)).alias("before"),
         )
     )
+    # written, so that the window below deals out the rows of one bucket per source anew
+    # and does not take over the join's partitions, which hold whole sources
+    placed = materialise(placed, "placed")
     columns = taken.columns
     partly = placed.where(F.col("fits") & (F.col("own") == F.col("bucket")))
     in_bucket = Window.partitionBy("source").orderBy("place", "doc_id", "size")
