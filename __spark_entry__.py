@@ -14,9 +14,9 @@ from caseweave.functions.percentages import percentage_convert
 from caseweave.operators import classify as cl
 from caseweave.operators import episodes as ep
 from caseweave.plans import context as cx
+from caseweave.plans import reports as rp
 from caseweave.plans.adhoc import query_modify, query_run, register_views
 from caseweave.plans.queries import run_query
-from caseweave.plans.reports import MONTHLY_CM_OUTREACH, build_report
 from caseweave.session import tune
 from caseweave.sources.catalog import Sources
 from caseweave.sources.fixtures import fixture_sources
@@ -152,9 +152,13 @@ def _adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _bundle(report: rp.Report, context: Context) -> Query:
+    return lambda spark, sf_dir: rp.report_cells(rp.build_report(report, context(spark, sf_dir)))
+
+
 def _report_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per block of a monthly report bundle."""
-    blocks = build_report(MONTHLY_CM_OUTREACH, _monthly(spark, sf_dir))
+    blocks = rp.build_report(rp.MONTHLY_CM_OUTREACH, _monthly(spark, sf_dir))
     sizes = [
         df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(block).alias("block"), "n_rows")
         for block, df in blocks.items()
@@ -357,6 +361,13 @@ def _report_queries() -> dict[str, Query]:
         "query_modify": _modified,
         "query_run": _adhoc,
         "run_report": _report_sizes,
+        "run_report_a2j": _bundle(rp.A2J_REPORT, a),
+        "run_report_program_grant": _bundle(rp.MONTHLY_PROGRAM_GRANT, m),
+        "run_report_legal": _bundle(rp.MONTHLY_LEGAL, m),
+        "run_report_cm_outreach": _bundle(rp.MONTHLY_CM_OUTREACH, m),
+        "run_report_jac": _bundle(rp.JAC_SMARTSHEET, j),
+        "run_report_cvi": _bundle(rp.CVI, j),
+        "run_report_ppr": _bundle(rp.PPR, j),
     }
 
 

@@ -7,9 +7,11 @@ from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import replace
+from functools import reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from caseweave.operators.cohort import Cohort, FlatCohort
 from caseweave.plans.context import ReportContext
@@ -118,6 +120,26 @@ def build_report(report: Report, ctx: ReportContext) -> dict[str, DataFrame]:
     return {block: run_query(ctx, name, **options) for block, (name, options) in report.items()}
 
 
+def report_cells(blocks: Mapping[str, DataFrame]) -> DataFrame:
+    """All blocks in one table: block, field, value as text, and how many cells hold it.
+
+    Numbers are written with four decimals, whatever their type.
+    """
+    return reduce(DataFrame.unionByName, (_cells(name, df) for name, df in blocks.items()))
+
+
+def _cells(block: str, df: DataFrame) -> DataFrame:
+    def text(name: str) -> Column:
+        value = F.col(f"`{name}`").cast("string")
+        number = value.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$")
+        return F.when(number, value.cast("decimal(20,4)").cast("string")).otherwise(value)
+
+    texts = df.select(*[text(c).alias(c) for c in df.columns])
+    cells = texts.unpivot([], list(df.columns), "field", "value")
+    counted = cells.groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(F.lit(block).alias("block"), "field", "value", "n")
+
+
 @contextmanager
 def shared_cohort(ctx: ReportContext, reliable: bool = False) -> Iterator[ReportContext]:
     """Compute the cohort once for all blocks of a report.

@@ -799,19 +799,103 @@ def report_blocks(blocks: dict[str, str]) -> str:
     )
 
 
-BODIES["run_report"] = report_blocks(
-    {
-        "receiving CM": "SELECT count(DISTINCT participant_id) FROM mreport WHERE service_cm = 1",
-        "Had CM Session in Month": BODIES["programs_sessions"],
-        "CM Session Count": BODIES["programs_session_tally"],
-        "CM Session Length": BODIES["programs_session_length"],
-        "CM Session Length (Grouped)": BODIES["programs_session_length_grouped"],
-        "Had Outreach Session in Month": sessions("mentoring session", True),
-        "Outreach Session Count": BODIES["programs_session_tally_outreach"],
-        "linkage tally": BODIES["link_tally_linked"],
-        "services linked": BODIES["link_goal_area_both"],
-    }
-)
+def report_cells(blocks: dict[str, str]) -> str:
+    """Every cell of every block as text, numbers with four decimals."""
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS block, field, CASE
+    WHEN regexp_full_match(value, '-?[0-9]+(\\.[0-9]+)?([eE][+-]?[0-9]+)?')
+    THEN CAST(CAST(value AS DECIMAL(20, 4)) AS VARCHAR) ELSE value END AS value, count(*) AS n
+FROM (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({sql}) b{i})
+  UNPIVOT INCLUDE NULLS (value FOR field IN (COLUMNS(*))) GROUP BY ALL"""
+        for i, (name, sql) in enumerate(blocks.items())
+    )
+
+
+def of_jac(sql: str) -> str:
+    return sql.replace(COHORT_PEOPLE, JAC_PEOPLE)
+
+
+CM_OUTREACH = {
+    "receiving CM": "SELECT count(DISTINCT participant_id) AS n_participants FROM mreport WHERE service_cm = 1",
+    "Had CM Session in Month": BODIES["programs_sessions"],
+    "CM Session Count": BODIES["programs_session_tally"],
+    "CM Session Length": BODIES["programs_session_length"],
+    "CM Session Length (Grouped)": BODIES["programs_session_length_grouped"],
+    "Had Outreach Session in Month": sessions("mentoring session", True),
+    "Outreach Session Count": BODIES["programs_session_tally_outreach"],
+    "linkage tally": BODIES["link_tally_linked"],
+    "services linked": BODIES["link_goal_area_both"],
+}
+BODIES["run_report"] = report_blocks(CM_OUTREACH)
+BODIES["run_report_cm_outreach"] = report_cells(CM_OUTREACH)
+BODIES["run_report_a2j"] = report_cells({
+    "CASES_STARTED": BODIES["a2j_cases"],
+    "CASES_ENDED": BODIES["a2j_cases_ended"],
+    "LINKAGES": BODIES["a2j_linkages"],
+})
+BODIES["run_report_program_grant"] = report_cells({
+    "grant involvement": BODIES["grant_tally"],
+    "grants started": BODIES["grant_tally_started"],
+    "grants ended": BODIES["grant_tally_ended"],
+    "Program Involvement by Days - All": by_time_percent(PROGRAM),
+    "Program Involvement by Days - Closed": by_time_percent(PROGRAM, True),
+    **{
+        f"PROGRAMS BY {c.upper()}": percent(demographic(c), c, list(PROGRAM), replace=True)
+        for c in ("race", "gender", "age")
+    },
+    "ALL_DAYS_SERVED_BY_GRANT": by_time_percent(GRANT),
+    "CLOSED_DAYS_SERVED_BY_GRANT": by_time_percent(GRANT, True),
+    "PACKAGE OF SERVICES": BODIES["programs_packages"],
+})
+BODIES["run_report_legal"] = report_cells({
+    "CiviCore.Legal Tally": BODIES["legal_tally"],
+    "Case Pending Tally": BODIES["legal_tally_pending"],
+    "Case Type - All Cases": BODIES["legal_case_type_percentage"],
+    "Case Type - Opened": BODIES["legal_case_type_opened"],
+    "Case Type - Closed": BODIES["legal_case_type_closed"],
+    "Rearrested": BODIES["legal_rearrested"],
+    "Pending Cases": BODIES["legal_pending_cases_t2"],
+    "Case Outcomes": BODIES["legal_case_outcomes"],
+    "Guilty Plea Outcomes": BODIES["legal_plea_outcomes"],
+})
+BODIES["run_report_jac"] = report_cells({
+    "participant count": BODIES["idhs_tally"],
+    "genders": of_jac(race_gender("gender")),
+    "races": of_jac(race_gender("race")),
+    "ages": of_jac(BODIES["dem_age_tally"]),
+    "services": BODIES["idhs_service_tally"],
+    "avg hours spent on CM": BODIES["jac_cm_hours"],
+    "avg number of CM sessions": BODIES["jac_cm_sessions"],
+    "transportation assistance": BODIES["jac_transpo_assist"],
+    "connected to other providers": BODIES["jac_linked_participant_tally"],
+    "referrals": BODIES["idhs_linkages"],
+})
+BODIES["run_report_cvi"] = report_cells({
+    "total participants": BODIES["idhs_tally"],
+    "ages": BODIES["idhs_ages"],
+    "races": BODIES["idhs_race_gender"],
+    "genders": BODIES["idhs_race_gender"].replace("race", "gender"),
+    "languages": BODIES["idhs_language"],
+    "services": BODIES["idhs_service_tally"],
+    "referrals": BODIES["idhs_linkages"],
+    "number of mediations": BODIES["mediation_tally"],
+    "CPIC notifications": BODIES["incidents_cpic"],
+    "non-CPIC notifications": BODIES["incidents_non_cpic"],
+    "time spent on mediations": BODIES["mediation_time_spent"],
+})
+BODIES["run_report_ppr"] = report_cells({
+    "new and continuing clients": BODIES["idhs_tally"],
+    "closed clients": BODIES["idhs_tally_closed"],
+    "outreach and legal": BODIES["idhs_service_tally"],
+    "race": of_jac(race_gender("race")),
+    "gender": of_jac(race_gender("gender")),
+    "ages": BODIES["idhs_ages_ppr"],
+    "eligibility": BODIES["idhs_class_notes_new"],
+    "cm linkages": BODIES["idhs_linkages"],
+    "initial mediations": BODIES["mediation_tally"],
+    "followup mediations": BODIES["mediation_tally_followup"],
+    "incidents": BODIES["incident_tally"],
+})
 
 
 def oracle() -> dict[str, str]:
