@@ -34,8 +34,8 @@ def test_anchor_values(spark):
         "sum(cm_juv_divert)", "sum(cm_scan)", "sum(cm_scan_outreach)", "sum(hd)", "sum(hd_rct)",
         "sum(rjcc)", "sum(crws)", "sum(vp)",
     ).first()
-    assert tuple(sums) == (1241, 627, 469, 975, 346, 234, 179, 393, 332, 127, 272, 338)
-    assert q["grant_cohort"](spark, SF).count() == 435
+    assert tuple(sums) == (3779, 820, 1440, 2934, 1021, 707, 522, 1223, 1047, 355, 829, 1030)
+    assert q["grant_cohort"](spark, SF).count() == 2130
 
 
 def test_entry(spark):
