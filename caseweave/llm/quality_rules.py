@@ -9,8 +9,6 @@ there are at most 3 ** len(RULES) of them, whatever the size of the corpus.
 
 from __future__ import annotations
 
-from math import exp, log
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
@@ -10,7 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from caseweave.llm.byte_pairs import token_counts
 from caseweave.llm.common import table
 from caseweave.llm.fingerprints import fingerprints
-from caseweave.llm.license_scan import scan_licenses
+from caseweave.llm.license_scan import (
+    COVERAGE,
+    DRIFT,
+    GRAM,
+    STRETCH,
+    STRETCH_WORDS,
+    scan_licenses,
+)
+from caseweave.llm.license_texts import NOTICES, PHRASES
 from caseweave.llm.mixing import FILL_ROUNDS, mix
 from caseweave.llm.near_dedup import near_duplicates
 from caseweave.llm.piece_codec import encode_decode
@@ -106,6 +115,60 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.root AS component_id, d.doc_i
 FROM documents d JOIN c ON c.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
+def _op3_sql() -> str:
+    """Places by comparing words, notices by joining word triples; the notices' triples
+    are written out, so nothing but the texts is read."""
+    triples = []
+    for notice, (label, text) in enumerate(NOTICES):
+        ws = re.findall("[0-9a-z]+", text.lower())
+        for at in range(len(ws) - 2):
+            gram = " ".join(ws[at : at + 3])
+            triples.append(f"({notice}, '{label}', {len(ws)}, {len(ws) - 2}, {at}, '{gram}')")
+    places, named = [], []
+    for phrase, label in PHRASES.items():
+        parts = " AND ".join(f"ws[i + {k}] = '{w}'" for k, w in enumerate(phrase.split()))
+        found = f"list_filter(range(1, len(ws) + 1), lambda i: {parts})"
+        places.append(found)
+        named.append(f"CASE WHEN len({found}) > 0 THEN ['{label}'] ELSE [] END")
+    return rf"""
+WITH t(notice, label, notice_words, n_grams, place, gram) AS (VALUES {", ".join(triples)}),
+d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws
+  FROM documents),
+g AS (
+  SELECT doc_id, unnest(list_transform(range(1, len(ws) - 1), lambda i:
+      {{'pos': i - 1, 'gram': ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]}}), recursive := true)
+  FROM d),
+v AS (SELECT DISTINCT doc_id, notice, label, notice_words, n_grams, pos - place AS off, pos
+      FROM g JOIN t USING (gram)),
+o AS (
+  SELECT doc_id, notice, label, notice_words, n_grams, off, count(*) AS votes,
+    min(pos) AS a, max(pos) AS b
+  FROM v GROUP BY ALL),
+s AS (SELECT *, CASE WHEN off - lag(off) OVER (PARTITION BY doc_id, notice ORDER BY off) > {DRIFT}
+      THEN 1 ELSE 0 END AS begins FROM o),
+m AS (SELECT *, sum(begins) OVER (PARTITION BY doc_id, notice ORDER BY off) AS span FROM s),
+c AS (
+  SELECT doc_id, label, least(1.0::DOUBLE, sum(votes)::DOUBLE / n_grams) AS coverage
+  FROM m GROUP BY doc_id, notice, label, notice_words, n_grams, span
+  HAVING least(1.0::DOUBLE, sum(votes)::DOUBLE / n_grams) >= {COVERAGE}
+    AND max(b) + {GRAM} - min(a) <= {STRETCH} * notice_words + {STRETCH_WORDS}),
+l AS (SELECT doc_id, list(DISTINCT label) AS more, max(coverage) AS coverage FROM c GROUP BY doc_id),
+p AS (
+  SELECT doc_id, len(ws) AS n, list_concat({", ".join(places)}) AS spots,
+    CAST(list_concat({", ".join(named)}) AS VARCHAR[]) AS base
+  FROM d)
+SELECT p.doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(spots) AS BIGINT) AS n_base,
+  CAST(list_min(spots) - 1 AS BIGINT) AS first_word, CAST(list_max(spots) - 1 AS BIGINT) AS last_word,
+  array_to_string(list_sort(base), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(base, coalesce(more, [])))), ',') AS labels,
+  CASE WHEN len(base) > 0 THEN 1.0::DOUBLE ELSE coalesce(coverage, 0.0)::DOUBLE END AS score
+FROM p LEFT JOIN l ON l.doc_id = p.doc_id
+"""
+
+
 OP8_SQL = """
 WITH p AS (
   SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
@@ -184,6 +247,7 @@ OP9_SQL = (
 )
 
 ORACLE: dict[str, str] = {
+    "op3_license_scan": _op3_sql(),
     "op8_web_archive": OP8_SQL,
     "op9_source_mixing": OP9_SQL,
     "op1_minhash_near_dedup": OP1_SQL,

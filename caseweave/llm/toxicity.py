@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from math import exp, log, log1p, sqrt
+from math import exp, log, log1p
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
