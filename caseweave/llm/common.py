@@ -68,9 +68,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder and read back: cuts the lineage, survives lost executors."""
+def materialise(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+    """Write once to the shared folder and read back: cuts the lineage, survives lost executors.
+
+    ``narrow`` is for tables of a few numbers per row: each core writes one file, which
+    takes its share of the partitions one after the other, instead of a file for each.
+    """
     path = scratch_path(df.sparkSession, name)
+    if narrow:
+        df = df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

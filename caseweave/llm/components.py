@@ -21,16 +21,16 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     spark = links.sparkSession
     x, y = F.least(a, b).alias("x"), F.greatest(a, b).alias("y")
     pairs = links.where(F.col(a) != F.col(b)).select(x, y).distinct()
-    edges = materialise(pairs, "edges")
+    edges = materialise(pairs, "edges", narrow=True)
     roots = spark.createDataFrame([], "id long, root long")
     level = 0
     while not edges.isEmpty():
-        moves = materialise(_moves(edges, level), "moves")
+        moves = materialise(_moves(edges, level), "moves", narrow=True)
         moved = roots.join(moves.withColumnRenamed("x", "root"), "root", "left").select(
             "id", F.coalesce("to", "root").alias("root")
         )
         first = moves.select(F.col("x").alias("id"), F.col("to").alias("root"))
-        roots = materialise(moved if level else first, "roots")
+        roots = materialise(moved if level else first, "roots", narrow=True)
         ends = (
             edges.join(moves.withColumnRenamed("to", "to_x"), "x")
             .join(moves.select(F.col("x").alias("y"), F.col("to").alias("to_y")), "y")
@@ -41,6 +41,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
                 F.least("to_x", "to_y").alias("x"), F.greatest("to_x", "to_y").alias("y")
             ).distinct(),
             "edges",
+            narrow=True,
         )
         level += 1
     lowest = roots.groupBy("root").agg(F.min("id").alias("lowest"))

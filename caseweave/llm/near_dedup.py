@@ -129,7 +129,8 @@ def _stars(members: DataFrame) -> DataFrame:
         F.max(F.struct("weight", (-F.col("id")).alias("id"))).alias("top"),
         F.min(F.struct(F.xxhash64("key", "id").alias("h"), "id")).alias("any"),
     )
-    stars = members.join(centres, "key").select(
+    # written, so that both sides of the join are plain shuffles, which AQE can split
+    stars = members.join(materialise(centres, "centres", narrow=True), "key").select(
         "id", F.explode(F.array(-F.col("top.id"), F.col("any.id"))).alias("centre")
     )
     return _pairs(stars, "id", "centre")
@@ -141,7 +142,7 @@ def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
         "key", "id", F.coalesce("root", "id").alias("root")
     )
     spread = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    spread = spread.where(F.col("lo") != F.col("hi")).select("key")
+    spread = materialise(spread.where(F.col("lo") != F.col("hi")).select("key"), "spread", narrow=True)
     return placed.join(spread, "key").select("id", "root").distinct()
 
 
@@ -160,7 +161,7 @@ def _across_components(mixed: DataFrame, sets: DataFrame) -> DataFrame:
         "grams",
     )
     common = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    shared = grams.join(common, "gram")
+    shared = grams.join(materialise(common, "common"), "gram")
     of_doc = Window.partitionBy("id")
     place = F.row_number().over(of_doc.orderBy("n", "gram")) + (
         F.col("size") - F.count(F.lit(1)).over(of_doc)
@@ -197,7 +198,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("rep"))
     )
     of_class = materialise(
-        sigs.select("doc_id", "n_shingles", "same").join(classes, "same", "left"), "classes"
+        sigs.select("doc_id", "n_shingles", "same").join(
+            materialise(classes, "reps"), "same", "left"
+        ),
+        "classes",
     )
     reps = of_class.where(F.col("doc_id") == F.col("rep")).select("doc_id").distinct()
     keyed = (
@@ -206,7 +210,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
     )
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    members = materialise(keyed.join(shared, "key").distinct(), "members")
+    # rows of a repeated doc_id become one only now: by key, a full bucket would be one task
+    met = materialise(keyed.join(materialise(shared, "shared"), "key"), "met")
+    members = materialise(met.distinct(), "members")
     involved = members.select(F.col("id").alias("doc_id")).distinct()
     sets = materialise(
         map_columns(
@@ -216,11 +222,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         ).dropDuplicates(["doc_id"]),
         "sets",
     )
-    stars = materialise(_stars(members), "pairs")
+    stars = materialise(_stars(members), "pairs", narrow=True)
     links = materialise(_confirmed(stars, sets), "confirmed")
     roots = connected_components(links)
-    mixed = materialise(_mixed(members, roots), "mixed")
-    more = materialise(_across_components(mixed, sets), "pairs")
+    mixed = materialise(_mixed(members, roots), "mixed", narrow=True)
+    more = materialise(_across_components(mixed, sets), "pairs", narrow=True)
     across = materialise(_confirmed(more, sets), "confirmed")
     if not across.isEmpty():
         roots = connected_components(links.union(across))
