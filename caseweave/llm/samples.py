@@ -22,22 +22,29 @@ def _thinned(rows: DataFrame, limit: int, seed: int) -> DataFrame:
     return rows.where(place < int(_STEPS * limit / n))
 
 
+def _weighed(rows: DataFrame, limit: int, seed: int) -> DataFrame:
+    """The thinned rows with the number of rows that each of them stands for."""
+    picked = _thinned(rows, limit, seed)
+    return picked.withColumn("stands_for", F.lit(rows.count() / max(picked.count(), 1)))
+
+
 def labelled(
     docs: DataFrame, labels: DataFrame, column: str, limit: int, taken: Column, seed: int = 1
 ) -> DataFrame:
-    """doc_id, text, label of at most about `limit` documents per label.
+    """doc_id, text, label, stands_for of at most about `limit` documents per label.
 
     Only labels for which `taken` holds are read. The ids are broadcast: there are
     at most about 2 * limit of them, whatever the size of the tables. A document with
-    several labels counts once, with the largest.
+    several labels counts once, with the largest. `stands_for` is how many documents of
+    its label each one stands for, so that its sums restore the shares of the labels.
     """
     known = (
         labels.where(taken & F.col(column).isin(0, 1))
         .groupBy("doc_id")
         .agg(F.max(column).cast("int").alias("label"))
     )
-    ids = _thinned(known.where("label = 0"), limit, seed).unionByName(
-        _thinned(known.where("label = 1"), limit, seed)
+    ids = _weighed(known.where("label = 0"), limit, seed).unionByName(
+        _weighed(known.where("label = 1"), limit, seed)
     )
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
         F.broadcast(ids), "doc_id"

@@ -10,6 +10,10 @@ words of clean text, K * n * exp(-lam * s) segments of score s or more are expec
 (extreme-value law), with lam and K from clean documents. Segments that are expected
 less than EXPECTED times are the toxic passages; what they exceed chance by is added
 up and turned into a probability on a second, separate part of the sample.
+
+The sample is bounded per class, so its classes do not have their true shares. These
+are counted over all labels, and both classes weigh by them in the prior and in the
+probability: scores and verdicts do not depend on how much of a class is sampled.
 """
 
 from __future__ import annotations
@@ -181,10 +185,20 @@ def _feature_counts(sample: DataFrame) -> DataFrame:
     return by_word.unionByName(by_beginning.join(backed, "feature", "left_semi"))
 
 
-def _log_odds(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
+def class_weights(docs: dict[int, float], sampled: dict[int, int]) -> dict[int, float]:
+    """What one sampled text of each class weighs, so that the classes together have the
+    shares of their documents; all texts together weigh as much as they are."""
+    scale = sum(sampled.values()) / sum(docs.values())
+    return {y: scale * docs[y] / sampled[y] for y in sampled}
+
+
+def _log_odds(
+    counts: DataFrame, n_toxic: int, n_clean: int, weights: dict[int, float]
+) -> DataFrame:
     """feature, score, z of the significant features, at most MAX_FEATURES."""
     a, b = F.col("toxic"), F.col("clean")
-    prior = LEAST_PRIOR + PRIOR_WORDS * (a + b) / float(n_toxic + n_clean)
+    both = weights[1] * n_toxic + weights[0] * n_clean
+    prior = LEAST_PRIOR + PRIOR_WORDS * (weights[1] * a + weights[0] * b) / both
     score = F.log((a + prior) / (n_toxic + PRIOR_WORDS - a - prior)) - F.log(
         (b + prior) / (n_clean + PRIOR_WORDS - b - prior)
     )
@@ -216,8 +230,18 @@ def _law(tokens: dict[float, int]) -> float:
 
 def logistic_line(points: Sequence[tuple[float, int, float]]) -> tuple[float, float]:
     """Offset and slope of P(label) over x by Newton steps; points: (x, label, weight).
-    A weak prior keeps the slope finite where the classes are apart."""
+    A weak prior keeps the slope finite where the classes are apart. A step is halved
+    until the likelihood rises: whole steps can run away where classes are unequal."""
+
+    def likelihood(offset: float, slope: float) -> float:
+        total = -0.05 * (offset**2 + (slope - 1.0) ** 2)
+        for x, label, weight in points:
+            odds = offset + slope * x
+            total += weight * (label * odds - max(odds, 0.0) - log1p(exp(-abs(odds))))
+        return total
+
     offset, slope = 0.0, 1.0
+    reached = likelihood(offset, slope)
     for _ in range(60):
         g0, g1, h00, h01, h11 = -0.1 * offset, -0.1 * (slope - 1.0), 0.1, 0.0, 0.1
         for x, label, weight in points:
@@ -230,7 +254,16 @@ def logistic_line(points: Sequence[tuple[float, int, float]]) -> tuple[float, fl
         determinant = h00 * h11 - h01 * h01
         d0 = (h11 * g0 - h01 * g1) / determinant
         d1 = (h00 * g1 - h01 * g0) / determinant
-        offset, slope = offset + d0, slope + d1
+        rises = False
+        for _ in range(40):
+            found = likelihood(offset + d0, slope + d1)
+            rises = found > reached
+            if rises:
+                break
+            d0, d1 = d0 / 2, d1 / 2
+        if not rises:
+            break
+        offset, slope, reached = offset + d0, slope + d1, found
         if abs(d0) + abs(d1) < 1e-9:
             break
     return offset, slope
@@ -266,10 +299,29 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel | None:
     """
     prepare(docs.sparkSession)
     known = ~held_out(F.col("doc_id"))
-    sample = labelled(docs, labels, "toxic", SAMPLE_PER_CLASS, known).dropDuplicates(["text"])
+    # each text once, and in the same part whichever of its documents are sampled
+    sample = (
+        labelled(docs, labels, "toxic", SAMPLE_PER_CLASS, known)
+        .groupBy("text")
+        .agg(
+            F.min("doc_id").alias("doc_id"),
+            F.max("label").alias("label"),
+            F.sum("stands_for").alias("stands_for"),
+        )
+    )
     sample = materialise(sample, "toxic-sample")
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    part = F.pmod(F.xxhash64("text"), F.lit(2))
     learning, calibration = sample.where(part == 0), sample.where(part == 1)
+    sampled = sample.groupBy("label").agg(
+        F.sum("stands_for").alias("docs"),
+        F.count(F.when(part == 0, 1)).alias("learning"),
+        F.count(F.when(part == 1, 1)).alias("calibration"),
+    )
+    by_class = {r["label"]: r for r in sampled.collect()}
+    if len(by_class) < 2 or not all(r["learning"] for r in by_class.values()):
+        return None
+    class_docs = {y: r["docs"] for y, r in by_class.items()}
+    weights = class_weights(class_docs, {y: r["learning"] for y, r in by_class.items()})
     counts = materialise(_feature_counts(learning), "features")
     totals = counts.where(~F.col("feature").endswith("*")).agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
@@ -277,7 +329,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel | None:
     n_toxic, n_clean = totals.first()
     if not n_toxic or not n_clean:
         return None
-    kept = {r["feature"]: r["score"] for r in _log_odds(counts, n_toxic, n_clean).collect()}
+    kept = {r["feature"]: r["score"] for r in _log_odds(counts, n_toxic, n_clean, weights).collect()}
     if not kept:
         return None
     model = ToxicModel(kept, -1.0, 1.0, 1.0, 0.0, 1.0)
@@ -317,13 +369,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel | None:
     n_docs, expected = law.first()
     k = n_docs / expected if expected else 1.0
     model = ToxicModel(kept, other, lam, k, 0.0, 1.0)
+    if not all(r["calibration"] for r in by_class.values()):
+        return model
+    weights = class_weights(class_docs, {y: r["calibration"] for y, r in by_class.items()})
     points = [
-        (r["evidence"], r["label"], float(r["n"]))
+        (r["evidence"], r["label"], weights[r["label"]] * r["n"])
         for r in _scan(calibration, model).groupBy("evidence", "label").agg(F.count(F.lit(1)).alias("n")).collect()
     ]
-    per_class = {y: sum(w for _, label, w in points if label == y) for y in (0, 1)}
-    if not per_class[0] or not per_class[1]:
-        return model
     offset, slope = logistic_line(points)
     return ToxicModel(kept, other, lam, k, offset, slope)
 

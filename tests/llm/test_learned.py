@@ -121,6 +121,55 @@ def test_toxicity_without_labels_or_documents(documents, labelled_table):
     assert tx.clean_documents(documents(ODD), none).count() == len(ODD)
 
 
+def rare_toxic_corpus(n=6400):
+    """A sixteenth is toxic; all of that and a ninth of the clean texts hold bad words."""
+    draw, known, rows = random.Random(3), prose(1, 200).split(), []
+    for i in range(n):
+        toxic = i % 16 == 0
+        words = draw.choices(known, k=30)
+        if toxic or i % 9 == 4:
+            words[10:13] = BAD[:3]
+        rows.append((i, " ".join(words), 1, int(toxic)))
+    return rows
+
+
+def test_scores_do_not_depend_on_thinning(documents, labelled_table, monkeypatch):
+    rows = rare_toxic_corpus()
+    docs = documents([(i, text) for i, text, *_ in rows])
+    labels = labelled_table([(i, q, t, None) for i, _, q, t in rows])
+    found = []
+    for limit in (8000, 600):  # 600: all toxic documents, about an eighth of the clean ones
+        monkeypatch.setattr(tx, "SAMPLE_PER_CLASS", limit)
+        found.append({r.doc_id: r for r in tx.toxicity(docs, labels).collect()})
+    whole, thinned = found
+    assert max(abs(whole[i].score - thinned[i].score) for i in whole) < 0.1
+    assert all(whole[i].predicted == thinned[i].predicted for i in whole)
+
+
+def test_logistic_line_of_unequal_classes():
+    for toxic, clean in ((1.0, 1.0), (0.1, 1.9), (0.01, 1.99)):
+        points = [(0.0, 1, 30 * toxic), (0.0, 0, 7800 * clean), (2.5, 0, 130 * clean), (4.5, 1, 7900 * toxic)]
+        offset, slope = tx.logistic_line(points)
+        left = [w * (y - 1 / (1 + np.exp(-offset - slope * x))) for x, y, w in points]
+        assert sum(left) == pytest.approx(0.1 * offset, abs=1e-4)
+        assert np.dot(left, [x for x, *_ in points]) == pytest.approx(0.1 * (slope - 1), abs=1e-4)
+
+
+def test_scores_do_not_depend_on_repetition(documents, labelled_table, monkeypatch):
+    rows = toxic_corpus(120)
+    many = [(1000 * k + i, text, q, t) for k in range(40) for i, text, q, t in rows]
+    scores = []
+    for table, limit in ((many[: 40 * 60], 8000), (many, 8000), (many, 1500)):
+        monkeypatch.setattr(tx, "SAMPLE_PER_CLASS", limit)
+        docs = documents([(i, text) for i, text, *_ in table])
+        labels = labelled_table([(i, q, t, None) for i, _, q, t in table])
+        model = tx.fit(docs, labels)
+        got = tx.score_toxicity(documents([(i, text) for i, text, *_ in rows]), model)
+        scores.append({r.doc_id: r.score for r in got.collect()})
+    for other in scores[1:]:
+        assert other == pytest.approx(scores[0], abs=0.01)
+
+
 def test_passages_have_their_place():
     model = tx.ToxicModel({"grubface": 6.0, "mud*": 5.0}, -0.05, 1.0, 0.01, -3.0, 2.0)
     scorer = tx.ToxicScorer(model)
