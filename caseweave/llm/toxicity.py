@@ -30,9 +30,8 @@ from caseweave.llm.common import Columns, filter_texts, map_columns, materialise
 from caseweave.llm.memo import Memo
 from caseweave.llm.samples import fold, labelled
 
-# Bounds of the fit: labelled documents per class, and features that are kept.
+# Bound of the fit: labelled documents per class.
 SAMPLE_PER_CLASS = 8000
-MAX_FEATURES = 4000
 
 FOLDS, HELD_OUT_FOLD = 5, 0
 PRIOR_WORDS, LEAST_PRIOR = 1000.0, 0.3
@@ -195,7 +194,7 @@ def class_weights(docs: dict[int, float], sampled: dict[int, int]) -> dict[int,
 def _log_odds(
     counts: DataFrame, n_toxic: int, n_clean: int, weights: dict[int, float]
 ) -> DataFrame:
-    """feature, score, z of the significant features, at most MAX_FEATURES."""
+    """feature, score, z of all significant features."""
     a, b = F.col("toxic"), F.col("clean")
     both = weights[1] * n_toxic + weights[0] * n_clean
     prior = LEAST_PRIOR + PRIOR_WORDS * (weights[1] * a + weights[0] * b) / both
@@ -207,8 +206,6 @@ def _log_odds(
         counts.where(a >= MIN_DOCUMENTS)
         .select("feature", score.alias("score"), z.alias("z"))
         .where((F.col("z") >= MIN_Z) & (F.col("score") >= MIN_LOG_ODDS))
-        .orderBy(F.col("z").desc(), "feature")
-        .limit(MAX_FEATURES)
     )
 
 
@@ -294,8 +291,8 @@ def _scan(sample: DataFrame, model: ToxicModel) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel | None:
     """The model from labels outside the held-out fold; None without both classes.
 
-    What reaches the driver is bounded: MAX_FEATURES features and one row per document
-    of a sample of at most about 2 * SAMPLE_PER_CLASS documents.
+    What reaches the driver is bounded by the sample of at most about
+    2 * SAMPLE_PER_CLASS documents: its significant features and one row per document.
     """
     prepare(docs.sparkSession)
     known = ~held_out(F.col("doc_id"))

@@ -146,6 +146,13 @@ def test_scores_do_not_depend_on_thinning(documents, labelled_table, monkeypatch
     assert all(whole[i].predicted == thinned[i].predicted for i in whole)
 
 
+def test_all_significant_features_are_kept(spark):
+    counts = spark.range(6000).selectExpr("concat('w', id) AS feature", "60L AS toxic", "id % 2 AS clean")
+    counts = counts.unionAll(spark.createDataFrame([("plain", 60, 200)], counts.schema))
+    kept = tx._log_odds(counts, 400_000, 1_200_000, {0: 1.8, 1: 0.2})
+    assert {r.feature for r in kept.collect()} == {f"w{i}" for i in range(6000)}
+
+
 def test_logistic_line_of_unequal_classes():
     for toxic, clean in ((1.0, 1.0), (0.1, 1.9), (0.01, 1.99)):
         points = [(0.0, 1, 30 * toxic), (0.0, 0, 7800 * clean), (2.5, 0, 130 * clean), (4.5, 1, 7900 * toxic)]
