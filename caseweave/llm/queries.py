@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caseweave.llm.byte_pairs import token_counts
 from caseweave.llm.common import table
+from caseweave.llm.embedding_dedup import SIMILARITY, embedding_duplicates
 from caseweave.llm.fingerprints import fingerprints
 from caseweave.llm.license_scan import (
     COVERAGE,
@@ -25,6 +26,14 @@ from caseweave.llm.near_dedup import near_duplicates
 from caseweave.llm.piece_codec import encode_decode
 from caseweave.llm.quality_classifier import quality
 from caseweave.llm.quality_rules import quality_rules
+from caseweave.llm.spelling_variants import (
+    FORM_FACTOR,
+    MIN_COUNT,
+    MIN_LETTERS,
+    TYPO_RATE,
+    spelling_variants,
+)
+from caseweave.llm.token_alignment import align_tokenizers
 from caseweave.llm.toxicity import toxicity
 from caseweave.llm.web_archive import archive_round_trip
 
@@ -73,6 +82,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align_tokenizers(table(spark, sf_dir, "documents"), a, b)
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_sentencepiece_codec": op2_sentencepiece_codec,
@@ -84,6 +106,9 @@ QUERIES: dict[str, Query] = {
     "op8_web_archive": op8_web_archive,
     "op9_source_mixing": op9_source_mixing,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }
 
 OP1_SQL = r"""
@@ -246,9 +271,95 @@ OP9_SQL = (
     + _OP9_END.format(k=FILL_ROUNDS)
 )
 
+# A step of CRC-32 over a byte: the remainder of its lowest eight bits is the sum, by
+# exclusive or, of what each bit leaves. Fixed value: the reversed polynomial.
+def _crc_step(c: str, byte: str) -> str:
+    low = f"(xor({c}, {byte}) & 255)"
+    terms = []
+    for bit in range(8):
+        left = 1 << bit
+        for _ in range(8):
+            left = (left >> 1) ^ (0xEDB88320 if left & 1 else 0)
+        terms.append(f"(({low} >> {bit}) & 1) * {left}")
+    out = f"({c} >> 8)"
+    for term in terms:
+        out = f"xor({out}, {term})"
+    return out
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+r AS (
+  SELECT run, count(*) AS n, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS hashed
+  FROM t WHERE length(run) >= {MIN_LETTERS} GROUP BY doc_id, run),
+h AS (
+  SELECT run, n, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, flatten(
+    list_transform(string_split(hashed, ''), lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)::BIGINT]
+      ELSE [195::BIGINT, (ord(x) - 64)::BIGINT] END))),
+    lambda c, b: {_crc_step("c", "b")})) AS crc
+  FROM r),
+w AS (
+  SELECT CASE WHEN crc % {TYPO_RATE} = 0
+    THEN substr(run, 1, (crc % length(run))::BIGINT) || substr(run, (crc % length(run))::BIGINT + 2)
+    ELSE run END AS word, n
+  FROM h),
+v AS (
+  SELECT word, sum(n)::BIGINT AS n FROM w GROUP BY word
+  HAVING length(word) >= {MIN_LETTERS} AND sum(n) >= {MIN_COUNT}),
+c AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+s AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM c),
+p AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM s a JOIN s b
+    ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION
+  SELECT s.word, s.n, v.word, v.n FROM s JOIN v ON s.less = v.word
+  UNION
+  SELECT v.word, v.n, s.word, s.n FROM s JOIN v ON s.less = v.word),
+q AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS most,
+    arg_min(near, (-near_n, near)) AS near FROM p GROUP BY word),
+f AS (
+  SELECT v.word, v.n, coalesce(q.n_near, 0) AS n_near,
+    CASE WHEN most >= {FORM_FACTOR} * v.n THEN near END AS form,
+    CASE WHEN most >= {FORM_FACTOR} * v.n THEN most END AS form_n
+  FROM v LEFT JOIN q ON q.word = v.word),
+u AS (
+  SELECT word, word AS root, form AS onward FROM f
+  UNION ALL
+  SELECT u.word, f.word, f.form FROM u JOIN f ON f.word = u.onward)
+SELECT f.word, f.form, u.root, f.n, f.n_near, f.form_n
+FROM f JOIN u ON u.word = f.word AND u.onward IS NULL
+"""
+
+OP13_SQL = f"""
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b
+    ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.x, b.x) >= {SIMILARITY}),
+r AS (
+  SELECT vec_id AS id, vec_id AS root FROM embeddings
+  UNION
+  SELECT l.b, r.root FROM r JOIN l ON l.a = r.id),
+c AS (SELECT id, min(root) AS root FROM r GROUP BY id),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, root AS component_id, vec_id = root AS kept
+FROM embeddings JOIN c ON c.id = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
 ORACLE: dict[str, str] = {
     "op3_license_scan": _op3_sql(),
     "op8_web_archive": OP8_SQL,
     "op9_source_mixing": OP9_SQL,
     "op1_minhash_near_dedup": OP1_SQL,
+    "op11_spelling_variants": OP11_SQL,
+    "op13_embedding_near_dedup": OP13_SQL,
 }
