@@ -4,8 +4,9 @@
    BANDS * ROWS bins and the least hash of each bin is its signature value. Empty
    bins borrow from a bin that a hash sequence of their own picks (optimal
    densification), so signatures of short texts agree as often as their sets do.
-2. Documents with the same set are one representative: groups of copies, however
-   large, are one row from here on.
+2. Documents with the same set are one class: groups of copies, however large, are one
+   row from here on. Classes, not ids, are what is linked, so an id with several texts
+   links by each of them.
 3. ROWS signature values make a band key. Representatives with an equal key share a
    bucket. Each bucket proposes stars, not pairs: every member is paired with the
    bucket's most connected member and with one that a hash of the key picks.
@@ -68,16 +69,20 @@ def band_keys(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def _same(shingles: np.ndarray) -> bytes | None:
+    """What equal sets share; None for the empty set."""
+    if not len(shingles):
+        return None
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def _signatures() -> Callable[[Columns], Columns]:
     def run(batch: Columns) -> Columns:
         sets = shingle_sets(batch["text"], SHINGLE_WORDS)
         return {
             "doc_id": batch["doc_id"],
             "n_shingles": [len(s) for s in sets],
-            "same": [
-                hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
-                for s in sets
-            ],
+            "same": [_same(s) for s in sets],
             "bands": [band_keys(signature(s)) if len(s) else None for s in sets],
         }
 
@@ -87,24 +92,25 @@ def _signatures() -> Callable[[Columns], Columns]:
 def _sets() -> Callable[[Columns], Columns]:
     def run(batch: Columns) -> Columns:
         sets = shingle_sets(batch["text"], SHINGLE_WORDS)
-        return {"doc_id": batch["doc_id"], "shingles": [s.view(np.int64) for s in sets]}
+        return {"same": [_same(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]}
 
     return run
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, same (digest of the set), bands; the last two NULL without words."""
-    return map_columns(
-        texts(docs).where(F.col("doc_id").isNotNull()),
-        _signatures,
-        "doc_id long, n_shingles long, same binary, bands array<long>",
+    """doc_id, n_shingles, same (digest of the set), bands; the last two NULL without words
+    and without doc_id, as nothing links there."""
+    found = map_columns(
+        texts(docs), _signatures, "doc_id long, n_shingles long, same binary, bands array<long>"
     )
+    named = F.col("doc_id").isNotNull()
+    return found.withColumns({c: F.when(named, F.col(c)) for c in ("same", "bands")})
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those pairs (a, b) whose full sets reach the similarity."""
-    one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
-    two = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
+    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
+    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     size_a, size_b = F.size("set_a"), F.size("set_b")
     both = F.size(F.array_intersect("set_a", "set_b"))
     # sets of too different sizes cannot reach it: known before the intersection
@@ -155,7 +161,7 @@ def _across_components(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     Shingles of a single document only count as places in the order.
     """
     grams = materialise(
-        sets.join(mixed, sets["doc_id"] == mixed["id"]).select(
+        sets.join(mixed, sets["node"] == mixed["id"]).select(
             "id", "root", F.size("shingles").alias("size"), F.explode("shingles").alias("gram")
         ),
         "grams",
@@ -183,11 +189,11 @@ def _across_components(mixed: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per document.
+    """doc_id, n_shingles, component_id, kept: one row per row of docs.
 
-    A document without words (or text) has no shingles and stands alone. A NULL
-    doc_id cannot be linked and is left out; rows with the same doc_id are one
-    document as far as links go, and each is returned. An empty table gives an
+    A document without words (or text) has no shingles and stands alone. So does a row
+    without doc_id, which is kept and has component_id NULL. Rows with an equal doc_id
+    may have different texts: each row is linked by its own. An empty table gives an
     empty one. Further columns are ignored.
     """
     prepare(docs.sparkSession)
@@ -196,32 +202,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         sigs.where(F.col("same").isNotNull())
         .groupBy("same")
         .agg(F.min("doc_id").alias("rep"))
+        .withColumn("node", F.monotonically_increasing_id())
     )
+    # written once: the numbers of the classes stay what they are
+    classes = materialise(classes, "classes")
     of_class = materialise(
-        sigs.select("doc_id", "n_shingles", "same").join(
-            materialise(classes, "reps"), "same", "left"
-        ),
-        "classes",
+        sigs.select("doc_id", "n_shingles", "same").join(classes, "same", "left"), "of-class"
     )
-    reps = of_class.where(F.col("doc_id") == F.col("rep")).select("doc_id").distinct()
     keyed = (
-        sigs.where(F.col("bands").isNotNull())
-        .join(reps, "doc_id", "left_semi")
-        .select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
+        sigs.join(classes.withColumnRenamed("rep", "doc_id"), ["same", "doc_id"])
+        .select(F.col("node").alias("id"), F.explode("bands").alias("key"))
     )
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    # rows of a repeated doc_id become one only now: by key, a full bucket would be one task
+    # repeated rows of a class become one only now: by key, a full bucket would be one task
     met = materialise(keyed.join(materialise(shared, "shared"), "key"), "met")
     members = materialise(met.distinct(), "members")
-    involved = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = materialise(
-        map_columns(
-            texts(docs).join(involved, "doc_id", "left_semi"),
-            _sets,
-            "doc_id long, shingles array<long>",
-        ).dropDuplicates(["doc_id"]),
-        "sets",
-    )
+    involved = classes.join(members.select(F.col("id").alias("node")).distinct(), "node", "left_semi")
+    involved = materialise(involved, "involved")
+    found_sets = map_columns(
+        texts(docs).join(involved.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"),
+        _sets,
+        "same binary, shingles array<long>",
+    ).dropDuplicates(["same"])
+    sets = materialise(found_sets.join(involved, "same").select("node", "shingles"), "sets")
     stars = materialise(_stars(members), "pairs", narrow=True)
     links = materialise(_confirmed(stars, sets), "confirmed")
     roots = connected_components(links)
@@ -230,13 +233,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     across = materialise(_confirmed(more, sets), "confirmed")
     if not across.isEmpty():
         roots = connected_components(links.union(across))
-    found = of_class.join(roots, of_class["rep"] == roots["id"], "left")
-    component = F.coalesce("root", "rep", "doc_id")
+    grouped = roots.join(classes, roots["id"] == classes["node"]).select("id", "root", "rep")
+    least = grouped.groupBy("root").agg(F.min("rep").alias("least"))
+    component = materialise(grouped.join(least, "root").select("id", "least"), "least", narrow=True)
+    found = of_class.join(component, of_class["node"] == component["id"], "left")
+    found_id = F.coalesce("least", "rep", "doc_id")
     return found.select(
         "doc_id",
         "n_shingles",
-        component.alias("component_id"),
-        (F.col("doc_id") == component).alias("kept"),
+        found_id.alias("component_id"),
+        F.coalesce(F.col("doc_id") == found_id, F.lit(True)).alias("kept"),
     )
 
 
@@ -245,6 +251,6 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     Of several rows with the doc_id that stays, all stay; rows without doc_id stay.
     """
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
+    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
     return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))

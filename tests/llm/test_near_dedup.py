@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pytest
 
 from caseweave.llm.components import connected_components
 from caseweave.llm.near_dedup import band_keys, deduplicated, near_duplicates, signature
@@ -21,26 +23,29 @@ def shingles(text):
 
 
 def brute(rows):
-    """component by doc_id over all pairs."""
-    sets = {}
-    for doc_id, text in rows:
-        if doc_id is not None:
-            sets.setdefault(doc_id, shingles(text))
-    ids = sorted(sets)
-    root = {i: i for i in ids}
+    """(doc_id, n_shingles, component, kept) per row, over all pairs of rows."""
+    sets = [shingles(text) for _, text in rows]
+    root = list(range(len(rows)))
 
     def find(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    for n, a in enumerate(ids):
-        for b in ids[n + 1 :]:
+    named = [i for i, (doc_id, _) in enumerate(rows) if doc_id is not None]
+    for n, a in enumerate(named):
+        for b in named[n + 1 :]:
             x, y = sets[a], sets[b]
             if x and y and 100 * len(x & y) >= 75 * len(x | y):
-                low, high = sorted((find(a), find(b)))
-                root[high] = low
-    return {i: (len(sets[i]), find(i)) for i in ids}
+                root[find(b)] = find(a)
+    least = {}
+    for i in named:
+        least[find(i)] = min(rows[i][0], least.get(find(i), rows[i][0]))
+    found = [least.get(find(i)) for i in range(len(rows))]
+    return Counter(
+        (row[0], len(s), c, row[0] is None or row[0] == c)
+        for row, s, c in zip(rows, sets, found, strict=True)
+    )
 
 
 def changed(text, share, seed):
@@ -50,11 +55,15 @@ def changed(text, share, seed):
 
 def compare(documents, rows):
     got = near_duplicates(documents(rows)).collect()
-    expected = brute(rows)
-    assert len(got) == sum(i is not None for i, _ in rows)
-    for r in got:
-        assert (r.n_shingles, r.component_id) == expected[r.doc_id]
-        assert r.kept == (r.doc_id == r.component_id)
+    assert Counter(map(tuple, got)) == brute(rows)
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_two_texts_under_one_id(documents, turned):
+    a, b = prose(1, 60), prose(2, 60).split()[:13]
+    rows = [(5, a), (5, " ".join(b)), (9, " ".join(b)), (10, " ".join([*b, "more"]))]
+    rows += [(None, a), (None, a), (5, None), (3, a)]
+    compare(documents, rows[::-1] if turned else rows)
 
 
 def test_links_match_brute_force(documents):
