@@ -17,9 +17,10 @@ from pyspark.sql.types import StructType
 
 import caseweave
 
-# Rows that a Python task receives at once. Texts are whole, so the batch is kept
-# short: its bytes are this many times the mean length of the texts in it.
+# Rows, and bytes, that a Python task receives at once. Texts are whole, so a batch holds
+# at most this many bytes or one text.
 BATCH_ROWS = 256
+BATCH_BYTES = 16 << 20
 
 # The white space that separates words.
 WHITE_SPACE = "\t\n\x0b\x0c\r "
@@ -44,9 +45,16 @@ def _send_package(spark: SparkSession) -> None:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Settings that keep Python batches short and let AQE split full keys of joins."""
+    """Settings that keep Python batches short and let AQE split full keys of joins.
+
+    They stay set: results are lazy, and the settings count when they are computed.
+    Tighter bounds of the session are left as they are.
+    """
     _send_package(spark)
     conf = spark.conf
+    held = conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    if not held.rstrip("b").isdigit() or int(held.rstrip("b")) > BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     conf.set("spark.sql.adaptive.enabled", "true")
@@ -55,17 +63,31 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where none is set."""
+    """The folder that all executors share. Only a local master, whose executors are this
+    process, may do without: it gets a temporary one."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="caseweave-")
         spark.sparkContext.setCheckpointDir(shared)
     return f"{shared.rstrip('/')}/caseweave-llm"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the tables that operators of this application wrote on their way.
+
+    To be called once their results are stored: results are lazy and read them.
+    """
+    folder = f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder of its own for each call, so that reruns never meet."""
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    return f"{scratch_dir(spark)}/{app}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:

@@ -5,9 +5,21 @@ from __future__ import annotations
 from typing import Any
 
 
+# Longest key that is kept. Longer ones are rare words, parts without spaces and the like:
+# they seldom come again, and a store of them would be bounded in number but not in bytes.
+LONGEST_KEY = 64
+
+
+def _length(key: Any) -> int:
+    if isinstance(key, tuple):
+        return sum(map(_length, key))
+    return len(key) if isinstance(key, str) else 1
+
+
 class Memo:
-    """Keeps up to twice `limit` results; what was not asked for during the last
-    `limit` additions goes first. None stands for a result that is not there."""
+    """Keeps up to twice `limit` results; keys are texts, or tuples of texts, of up to
+    LONGEST_KEY characters, others are not kept; what was not asked for during the last `limit` additions goes first.
+    None stands for a result that is not there."""
 
     def __init__(self, limit: int) -> None:
         self._limit = limit
@@ -23,6 +35,8 @@ class Memo:
         return found
 
     def put(self, key: Any, value: Any) -> None:
+        if _length(key) > LONGEST_KEY:
+            return
         if len(self._new) >= self._limit:
             self._old, self._new = self._new, {}
         self._new[key] = value

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -9,6 +10,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from caseweave.llm.byte_pairs import PairCounter, token_counts
+from caseweave.llm.common import clear_scratch, materialise, scratch_path
 from caseweave.llm.memo import Memo
 from caseweave.llm.piece_codec import PieceCodec, encode_decode
 
@@ -102,3 +104,15 @@ def test_memo_is_bounded():
         memo.get(0) or memo.put(0, 5)
     assert len(memo._new) + len(memo._old) <= 20
     assert (memo.get(0), memo.get(999), memo.get(500)) == (5, 999, None)
+    for key in ("x" * 65, ("x" * 40, "y" * 40)):
+        memo.put(key, 1)
+        assert memo.get(key) is None
+
+
+def test_scratch_tables_are_removed(spark, documents):
+    docs = materialise(documents([(1, "kept until cleared")]), "some")
+    assert docs.count() == 1
+    folder = Path(scratch_path(spark, "x")).parent
+    assert list(folder.iterdir())
+    clear_scratch(spark)
+    assert not folder.exists()
