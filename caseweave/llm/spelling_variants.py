@@ -38,7 +38,7 @@ FORM_FACTOR = 5
 TYPO_RATE = 199
 
 # Letters (delimiters included) that one shard's index is meant to hold.
-SHARD_SYMBOLS = 500_000
+SHARD_SYMBOLS = 250_000
 # Different words that a task counts before it hands on what it has.
 _HELD_WORDS, _HELD_LETTERS = 300_000, 4_000_000
 _QUERIES = 8192
@@ -123,9 +123,9 @@ def _asked_keys(word: Column) -> Column:
     )
 
 
-def _sharded(words: DataFrame) -> DataFrame:
+def _sharded(words: DataFrame) -> tuple[DataFrame, int]:
     """h, part (the shard), asks, word, n: stored words (asks 0) and queries by their
-    first half (1) and second half (2)."""
+    first half (1) and second half (2); the number of shards."""
     stored = words.select("word", "n", F.explode(_stored_keys(F.col("word"))).alias("key"))
     stored = stored.select("word", "n", "key.side", "key.half")
     asked = words.select("word", "n", F.explode(_asked_keys(F.col("word"))).alias("key"))
@@ -140,6 +140,7 @@ def _sharded(words: DataFrame) -> DataFrame:
         F.ceil(F.col("symbols") / SHARD_SYMBOLS).cast("int").alias("parts"),
     )
     full = materialise(full, "full-halves")
+    n_parts = full.agg(F.sum("parts")).first()[0] or 0
     here = (F.col("side") == F.col("full_side")) & (F.col("half") == F.col("full_half"))
     by_hash = F.pmod(F.xxhash64("side", "half"), F.lit(n_shards))
     own_part = F.pmod(F.xxhash64("word"), F.col("parts")).cast("int")
@@ -157,7 +158,8 @@ def _sharded(words: DataFrame) -> DataFrame:
     )
     queries = asked.join(full, here, "left").withColumn("at", F.explode(all_parts))
     asks = F.when(F.col("side") == "first", 1).otherwise(2).alias("asks")
-    return kept.distinct().unionByName(queries.select(*shard(F.col("at")), asks, "word", "n"))
+    queries = queries.select(*shard(F.col("at")), asks, "word", "n")
+    return kept.distinct().unionByName(queries), n_shards + n_parts
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -200,8 +202,8 @@ def near_words(words: DataFrame) -> DataFrame:
                     while some := list(islice(asked, _QUERIES)):
                         yield found(index, counts, some, half)
 
-    rows = _sharded(words).repartition("h", "part")
-    rows = rows.sortWithinPartitions("h", "part", "asks")
+    rows, n_shards = _sharded(words)
+    rows = rows.repartition(n_shards, "h", "part").sortWithinPartitions("h", "part", "asks")
     return rows.mapInArrow(run, schema)
 
 

@@ -106,7 +106,7 @@ def chained_words():
     return rows
 
 
-@pytest.mark.parametrize("symbols", [500_000, 300])
+@pytest.mark.parametrize("symbols", [250_000, 300])
 def test_variants_match_brute_force(documents, counted, monkeypatch, symbols):
     # with small shards nearly every half is split over several
     monkeypatch.setattr(spelling_variants, "SHARD_SYMBOLS", symbols)
