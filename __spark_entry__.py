@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib.util
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +31,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 Context = Callable[[SparkSession, str], cx.ReportContext]
 
 
+@lru_cache(maxsize=8)
+def _kept_sources(app: str, spark: SparkSession, sf_dir: str) -> Sources:
+    """Sources keep what they measure, for all queries of the application."""
+    return fixture_sources(spark, sf_dir)
+
+
 def _sources(spark: SparkSession, sf_dir: str) -> Sources:
-    return fixture_sources(tune(spark), sf_dir)
+    return _kept_sources(spark.sparkContext.applicationId, tune(spark), sf_dir)
 
 
 def _general(spark: SparkSession, sf_dir: str) -> cx.ReportContext:

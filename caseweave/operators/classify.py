@@ -79,6 +79,7 @@ def grants_cohort(
         with_stint_count(spans),
         cohort_grants(sources.participants, sources.grant_type, window, keep_ungranted),
         keys=sources.grant_type.where(_running(window)).select(PID),
+        hot=sources.hot_keys("grant_type"),
     )
 
 

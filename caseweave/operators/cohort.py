@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from caseweave.functions.joins import spread_join
+from caseweave.functions.joins import HotKeys, spread_join
 from caseweave.functions.matching import flag
 
 PID = "participant_id"
@@ -31,7 +31,8 @@ class Cohort:
     ``member``: a participant belongs only if some service meets this condition.
     ``kept``: services that count once membership is decided.
     ``keys``: a table with at least one row per service row, by participant_id;
-    it tells cheaply which participants have very many services.
+    it tells cheaply which participants have very many services. ``hot`` names them, if
+    they were measured before.
     """
 
     def __init__(
@@ -41,12 +42,14 @@ class Cohort:
         member: Column | None = None,
         kept: Column | None = None,
         keys: DataFrame | None = None,
+        hot: HotKeys | None = None,
     ):
         self.episodes = episodes
         self.services = services
         self.member = member
         self.kept = kept
         self.keys = keys
+        self.hot = hot
 
     @property
     def columns(self) -> list[str]:
@@ -63,6 +66,7 @@ class Cohort:
             self.member,
             self.kept,
             self.keys,
+            self.hot,
         )
 
     def served(self) -> DataFrame:
@@ -101,7 +105,7 @@ class Cohort:
 
         Episodes are few per participant; services may be many and are split.
         """
-        out = spread_join(self.served(), self.episodes, PID, sizes=self.keys)
+        out = spread_join(self.served(), self.episodes, PID, sizes=self.keys, hot=self.hot)
         return out.select(*self.columns)
 
     # -- derivation -------------------------------------------------------
@@ -119,7 +123,7 @@ class Cohort:
         if self.member is None:
             return self._with(services=self.services.where(condition))
         kept = self._counting(condition)
-        return Cohort(self.episodes, self.services, self.member, kept, self.keys)
+        return Cohort(self.episodes, self.services, self.member, kept, self.keys, self.hot)
 
     def join_people(self, facts: DataFrame) -> Cohort:
         """Add columns of a table with one row per participant (inner join)."""
@@ -139,7 +143,8 @@ class Cohort:
         member = self._counting(condition)
         if self.member is not None:
             raise ValueError("membership is already decided")
-        return Cohort(episodes.drop("_last"), self.services, member, self.kept, self.keys)
+        last_only = episodes.drop("_last")
+        return Cohort(last_only, self.services, member, self.kept, self.keys, self.hot)
 
     # -- reductions -------------------------------------------------------
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from caseweave.functions.aggregates import best_row
 from caseweave.functions.dates import ReportWindow, add_years, age_years
-from caseweave.functions.joins import spread_join
+from caseweave.functions.joins import HotKeys, spread_join
 from caseweave.functions.matching import ci_contains, flag
 from caseweave.functions.ranking import numbered_rows
 from caseweave.operators.classify import best_addresses
@@ -92,7 +92,10 @@ def dem_recent_address(cohort: AnyCohort | DataFrame, address: DataFrame) -> Dat
 
 
 def dem_recent_address_neighborhood(
-    cohort: AnyCohort | DataFrame, neighborhoods: DataFrame, latest_only: bool = False
+    cohort: AnyCohort | DataFrame,
+    neighborhoods: DataFrame,
+    latest_only: bool = False,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Addresses with neighborhood, numbered per participant from the best one.
 
@@ -107,7 +110,7 @@ def dem_recent_address_neighborhood(
         order = [primary, entered, -known, -F.col("address_id")]
         best = best_row(neighborhoods, PID, order).join(people, PID, "left_semi")
         return best.select(*out, F.lit(1).alias("rn"))
-    places = spread_join(neighborhoods, people, PID)
+    places = spread_join(neighborhoods, people, PID, hot=hot)
     numbered = numbered_rows(
         places,
         PID,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from caseweave import fixed_values as fv
 from caseweave.functions.aggregates import distinct_flags
 from caseweave.functions.dates import ReportWindow, age_years
-from caseweave.functions.joins import spread_join
+from caseweave.functions.joins import HotKeys, spread_join
 from caseweave.functions.matching import ci_contains, ci_eq, is_true
 from caseweave.operators import sessions as sess
 from caseweave.operators.cohort import PID, AnyCohort, as_cohort
@@ -54,6 +54,7 @@ def idhs_class_notes(
     new: bool = False,
     class_text: str = fv.CLASS_TEXT,
     literal: bool = False,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Words of the class notes of participants, with their number of occurrences.
 
@@ -69,7 +70,7 @@ def idhs_class_notes(
     )
     words = F.explode(F.regexp_extract_all("summary_note", F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
     spellings = (
-        spread_join(enrolled, people, PID)
+        spread_join(enrolled, people, PID, hot=hot)
         .select(words.alias("acronym"))
         .groupBy("acronym")
         .agg(F.count(F.lit(1)).alias("n"))

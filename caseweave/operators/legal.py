@@ -21,7 +21,7 @@ from caseweave.functions.aggregates import (
     rank_of,
 )
 from caseweave.functions.dates import ReportWindow, add_years
-from caseweave.functions.joins import spread_join
+from caseweave.functions.joins import HotKeys, spread_join
 from caseweave.functions.matching import ci_contains, ci_contains_any, ci_eq, ci_starts, flag
 from caseweave.functions.percentages import percentage_convert
 from caseweave.operators import sessions as sess
@@ -326,6 +326,7 @@ def legal_case_statuses(
     window: ReportWindow,
     timeframe: bool = False,
     opened_closed: str = "closed",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Felony and misdemeanor cases per status and per outcome.
 
@@ -342,7 +343,7 @@ def legal_case_statuses(
     listed_cases = cases.select(
         PID, "case_id", "charge", "arrest_date", "case_status_current", "case_outcome"
     )
-    served = spread_join(listed_cases, first, PID)
+    served = spread_join(listed_cases, first, PID, hot=hot)
 
     def within(days: int) -> Column:
         return F.col("first_active") <= F.date_add("arrest_date", days)
@@ -435,6 +436,7 @@ def legal_case_type(
     opened_closed: str = "opened",
     percentage: bool = False,
     case_client: str = "case",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Cases (or participants) since the last close, by type.
 
@@ -451,7 +453,7 @@ def legal_case_type(
         _began=F.max(F.coalesce(window.has("active_date"), F.lit(False)))
     )
     people = people.join(last_close.select(PID, "last_closed_date"), PID)
-    served = spread_join(cases, people, PID).where(_after_last_close())
+    served = spread_join(cases, people, PID, hot=hot).where(_after_last_close())
     if timeframe and opened:
         served = served.where(window.has("arrest_date") | F.col("_began"))
     return _case_type_report(served, case_client, percentage)

@@ -15,6 +15,11 @@ from caseweave.plans.context import ReportContext as Ctx
 
 Query = Callable[..., DataFrame]
 
+def _hot(ctx: Ctx, table: str) -> dict[str, object]:
+    """The table's participants with very many rows, as far as the sources know them."""
+    return {"hot": ctx.sources.hot_keys(table)}
+
+
 QUERIES: dict[str, Query] = {
     # demographics
     "dem_age_tally": lambda c, **o: demographics.dem_age_tally(
@@ -30,7 +35,9 @@ QUERIES: dict[str, Query] = {
         c.cohort, c.sources.address, **o
     ),
     "dem_recent_address_neighborhood": lambda c, **o: (
-        demographics.dem_recent_address_neighborhood(c.cohort, c.sources.neighborhoods, **o)
+        demographics.dem_recent_address_neighborhood(
+            c.cohort, c.sources.neighborhoods, **_hot(c, "neighborhoods"), **o
+        )
     ),
     # documents, grants, incidents, mediation
     "docs_has_formatted": lambda c, **o: documents.docs_has_formatted(
@@ -82,13 +89,13 @@ QUERIES: dict[str, Query] = {
         c.cohort, c.sources.legal, c.sources.highest_case, c.window, **o
     ),
     "legal_case_statuses": lambda c, **o: legal.legal_case_statuses(
-        c.cohort, c.sources.legal, c.window, **o
+        c.cohort, c.sources.legal, c.window, **_hot(c, "legal"), **o
     ),
     "legal_one_case": lambda c, **o: legal.legal_one_case(
         c.cohort, c.sources.legal, c.window, **o
     ),
     "legal_case_type": lambda c, **o: legal.legal_case_type(
-        c.cohort, c.sources.legal, c.sources.last_close, c.window, **o
+        c.cohort, c.sources.legal, c.sources.last_close, c.window, **_hot(c, "legal"), **o
     ),
     "legal_case_type_first": lambda c, **o: legal.legal_case_type_first(
         c.cohort, c.sources.legal, c.sources.last_close, **o
@@ -135,9 +142,11 @@ QUERIES: dict[str, Query] = {
         c.cohort, **o
     ),
     # A2J
-    "a2j_cases": lambda c, **o: a2j.a2j_cases(c.cohort, c.sources.legal, c.window, **o),
+    "a2j_cases": lambda c, **o: a2j.a2j_cases(
+        c.cohort, c.sources.legal, c.window, **_hot(c, "legal"), **o
+    ),
     "a2j_linkages": lambda c, **o: a2j.a2j_linkages(
-        c.cohort, c.sources.linkages, c.window, **o
+        c.cohort, c.sources.linkages, c.window, **_hot(c, "linkages"), **o
     ),
     # monthly
     "grouped_by_status": lambda c, **o: monthly.grouped_by_status(c.cohort, **o),
@@ -147,7 +156,7 @@ QUERIES: dict[str, Query] = {
     "idhs_tally": lambda c, **o: funder.idhs_tally(c.cohort, **o),
     "idhs_tally_closed": lambda c, **o: funder.idhs_tally_closed(c.cohort, c.window, **o),
     "idhs_class_notes": lambda c, **o: funder.idhs_class_notes(
-        c.cohort, c.sources.classes, c.window, **o
+        c.cohort, c.sources.classes, c.window, **_hot(c, "classes"), **o
     ),
     "idhs_race_gender": lambda c, **o: funder.idhs_race_gender(
         c.cohort, c.sources.participants, **o

@@ -5,7 +5,15 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from caseweave.functions.joins import HOT_ROWS_CONF, dealt, hot_keys, spread_join
+from caseweave.functions.joins import (
+    HOT_ROWS_CONF,
+    HotKeys,
+    dealt,
+    hot_keys,
+    measured_hot_keys,
+    repeated,
+    spread_join,
+)
 from verification import skewed
 from verification.compare import difference, oracle_connection
 
@@ -54,14 +62,57 @@ def test_spread_join_equals_join(spark, rows):
     )
     people = spark.range(40).selectExpr("id AS k", "id * 2 AS v")
     twice = people.unionByName(people.withColumn("v", people.v + 1))
+    measured = measured_hot_keys(facts, "k")
+    assert measured.known and measured.count == 1 and not measured.none
+    other = hot_keys(twice, "k")
     for side in (people, twice):
-        assert rows(spread_join(facts, side, "k"), "id", "v") == rows(facts.join(side, "k"), "id", "v")
+        want = rows(facts.join(side, "k"), "id", "v")
+        for options in ({}, {"hot": measured}, {"other_hot": other}, {"hot": measured, "other_hot": other}):
+            assert rows(spread_join(facts, side, "k", **options), "id", "v") == want
+
+
+def test_both_sides_are_dealt(spark):
+    """A person with 10,000 listed rows and 10,000 cases: no task gets more than its parts."""
+    listed = spark.range(10_000).selectExpr("id AS row_id", "7L AS k").repartition(8)
+    cases = spark.range(10_000).selectExpr("id AS case_id", "7L AS k").repartition(8)
+    hot, other = hot_keys(cases, "k"), hot_keys(listed, "k")
+    left = repeated(dealt(cases, hot, "k"), other, "k", "_other")
+    right = repeated(dealt(listed, other, "k", "_other"), hot, "k")
+    for side in (left, right):
+        parts = [r["count"] for r in side.groupBy("k", "_part", "_other").count().collect()]
+        assert len(parts) == 200 * 200 and max(parts) <= 2 * 50
+    # the same join on a part of it, all pairs there
+    few = spread_join(cases.where("case_id < 300"), listed.where("row_id < 300"), "k", hot=hot, other_hot=other)
+    assert few.distinct().count() == 90_000
+
+
+def test_sketch_finds_every_hot_key(spark):
+    """Many keys around the limit, and a long tail; nothing above the limit is missed."""
+    facts = spark.range(200_000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN id % 900 ELSE 1000000 + id END AS k", "id"
+    )
+    counts = {r.k: r["count"] for r in facts.groupBy("k").count().where("count > 50").collect()}
+    found = {r.k: r["_parts"] for r in measured_hot_keys(facts, "k").parts.collect()}
+    exact = {r.k: r["_parts"] for r in hot_keys(facts, "k").parts.collect()}
+    assert exact == {k: -(-n // 50) for k, n in counts.items()}
+    assert found.keys() >= exact.keys() and all(found[k] >= exact[k] for k in exact)
+
+
+def test_exact_count_where_a_sketch_could_miss(spark, monkeypatch):
+    from caseweave.functions import joins
+
+    facts = spark.range(2000).selectExpr("id % 30 AS k")
+    monkeypatch.setattr(joins, "SKETCH_ERROR", 0.5)
+    found = measured_hot_keys(facts, "k")
+    assert (found.known, found.count) == (True, 30)
+    assert measured_hot_keys(facts.where("k < 0"), "k").none
+    assert isinstance(found, HotKeys)
 
 
 def test_no_part_exceeds_the_limit(spark):
     facts = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k", "id").repartition(4)
     hot = hot_keys(facts, "k")
-    assert [tuple(r) for r in hot.collect()] == [(0, 20)]
+    assert [tuple(r) for r in hot.parts.collect()] == [(0, 20)]
     sizes = dealt(facts, hot, "k").groupBy("k", "_part").count()
     assert sizes.agg({"count": "max"}).first()[0] <= 2 * 50
     assert facts.count() == dealt(facts, hot, "k").count()
