@@ -14,7 +14,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from caseweave.llm import e8, embedding_dedup, spelling_variants, token_alignment
+from caseweave.llm import e8, embedding_dedup, spelling_variants
 from caseweave.llm.byte_pairs import byte_letters
 from caseweave.llm.embedding_dedup import embedding_duplicates
 from caseweave.llm.fm_index import WordIndex, suffix_ranks
@@ -208,13 +208,11 @@ ALIGNED = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
 
 
 @pytest.mark.parametrize(("size", "frequent"), [(16_384, 1 << 20), (37, 40)])
-def test_alignment_matches_brute_force(documents, counted, libraries, monkeypatch, size, frequent):
+def test_alignment_matches_brute_force(documents, counted, libraries, size, frequent):
     # with ranges of 37 bytes nearly every text is composed of a tree of fragments
-    monkeypatch.setattr(token_alignment, "RANGE_BYTES", size)
-    monkeypatch.setattr(token_alignment.ranges, "__defaults__", (size,))
     odd = [(i, t[:3000] if t else t) for i, t in ODD]
     rows = odd + HARD + [(50 + i, prose(i, 120)) for i in range(12)]
-    got = counted(align_tokenizers(documents(rows), A_FILE, B_FILE, frequent), *ALIGNED)
+    got = counted(align_tokenizers(documents(rows), A_FILE, B_FILE, frequent, size), *ALIGNED)
     assert got == aligned_by_force(rows, libraries)
 
 
