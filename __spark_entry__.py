@@ -159,7 +159,7 @@ def _adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bundle(report: rp.Report, context: Context) -> Query:
-    return lambda spark, sf_dir: rp.report_cells(rp.build_report(report, context(spark, sf_dir)))
+    return lambda spark, sf_dir: rp.run_report(report, context(spark, sf_dir))
 
 
 def _report_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,8 +69,15 @@ def rank_of(c: Column | str, values: Sequence[str]) -> Column:
 
 
 def order_by_rank(
-    df: DataFrame, c: str, values: Sequence[str], nulls_first: bool = False
+    df: DataFrame,
+    c: str,
+    values: Sequence[str],
+    nulls_first: bool = False,
+    then: Sequence[str] = (),
 ) -> DataFrame:
-    """Sort a finished report by a fixed value order, other values last, NULL last or first."""
+    """Sort a finished report by a fixed value order, other values last, NULL last or first.
+
+    ``then`` are columns that order rows of one value.
+    """
     null = F.col(c).isNotNull() if nulls_first else F.col(c).isNull()
-    return df.orderBy(null, rank_of(c, values).asc_nulls_last(), F.col(c).asc_nulls_last())
+    return df.orderBy(null, rank_of(c, values).asc_nulls_last(), F.col(c).asc_nulls_last(), *then)

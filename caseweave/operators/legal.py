@@ -365,7 +365,9 @@ def legal_case_statuses(
         .select("case_id", "charge", "e.part", F.col("e.label").alias("case_status_current"))
     )
     counts = distinct_flags(listed, ["part", "case_status_current"], "case_id", _charge_flags())
-    return order_by_rank(counts, "case_status_current", fv.CASE_STATUS_ORDER).drop("part")
+    # a text may be a status as well as an outcome; its status row comes first
+    ordered = order_by_rank(counts, "case_status_current", fv.CASE_STATUS_ORDER, then=["part"])
+    return ordered.drop("part")
 
 
 def legal_one_case(

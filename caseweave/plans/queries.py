@@ -5,7 +5,8 @@ Options are keyword arguments of the operator behind the name.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -183,6 +184,62 @@ QUERIES: dict[str, Query] = {
 }
 
 
+# Queries whose rows come in a defined order; with a condition on the options where only
+# some forms do.
+_ORDERED: dict[str, Callable[[dict[str, object]], bool]] = {
+    "legal_case_statuses": lambda o: True,
+    "legal_case_type": lambda o: True,
+    "legal_case_type_first": lambda o: True,
+    "programs_packages": lambda o: True,
+    "programs_session_length_grouped": lambda o: True,
+    "programs_by_demographic": lambda o: bool(o.get("percentages")),
+    "grouped_by_status": lambda o: True,
+    "grouped_by_time": lambda o: True,
+}
+
+
+def is_ordered(name: str, options: dict[str, object]) -> bool:
+    return name in _ORDERED and _ORDERED[name](options)
+
+
+# The fact table that a query reads only inside the window, whatever else it asks of the
+# rows; the condition on the options says when it does.
+_WINDOWED: dict[str, tuple[str, Callable[[dict[str, object]], bool]]] = {
+    "programs_sessions": ("case_sessions", lambda o: o.get("timeframe", True) is True),
+    "programs_session_tally": ("case_sessions", lambda o: True),
+    "programs_session_length": ("case_sessions", lambda o: o.get("timeframe", True) is True),
+    "programs_session_length_grouped": (
+        "case_sessions", lambda o: o.get("timeframe", True) is True,
+    ),
+    "jac_cm_hours": ("case_sessions", lambda o: True),
+    "jac_cm_sessions": ("case_sessions", lambda o: True),
+    "link_tally": ("linkages", lambda o: o.get("timeframe", False) is True),
+    "link_goal_area": ("linkages", lambda o: o.get("timeframe", True) is True),
+    "idhs_linkages": ("linkages", lambda o: True),
+}
+# Further queries over these tables, which read rows outside the window.
+_WHOLE = {
+    "case_sessions": ("legal_program_involvement",),
+    "linkages": (
+        "a2j_linkages", "link_edu_job", "legal_in_custody_links", "legal_program_involvement",
+        "jac_linked_participant_tally",
+    ),
+}
+
+
+def shared_tables(blocks: Collection[tuple[str, Mapping[str, object]]]) -> list[str]:
+    """Fact tables that several of the given queries read, all of them inside the window only."""
+    windowed, whole = Counter(), set()
+    for name, options in blocks:
+        table, applies = _WINDOWED.get(name, ("", lambda o: False))
+        if applies(dict(options)):
+            windowed[table] += 1
+        elif table:
+            whole.add(table)
+        whole |= {t for t, names in _WHOLE.items() if name.startswith(names)}
+    return sorted(t for t, n in windowed.items() if n > 1 and t not in whole)
+
+
 def run_query(ctx: Ctx, name: str, **options: object) -> DataFrame:
     """Build one query; an unknown name is an error."""
     if name not in QUERIES:

@@ -5,17 +5,20 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from dataclasses import replace
 from functools import reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from caseweave.operators.cohort import Cohort, FlatCohort
+from caseweave.functions.dates import ReportWindow
+from caseweave.operators.cohort import PID, Cohort, FlatCohort
 from caseweave.plans.context import ReportContext
-from caseweave.plans.queries import QUERIES, run_query
+from caseweave.plans.queries import QUERIES, is_ordered, run_query, shared_tables
 
 Report = Mapping[str, tuple[str, Mapping[str, object]]]
 
@@ -120,33 +123,68 @@ def build_report(report: Report, ctx: ReportContext) -> dict[str, DataFrame]:
     return {block: run_query(ctx, name, **options) for block, (name, options) in report.items()}
 
 
-def report_cells(blocks: Mapping[str, DataFrame]) -> DataFrame:
-    """All blocks in one table: block, field, value as text, and how many cells hold it.
+def report_rows(report: Report, blocks: Mapping[str, DataFrame]) -> DataFrame:
+    """All blocks in one table: block, row, content, n.
 
-    Numbers are written with four decimals, whatever their type.
+    A row's content is its fields as text, by name. Rows of a block with a defined order
+    are numbered from 1; other blocks, which may be long listings, have no numbers, and n
+    says how often a content occurs.
     """
-    return reduce(DataFrame.unionByName, (_cells(name, df) for name, df in blocks.items()))
+    parts = []
+    for block, df in blocks.items():
+        name, options = report[block]
+        rows = _numbered(df) if is_ordered(name, dict(options)) else df.withColumn("_row", F.lit(None))
+        content = F.concat_ws("; ", *[_field(f) for f in sorted(df.schema, key=lambda f: f.name)])
+        texts = rows.select(F.col("_row").cast("bigint").alias("row"), content.alias("content"))
+        counted = texts.groupBy("row", "content").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(counted.select(F.lit(block).alias("block"), "row", "content", "n"))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _cells(block: str, df: DataFrame) -> DataFrame:
-    def text(name: str) -> Column:
-        value = F.col(f"`{name}`").cast("string")
-        number = value.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$")
-        return F.when(number, value.cast("decimal(20,4)").cast("string")).otherwise(value)
+def _numbered(df: DataFrame) -> DataFrame:
+    """Rows of a sorted tally by number: it has a row per group, so one task numbers them."""
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
+    return placed.withColumn("_row", F.row_number().over(W.orderBy("_place"))).drop("_place")
 
-    texts = df.select(*[text(c).alias(c) for c in df.columns])
-    cells = texts.unpivot([], list(df.columns), "field", "value")
-    counted = cells.groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
-    return counted.select(F.lit(block).alias("block"), "field", "value", "n")
 
+def _field(field: T.StructField) -> Column:
+    """name=value; numbers with four decimals, whatever their type."""
+    value = F.col(f"`{field.name}`")
+    text = value.cast("string")
+    if isinstance(field.dataType, T.NumericType):
+        text = F.coalesce(value.try_cast("decimal(38,4)").cast("string"), text)
+    return F.concat(F.lit(f"{field.name}="), F.coalesce(text, F.lit("NULL")))
+
+
+def run_report(report: Report, ctx: ReportContext) -> DataFrame:
+    """The finished report (see ``report_rows``), computed once and kept.
+
+    The cohort and the fact tables that several blocks read are shared; they are released
+    when the report is there.
+    """
+    with shared_inputs(ctx, report) as shared:
+        rows = report_rows(report, build_report(report, shared))
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        rows.count()
+    return rows
 
-@contextmanager
-def shared_cohort(ctx: ReportContext, reliable: bool = False) -> Iterator[ReportContext]:
-    """Compute the cohort once for all blocks of a report.
 
-    The episode and service lists are kept, not their product. By default they
-    are cached on the executors and recomputed where one is lost; ``reliable``
-    writes them to the folder set in ``spark.checkpoint.dir`` instead.
+def _in_window(table: str, window: ReportWindow) -> Column:
+    if table == "case_sessions":
+        return window.has("session_date")
+    return window.has("linked_date") | window.has("start_date")
+
+
+@contextmanager
+def shared_inputs(
+    ctx: ReportContext, report: Report, reliable: bool = False
+) -> Iterator[ReportContext]:
+    """Compute what the blocks of a report share once: the cohort, and of every fact table
+    that several blocks read inside the window the rows of cohort people in it.
+
+    The episode and service lists are kept, not their product. By default all is cached
+    on the executors and recomputed where one is lost; ``reliable`` writes it to the
+    folder set in ``spark.checkpoint.dir`` instead.
     """
     kept: list[DataFrame] = []
 
@@ -161,15 +199,32 @@ def shared_cohort(ctx: ReportContext, reliable: bool = False) -> Iterator[Report
     try:
         if isinstance(ctx.cohort, Cohort):
             # Membership is settled here, so that the blocks need not check it again.
-            cohort = Cohort(keep(ctx.cohort.episodes), keep(ctx.cohort.served()))
+            cohort = Cohort(
+                keep(ctx.cohort.episodes), keep(ctx.cohort.served()), hot=ctx.cohort.hot
+            )
         else:
             cohort = FlatCohort(keep(ctx.cohort.rows()))
-        yield replace(ctx, cohort=cohort)
+        facts = {
+            table: keep(
+                ctx.sources[table]
+                .where(_in_window(table, ctx.window))
+                .join(cohort.people(), PID, "left_semi")
+            )
+            for table in shared_tables(report.values())
+        }
+        yield replace(ctx, cohort=cohort, sources=ctx.sources.replaced(**facts))
     finally:
         for df in kept:
             df.unpersist()
 
 
+def shared_cohort(
+    ctx: ReportContext, reliable: bool = False
+) -> AbstractContextManager[ReportContext]:
+    """Compute the cohort once for all queries of a context."""
+    return shared_inputs(ctx, {}, reliable)
+
+
 def block_folder(block: str) -> str:
     return re.sub(r"[^a-z0-9]+", "_", block.lower()).strip("_")
 
@@ -194,7 +249,7 @@ def write_report(
         else:
             df.write.mode(mode).format(format).save(folder)
 
-    with shared_cohort(ctx, reliable) as shared:
+    with shared_inputs(ctx, report, reliable) as shared:
         blocks = build_report(report, shared)
         folders = {block: f"{path.rstrip('/')}/{block_folder(block)}" for block in blocks}
         with ThreadPoolExecutor(max_workers=parallel) as pool:

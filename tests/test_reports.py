@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 import pytest
 
 import __spark_entry__ as entry
 from caseweave.plans import context as cx
 from caseweave.plans import reports as rp
 from caseweave.plans.adhoc import query_run, register_views
-from caseweave.plans.queries import QUERIES, run_query
+from caseweave.plans.queries import QUERIES, run_query, shared_tables
+from verification.compare import oracle_connection
+from verification.oracle import ORDERS, oracle
 
 SF = "/root/testdata/sf0.001"
 BUNDLES = {
@@ -65,6 +70,65 @@ def test_shared_cohort_is_released(spark):
     assert not kept.is_cached
 
 
+def test_a_report_shows_swapped_rows(spark):
+    """Same cells, other rows: the report differs; also if only the order differs."""
+    report = {"types": ("legal_case_type", {}), "races": ("dem_race_gender", {})}
+    plain = spark.createDataFrame([("a", 1), ("b", 2)], "label string, n int")
+    swapped = spark.createDataFrame([("a", 2), ("b", 1)], "label string, n int")
+
+    def shown(first, second):
+        blocks = {"types": first, "races": second}
+        return Counter(map(tuple, rp.report_rows(report, blocks).collect()))
+
+    assert shown(plain, plain) != shown(swapped, plain)
+    assert shown(plain, plain) != shown(plain, swapped)
+    turned = plain.orderBy(plain.label.desc())
+    assert shown(plain.orderBy("label"), plain) != shown(turned, plain)
+    assert shown(plain.orderBy("label"), plain) == shown(plain.orderBy("label"), turned)
+
+
+def test_long_digits_are_shown(spark):
+    odd = spark.createDataFrame(
+        [("12345678901234567890123", 9_007_199_254_740_993, 1e300)], "t string, n long, d double"
+    )
+    report = {"x": ("dem_race_gender", {})}
+    content = rp.report_rows(report, {"x": odd}).first().content
+    assert content == "d=1.0E300; n=9007199254740993.0000; t=12345678901234567890123"
+
+
+@pytest.mark.parametrize("name", list(ORDERS))
+def test_rows_come_in_order(spark, name):
+    found = entry.queries()[name](spark, SF)
+    got = [tuple(r[c] for c in sorted(found.columns)) for r in found.collect()]
+    con = oracle_connection(SF)
+    cur = con.execute(f"SELECT * FROM ({oracle()[name]}) ORDER BY {ORDERS[name]}")
+    names = [d[0] for d in cur.description]
+    want = [tuple(r[names.index(c)] for c in sorted(names)) for r in cur.fetchall()]
+    assert len(want) > 1
+    if name == "legal_case_statuses":  # a text that is status and outcome has two rows
+        by = names.index("case_status_current")
+        at = sorted(names).index("case_status_current")
+        assert [r[at] for r in got] == [r[at] for r in want] and sorted(names)[by] is not None
+    else:
+        assert got == want
+
+
+def test_session_blocks_read_sessions_once(spark):
+    report = rp.MONTHLY_CM_OUTREACH
+    assert shared_tables(report.values()) == ["case_sessions", "linkages"]
+    assert shared_tables(rp.JAC_SMARTSHEET.values()) == ["case_sessions"]
+    assert shared_tables(rp.MONTHLY_LEGAL.values()) == []
+    with rp.shared_inputs(entry._monthly(spark, SF), report) as shared:
+        rows = rp.report_rows(report, rp.build_report(report, shared))
+        # sessions and linkages are read from what is kept, not from their files again
+        text = rows._jdf.queryExecution().optimizedPlan().toString()
+        files = [x for x in text.splitlines() if re.search(r"(?<!InMemory)Relation \[", x)]
+        assert "InMemoryRelation" in text and not [x for x in files if "l_orderkey" in x]
+        again = rp.report_rows(report, rp.build_report(report, entry._monthly(spark, SF)))
+        text = again._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_orderkey" in text
+
+
 def test_hd_context_keeps_hd_rows(spark):
     c = cx.hd_context(entry._sources(spark, SF), entry.WINDOW).cohort.rows()
     assert {r.hd for r in c.select("hd").collect()} == {1}

@@ -799,14 +799,51 @@ def report_blocks(blocks: dict[str, str]) -> str:
     )
 
 
-def report_cells(blocks: dict[str, str]) -> str:
-    """Every cell of every block as text, numbers with four decimals."""
+def listed(column: str, *values: str) -> str:
+    """Place of a value in a list, behind all others if it is not there."""
+    names = ", ".join(f"'{v}'" for v in values)
+    return f"coalesce(list_position([{names}], lower({column})), 99)"
+
+
+DAYS = listed("days_served", "0-45", "46-90", "91-180", "181-270")
+TIME_ORDER = f"days_served = 'Total', {DAYS}"
+TYPES = ("property", "gun", "battery", "drug", "attempted murder", "murder", "other")
+STATUSES = ("case pending", "case closed", "dismissed", "plead guilty", "found guilty")
+BANDS = ("0", "0-.25", ".26-.5", ".51-.75", ".76-1", "1-1.25", "1.26-1.5", "1.51-1.75", "1.76-2", "2+")
+
+
+def label_last(column: str) -> str:
+    return f"coalesce({column} = 'Total', FALSE), {column} NULLS LAST"
+
+
+# Order of the rows of queries that have one.
+ORDERS = {
+    "legal_case_type": f"case_type IS NULL, {listed('case_type', *TYPES)}, case_type",
+    "legal_case_type_percentage": f"coalesce(case_type = 'Total', FALSE), {listed('case_type', *TYPES)}",
+    "legal_case_statuses": f"case_status_current IS NULL, {listed('case_status_current', *STATUSES)}, case_status_current",
+    "programs_packages": "n DESC, concatenated_services",
+    "programs_session_length_grouped": f"session_length IS NOT NULL, {listed('session_length', *BANDS)}",
+    "grouped_by_status_program": listed("client_status", "active client", "new client", "closed out"),
+    "grouped_by_time_program": DAYS,
+    "grouped_by_time_program_percentages": TIME_ORDER,
+    "programs_by_demographic_percentages": label_last("gender"),
+}
+
+
+def report_rows(blocks: dict[str, str], orders: dict[str, str] | None = None) -> str:
+    """Every row of every block as text, numbers with four decimals; numbered where a block
+    has an order."""
+    numeric = "('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'HUGEINT', 'FLOAT', 'DOUBLE')"
     return " UNION ALL ".join(
-        f"""SELECT '{name}' AS block, field, CASE
-    WHEN regexp_full_match(value, '-?[0-9]+(\\.[0-9]+)?([eE][+-]?[0-9]+)?')
-    THEN CAST(CAST(value AS DECIMAL(20, 4)) AS VARCHAR) ELSE value END AS value, count(*) AS n
-FROM (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({sql}) b{i})
-  UNPIVOT INCLUDE NULLS (value FOR field IN (COLUMNS(*))) GROUP BY ALL"""
+        f"""SELECT '{name}' AS block, {"rn" if name in (orders or {}) else "NULL::BIGINT"} AS "row",
+    content, count(*) AS n FROM (
+  SELECT rn, string_agg(field || '=' || coalesce(value, 'NULL'), '; ' ORDER BY field) AS content
+  FROM (SELECT rn, CASE WHEN typeof(COLUMNS(* EXCLUDE rn)) IN {numeric}
+      THEN CAST(TRY_CAST(COLUMNS(* EXCLUDE rn) AS DECIMAL(38, 4)) AS VARCHAR)
+      ELSE CAST(COLUMNS(* EXCLUDE rn) AS VARCHAR) END
+    FROM (SELECT row_number() OVER ({"ORDER BY " + orders[name] if name in (orders or {}) else ""}) AS rn, b{i}.*
+      FROM ({sql}) b{i}))
+  UNPIVOT INCLUDE NULLS (value FOR field IN (COLUMNS(* EXCLUDE rn))) GROUP BY rn) GROUP BY ALL"""
         for i, (name, sql) in enumerate(blocks.items())
     )
 
@@ -827,13 +864,15 @@ CM_OUTREACH = {
     "services linked": BODIES["link_goal_area_both"],
 }
 BODIES["run_report"] = report_blocks(CM_OUTREACH)
-BODIES["run_report_cm_outreach"] = report_cells(CM_OUTREACH)
-BODIES["run_report_a2j"] = report_cells({
+BODIES["run_report_cm_outreach"] = report_rows(
+    CM_OUTREACH, {"CM Session Length (Grouped)": ORDERS["programs_session_length_grouped"]}
+)
+BODIES["run_report_a2j"] = report_rows({
     "CASES_STARTED": BODIES["a2j_cases"],
     "CASES_ENDED": BODIES["a2j_cases_ended"],
     "LINKAGES": BODIES["a2j_linkages"],
 })
-BODIES["run_report_program_grant"] = report_cells({
+BODIES["run_report_program_grant"] = report_rows({
     "grant involvement": BODIES["grant_tally"],
     "grants started": BODIES["grant_tally_started"],
     "grants ended": BODIES["grant_tally_ended"],
@@ -846,8 +885,15 @@ BODIES["run_report_program_grant"] = report_cells({
     "ALL_DAYS_SERVED_BY_GRANT": by_time_percent(GRANT),
     "CLOSED_DAYS_SERVED_BY_GRANT": by_time_percent(GRANT, True),
     "PACKAGE OF SERVICES": BODIES["programs_packages"],
+}, {
+    "Program Involvement by Days - All": TIME_ORDER,
+    "Program Involvement by Days - Closed": TIME_ORDER,
+    "ALL_DAYS_SERVED_BY_GRANT": TIME_ORDER,
+    "CLOSED_DAYS_SERVED_BY_GRANT": TIME_ORDER,
+    "PACKAGE OF SERVICES": ORDERS["programs_packages"],
+    **{f"PROGRAMS BY {c.upper()}": label_last(c) for c in ("race", "gender", "age")},
 })
-BODIES["run_report_legal"] = report_cells({
+BODIES["run_report_legal"] = report_rows({
     "CiviCore.Legal Tally": BODIES["legal_tally"],
     "Case Pending Tally": BODIES["legal_tally_pending"],
     "Case Type - All Cases": BODIES["legal_case_type_percentage"],
@@ -857,8 +903,12 @@ BODIES["run_report_legal"] = report_cells({
     "Pending Cases": BODIES["legal_pending_cases_t2"],
     "Case Outcomes": BODIES["legal_case_outcomes"],
     "Guilty Plea Outcomes": BODIES["legal_plea_outcomes"],
+}, {
+    "Case Type - All Cases": ORDERS["legal_case_type_percentage"],
+    "Case Type - Opened": ORDERS["legal_case_type"],
+    "Case Type - Closed": ORDERS["legal_case_type"],
 })
-BODIES["run_report_jac"] = report_cells({
+BODIES["run_report_jac"] = report_rows({
     "participant count": BODIES["idhs_tally"],
     "genders": of_jac(race_gender("gender")),
     "races": of_jac(race_gender("race")),
@@ -870,7 +920,7 @@ BODIES["run_report_jac"] = report_cells({
     "connected to other providers": BODIES["jac_linked_participant_tally"],
     "referrals": BODIES["idhs_linkages"],
 })
-BODIES["run_report_cvi"] = report_cells({
+BODIES["run_report_cvi"] = report_rows({
     "total participants": BODIES["idhs_tally"],
     "ages": BODIES["idhs_ages"],
     "races": BODIES["idhs_race_gender"],
@@ -883,7 +933,7 @@ BODIES["run_report_cvi"] = report_cells({
     "non-CPIC notifications": BODIES["incidents_non_cpic"],
     "time spent on mediations": BODIES["mediation_time_spent"],
 })
-BODIES["run_report_ppr"] = report_cells({
+BODIES["run_report_ppr"] = report_rows({
     "new and continuing clients": BODIES["idhs_tally"],
     "closed clients": BODIES["idhs_tally_closed"],
     "outreach and legal": BODIES["idhs_service_tally"],
