@@ -6,7 +6,7 @@ import importlib.util
 from collections.abc import Callable
 from functools import lru_cache, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseweave.functions.dates import ReportWindow
@@ -124,6 +124,27 @@ def _folded_races(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_query(cx.general_context(tidy, WINDOW), "dem_race_gender", race_gender="race")
 
 
+def _spelled(column: str) -> Column:
+    """Spellings of one text: in capitals, with a trailing blank, with an accent."""
+    return (
+        F.when(F.col(cl.PID) % 4 == 0, F.upper(column))
+        .when(F.col(cl.PID) % 4 == 1, F.concat(column, F.lit("  ")))
+        .when(F.col(cl.PID) % 4 == 2, F.replace(F.col(column), F.lit("i"), F.lit("í")))
+        .otherwise(F.col(column))
+    )
+
+
+def _variants(table: str, column: str, name: str, **options: object) -> Query:
+    """A query over a table in which a category is spelled in four ways."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        s = _sources(spark, sf_dir)
+        mixed = s.replaced(**{table: s[table].withColumn(column, _spelled(column))})
+        return run_query(cx.general_context(mixed, WINDOW), name, **options)
+
+    return query
+
+
 def _programs_grants(spark: SparkSession, sf_dir: str, keep_ungranted: bool = False) -> DataFrame:
     sources = _sources(spark, sf_dir)
     return cl.grants_cohort(sources, WINDOW, keep_ungranted=keep_ungranted).rows()
@@ -261,6 +282,14 @@ def _report_queries() -> dict[str, Query]:
         "legal_fel_reduction_all": _query(g, "legal_fel_reduction", timeframe=False),
         "legal_case_outcomes": _query(g, "legal_case_outcomes"),
         "legal_case_outcomes_all": _query(g, "legal_case_outcomes", timeframe=False),
+        "dem_race_gender_variants": _variants(
+            "participants", "race", "dem_race_gender", race_gender="race"
+        ),
+        "legal_one_case_variants": _variants("legal", "case_outcome", "legal_one_case"),
+        "legal_case_type_variants": _variants("legal", "case_type", "legal_case_type"),
+        "link_goal_area_variants": _variants(
+            "linkages", "goal_area", "link_goal_area", timeframe=False
+        ),
         "legal_plea_outcomes": _query(g, "legal_plea_outcomes"),
         "legal_case_statuses": _query(g, "legal_case_statuses"),
         "legal_case_statuses_window": _query(g, "legal_case_statuses", timeframe=True),

@@ -12,23 +12,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseweave.functions.categories import folded
 from caseweave.functions.matching import flag
 
 
 def distinct_flags(
-    df: DataFrame, groups: Sequence[str], key: str, flags: dict[str, Column]
+    df: DataFrame,
+    groups: Sequence[str],
+    key: str,
+    flags: dict[str, Column],
+    categories: Sequence[str] = (),
 ) -> DataFrame:
     """``COUNT(DISTINCT key)`` under several conditions at once.
 
     Two aggregation levels instead of one Expand copy of the input per
     condition: flags are folded per (groups, key), then counted per group.
-    Groups whose keys are all NULL stay, with zero counts.
+    Groups whose keys are all NULL stay, with zero counts. Spellings of the groups in
+    ``categories`` are one, also where one key has several of them.
     """
     has_key = F.col(key).isNotNull()
     per_key = df.groupBy(*groups, key).agg(
         *[F.max(flag(cond & has_key)).alias(name) for name, cond in flags.items()]
     )
-    return per_key.groupBy(*groups).agg(*[F.count(name).alias(name) for name in flags])
+    counts = {name: F.count(name) for name in flags}
+    if not categories:
+        return per_key.groupBy(*groups).agg(*[c.alias(name) for name, c in counts.items()])
+    per_key = folded(per_key, [*groups, key], categories, {name: F.max(name) for name in flags})
+    return folded(per_key, groups, categories, counts)
 
 
 def concat_distinct(c: Column | str, sep: str) -> Column:

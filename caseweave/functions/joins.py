@@ -23,6 +23,35 @@ SKETCH_KEYS, SKETCH_TRACKED = 40_000, 100_000
 SKETCH_ERROR = 3.5 / (1 << 18)
 
 
+# Entries of a lookup that is sent to every row as one value.
+MAX_LOOKUP = 100_000
+
+
+def looked_up(lookup: DataFrame, key: str, value: str, of: Column) -> Column:
+    """The value of a text in a lookup table (a few rows per text at most), without regard
+    to case; NULL where it is not there. Of several values of a text the largest counts.
+
+    The lookup becomes one map, read once as a scalar subquery, so the rows that are
+    looked up are neither joined nor shuffled, however large the planner takes the table
+    to be. A lookup with more than MAX_LOOKUP texts stops the query: it is a table to join.
+    """
+    texts = lookup.where(F.col(key).isNotNull() & F.col(value).isNotNull())
+    entries = texts.groupBy(F.lower(key).alias("k")).agg(F.max(value).alias("v"))
+    counted = F.count(F.lit(1))
+    too_many = F.raise_error(F.lit(f"a lookup has more than {MAX_LOOKUP} texts"))
+    # the entries are cut before they are gathered: one more than allowed is enough to tell
+    few = entries.limit(MAX_LOOKUP + 1)
+    known = F.map_from_entries(F.collect_list(F.struct("k", "v")))
+    whole = few.agg(
+        F.when(counted <= MAX_LOOKUP, known).otherwise(too_many.cast(_map_type(lookup, value))).alias("m")
+    )
+    return F.try_element_at(whole.scalar(), F.lower(of))
+
+
+def _map_type(lookup: DataFrame, value: str) -> str:
+    return f"map<string,{lookup.schema[value].dataType.simpleString()}>"
+
+
 def hot_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
 

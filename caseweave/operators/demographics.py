@@ -74,7 +74,7 @@ def dem_race_gender(
 ) -> DataFrame:
     """Participants per race or gender."""
     people = _scope(cohort, window, new_clients).people()
-    return count_by(people.join(participants.select(PID, race_gender), PID), race_gender)
+    return count_by(people.join(participants.select(PID, race_gender), PID), race_gender, categories=[race_gender])
 
 
 def dem_recent_address(cohort: AnyCohort | DataFrame, address: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caseweave import fixed_values as fv
 from caseweave.functions.aggregates import distinct_flags
 from caseweave.functions.dates import ReportWindow, age_years
+from caseweave.functions.categories import folded
 from caseweave.functions.joins import HotKeys, spread_join
 from caseweave.functions.matching import ci_contains, ci_eq, is_true
 from caseweave.operators import sessions as sess
@@ -85,16 +86,17 @@ def idhs_race_gender(cohort: Q, participants: DataFrame, race_gender: str = "rac
     """Cohort rows (not participants) by new client and race or gender; unknown counts 0."""
     rows = as_cohort(cohort).row_counts(["new_client"])
     known = rows.join(participants.select(PID, race_gender), PID)
-    return known.groupBy("new_client", race_gender).agg(
+    counts = known.groupBy("new_client", race_gender).agg(
         weighted_rows(F.col(race_gender), F.col("n_rows")).alias("n")
     )
+    return folded(counts, ["new_client", race_gender], [race_gender], {"n": F.sum("n")})
 
 
 def idhs_language(cohort: Q, participants: DataFrame) -> DataFrame:
     """New and continuing participants by primary language."""
     people = as_cohort(cohort).distinct(episode=["new_client"])
     known = people.join(participants.select(PID, "language_primary"), PID)
-    return count_by(known, "new_client", "language_primary")
+    return count_by(known, "new_client", "language_primary", categories=["language_primary"])
 
 
 def idhs_service_tally(cohort: Q, program: str = "idhs") -> DataFrame:
@@ -132,6 +134,7 @@ def idhs_linkages(
             "new_links": ci_eq("new_client", "new"),
             "cont_links": ci_eq("new_client", "continuing"),
         },
+        categories=["separated_area"],
     )
 
 

@@ -20,8 +20,9 @@ from caseweave.functions.aggregates import (
     order_by_rank,
     rank_of,
 )
+from caseweave.functions.categories import folded
 from caseweave.functions.dates import ReportWindow, add_years
-from caseweave.functions.joins import HotKeys, spread_join
+from caseweave.functions.joins import HotKeys, looked_up, spread_join
 from caseweave.functions.matching import ci_contains, ci_contains_any, ci_eq, ci_starts, flag
 from caseweave.functions.percentages import percentage_convert
 from caseweave.operators import sessions as sess
@@ -244,20 +245,13 @@ def legal_fel_reduction(
 ) -> DataFrame:
     """Participants whose felony class was lowered in any case, or in none."""
     cases = legal.where(window.has("case_outcome_date")) if timeframe else legal
-    ranks = felony_classes.select(F.lower("class").alias("_class"), "ranking")
-    prior = ranks.select(F.col("_class").alias("_prior"), F.col("ranking").alias("_prior_rank"))
-    after = ranks.select(F.col("_class").alias("_after"), F.col("ranking").alias("_after_rank"))
-    compared = (
-        cases.select(
-            PID,
-            F.lower("class_prior_to_plea_trial").alias("_prior"),
-            F.lower("class_after_plea_trial").alias("_after"),
-        )
-        .join(prior, "_prior")
-        .join(after, "_after")
+    prior = looked_up(felony_classes, "class", "ranking", F.col("class_prior_to_plea_trial"))
+    after = looked_up(felony_classes, "class", "ranking", F.col("class_after_plea_trial"))
+    compared = cases.select(PID, prior.alias("_prior"), after.alias("_after")).where(
+        F.col("_prior").isNotNull() & F.col("_after").isNotNull()
     )
     per_person = compared.groupBy(PID).agg(
-        F.max(flag(F.col("_prior_rank") < F.col("_after_rank"))).alias("lowered")
+        F.max(flag(F.col("_prior") < F.col("_after"))).alias("lowered")
     )
     return (
         per_person.join(as_cohort(cohort).people(), PID, "left_semi")
@@ -271,13 +265,19 @@ def _top_outcomes(
 ) -> DataFrame:
     """Highest-ranked outcomes per participant; unranked outcomes always stay."""
     cases = legal.where(window.has("case_outcome_date")) if timeframe else legal
-    ranks = highest_case.select(F.lower("case_outcome").alias("_outcome"), "ranking")
-    ranked = (
+    per_spelling = (
         cases.groupBy(PID, "case_outcome")
-        .agg(concat_distinct("sentence", ", ").alias("sentence"))
+        .agg(F.collect_set("sentence").alias("sentences"))
         .join(as_cohort(cohort).people(), PID, "left_semi")
-        .withColumn("_outcome", F.lower("case_outcome"))
-        .join(ranks, "_outcome", "left")
+    )
+    sentences = F.array_sort(F.array_distinct(F.flatten(F.collect_list("sentences"))))
+    per_outcome = folded(
+        per_spelling, [PID, "case_outcome"], ["case_outcome"], {"sentences": sentences}
+    )
+    joined = F.when(F.size("sentences") > 0, F.concat_ws(", ", "sentences"))
+    rank = looked_up(highest_case, "case_outcome", "ranking", F.col("case_outcome"))
+    ranked = per_outcome.select(
+        PID, "case_outcome", joined.alias("sentence"), rank.alias("ranking")
     )
     top = F.max("ranking").over(W.partitionBy(PID))
     return ranked.withColumn("_top", top).where(
@@ -285,6 +285,11 @@ def _top_outcomes(
     )
 
 
+def _outcome_counts(labels: DataFrame) -> DataFrame:
+    counts = labels.groupBy("case_outcome").agg(F.count("case_outcome").alias("n"))
+    return folded(counts, ["case_outcome"], ["case_outcome"], {"n": F.sum("n")})
+
+
 def _outcome_label(timeframe: bool) -> Column:
     """Pleas carry their sentence; with a timeframe only the bare text 'plead guilty' does."""
     plea = ci_eq("case_outcome", "plead guilty") if timeframe else ci_starts("case_outcome", "plead")
@@ -302,8 +307,7 @@ def legal_case_outcomes(
 ) -> DataFrame:
     """Most severe outcomes of the participants."""
     top = _top_outcomes(cohort, legal, highest_case, window, timeframe)
-    label = top.select(_outcome_label(timeframe).alias("case_outcome"))
-    return label.groupBy("case_outcome").agg(F.count("case_outcome").alias("n"))
+    return _outcome_counts(top.select(_outcome_label(timeframe).alias("case_outcome")))
 
 
 def legal_plea_outcomes(
@@ -316,8 +320,7 @@ def legal_plea_outcomes(
     """Most severe outcomes that are guilty pleas."""
     top = _top_outcomes(cohort, legal, highest_case, window, timeframe)
     pleas = top.where(ci_starts("case_outcome", "plead"))
-    label = pleas.select(_outcome_label(timeframe).alias("case_outcome"))
-    return label.groupBy("case_outcome").agg(F.count("case_outcome").alias("n"))
+    return _outcome_counts(pleas.select(_outcome_label(timeframe).alias("case_outcome")))
 
 
 def legal_case_statuses(
@@ -394,11 +397,12 @@ def legal_one_case(
             .withColumn("_high", F.max("_high").over(person))
             .where(F.col("_low") == F.col("_high"))
         )
-    return (
+    counts = (
         per_outcome.join(as_cohort(cohort).people(), PID, "left_semi")
         .groupBy("case_outcome")
         .agg(F.sum("n").alias("n"))
     )
+    return folded(counts, ["case_outcome"], ["case_outcome"], {"n": F.sum("n")})
 
 
 # -- case types and re-arrests -----------------------------------------------
@@ -422,7 +426,7 @@ def _case_type_report(
     cases: DataFrame, case_client: str, percentage: bool
 ) -> DataFrame:
     key = {"case": "case_id", "client": PID}[case_client]
-    counts = distinct_flags(cases, ["case_type"], key, _charge_flags())
+    counts = distinct_flags(cases, ["case_type"], key, _charge_flags(), ["case_type"])
     if percentage:
         order = [F.coalesce(rank_of("case_type", fv.CASE_TYPE_ORDER), F.lit(8))]
         return percentage_convert(counts, replace=False, order=order)

@@ -9,10 +9,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseweave import fixed_values as fv
+from caseweave.functions.categories import folded
 from caseweave.functions.dates import ReportWindow, add_years
 from caseweave.functions.matching import ci_eq
 from caseweave.operators.cohort import PID, AnyCohort, as_cohort
-from caseweave.operators.people import count_people_with
+from caseweave.operators.people import count_by, count_people_with
 
 Q = AnyCohort | DataFrame
 
@@ -122,8 +123,11 @@ def link_goal_area(
     """Participants per linked goal area."""
     kept = _kept(linkages, window, hub_initiated, timeframe, started_linked)
     pairs = kept.select(PID, split_areas("goal_area").alias("separated_area")).distinct()
-    return (
-        pairs.join(as_cohort(cohort).people(), PID, "left_semi")
-        .groupBy("separated_area")
-        .agg(F.count(PID).alias("n_participants"))
+    # spellings of one person first, where they are together; then those of all
+    areas = folded(
+        pairs.join(as_cohort(cohort).people(), PID, "left_semi"),
+        [PID, "separated_area"],
+        ["separated_area"],
+        {},
     )
+    return count_by(areas, "separated_area", categories=["separated_area"])

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseweave.functions.categories import folded
 from caseweave.operators.cohort import PID, AnyCohort, as_cohort
 
 
@@ -23,9 +26,14 @@ def count_people(cohort: AnyCohort | DataFrame, name: str = "n_participants") ->
     return as_cohort(cohort).people().agg(F.count(PID).alias(name))
 
 
-def count_by(df: DataFrame, *groups: str, name: str = "n_participants") -> DataFrame:
-    """Participants per group of a table with distinct (participant, groups) rows."""
-    return df.groupBy(*groups).agg(F.count(PID).alias(name))
+def count_by(
+    df: DataFrame, *groups: str, name: str = "n_participants", categories: Sequence[str] = ()
+) -> DataFrame:
+    """Participants per group of a table with distinct (participant, groups) rows.
+
+    Spellings of the groups in ``categories`` are one; a participant has one of them."""
+    counts = df.groupBy(*groups).agg(F.count(PID).alias(name))
+    return folded(counts, groups, categories, {name: F.sum(name)}) if categories else counts
 
 
 def weighted_rows(value: Column, weight: Column) -> Column:

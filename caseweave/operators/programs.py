@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from caseweave import fixed_values as fv
 from caseweave.functions.aggregates import distinct_flags, order_by_rank
+from caseweave.functions.categories import folded
 from caseweave.functions.dates import ReportWindow
 from caseweave.functions.matching import ci_contains, ci_ends, ci_eq
 from caseweave.functions.percentages import percentage_convert
@@ -116,6 +117,8 @@ def programs_by_demographic(
         .groupBy(demographic)
         .agg(*[F.count(name).alias(name) for name in flags])
     )
+    if demographic != "age":
+        counts = folded(counts, [demographic], [demographic], {n: F.sum(n) for n in flags})
     if percentages:
         return percentage_convert(counts, order=[F.col(demographic)])
     return counts

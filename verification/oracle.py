@@ -791,6 +791,36 @@ WHERE t.trunc_date = (SELECT max(m.trunc_date) FROM fx_trunc_legal m WHERE m.par
 }
 
 
+def spelled(column: str) -> str:
+    """Four spellings of a text, by participant."""
+    return (
+        f"CASE participant_id % 4 WHEN 0 THEN upper({column}) WHEN 1 THEN {column} || '  '"
+        f" WHEN 2 THEN replace({column}, 'i', 'í') ELSE {column} END"
+    )
+
+
+def same_text(column: str) -> str:
+    return f"lower(strip_accents(rtrim({column})))"
+
+
+VARIANTS = {
+    "dem_race_gender_variants": f"""SELECT min(spelling) AS race, count(DISTINCT participant_id) AS n_participants
+FROM (SELECT participant_id, {spelled('race')} AS spelling FROM {COHORT_PEOPLE}) x GROUP BY {same_text('spelling')}""",
+    "legal_one_case_variants": f"""SELECT min(spelling) AS case_outcome, count(spelling) AS n
+FROM (SELECT participant_id, {spelled('case_outcome')} AS spelling FROM fx_legal WHERE case_outcome_date {IN}) l
+WHERE participant_id IN (SELECT participant_id FROM cases WHERE case_outcome_date {IN}
+  GROUP BY participant_id HAVING count(DISTINCT case_id) = 1)
+GROUP BY {same_text('spelling')}""",
+    "legal_case_type_variants": "SELECT min(spelling) AS case_type, "
+    + ", ".join(f"count(DISTINCT CASE WHEN {c} THEN case_id END) AS {n}" for n, c in CHARGE.items())
+    + f" FROM (SELECT *, {spelled('case_type')} AS spelling FROM recent_cases) x GROUP BY {same_text('spelling')}",
+    "link_goal_area_variants": f"""SELECT min(spelling) AS separated_area, count(DISTINCT participant_id) AS n_participants
+FROM (SELECT l.participant_id, unnest(string_split({spelled('goal_area').replace('participant_id', 'l.participant_id')}, ', ')) AS spelling
+  FROM fx_linkages l JOIN {PEOPLE} c USING (participant_id) WHERE {HUB}) x GROUP BY {same_text('spelling')}""",
+}
+BODIES |= VARIANTS
+
+
 def report_blocks(blocks: dict[str, str]) -> str:
     """Rows per block of a report."""
     return " UNION ALL ".join(
