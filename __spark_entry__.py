@@ -103,6 +103,18 @@ def _involvement(program_timeframe: bool) -> Query:
     return query
 
 
+def _widest_involvement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as wide as the data needs, its cells as one text, as its columns vary."""
+    wide = run_query(_general(spark, sf_dir), "legal_program_involvement_wide")
+    cells = wide.columns[5:-1]
+    return wide.select(
+        cl.PID,
+        "n_cases",
+        F.lit(len(cells) // 3).cast("bigint").alias("n_slots"),
+        F.concat_ws("|", *[F.coalesce(c, F.lit("-")) for c in cells]).alias("cells"),
+    )
+
+
 def _no_new_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cohort in which nobody is new: the row of new clients is there with zeros."""
     ctx = _monthly(spark, sf_dir)
@@ -277,6 +289,7 @@ def _report_queries() -> dict[str, Query]:
         "legal_program_involvement_long": _query(g, "legal_program_involvement_long"),
         "legal_program_involvement": _involvement(program_timeframe=False),
         "legal_program_involvement_timeframe": _involvement(program_timeframe=True),
+        "legal_program_involvement_widest": _widest_involvement,
         "legal_program_involvement_wide": _query(g, "legal_program_involvement_wide", slots=8),
         "legal_fel_reduction": _query(g, "legal_fel_reduction"),
         "legal_fel_reduction_all": _query(g, "legal_fel_reduction", timeframe=False),

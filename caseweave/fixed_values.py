@@ -74,6 +74,29 @@ PACKAGE_LABELS = [
     ("vp", "VP"),
 ]
 
+# Columns a grant row brings into the cohort, and the flags of the classifier.
+COHORT_GRANT_COLUMNS = ["grant_type", "start_date", "end_date", "comments"]
+FLAG_COLUMNS = [
+    "service_legal", "service_cm", "cm_juv_divert", "cm_scan", "cm_scan_outreach", "hd", "hd_rct",
+    "rjcc", "crws", "vp",
+]
+
+# Texts of the classifier's rules.
+RCT_PROGRAM = "RCT"
+LEGAL_PROGRAM = "legal representation"
+CM_PROGRAM = "case management"
+CM_GRANT = "scan"
+JUVENILE_GRANTS = ["JISC", "YIP"]
+SCAN_GRANT = "dfss - scan"
+SCAN_OUTREACH_GRANT = "scan outreach"
+RJCC_PROGRAM = "rjcc"
+CRWS_TEXT = "crws"
+VP_GRANTS = ["IDHS VP", "JAC HD"]
+
+# Grant texts of the program columns.
+JAC_TEXT = "JAC"
+IDHS_TEXT = "IDHS"
+
 # Grant columns of the monthly reports and the text that marks them.
 GRANT_COLUMNS = [
     ("a2j", "A2J"), ("idhs", "IDHS"), ("jac", "JAC"), ("scan", "SCAN"), ("crws", "CRwS"),

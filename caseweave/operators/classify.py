@@ -21,11 +21,8 @@ from caseweave.operators.cohort import PID, AnyCohort, Cohort, as_cohort
 from caseweave.operators.episodes import episodes, with_stint_count
 from caseweave.sources.catalog import Sources
 
-GRANT_COLUMNS = ["grant_type", "start_date", "end_date", "comments"]
-FLAG_COLUMNS = [
-    "service_legal", "service_cm", "cm_juv_divert", "cm_scan", "cm_scan_outreach", "hd", "hd_rct",
-    "rjcc", "crws", "vp",
-]
+GRANT_COLUMNS = fv.COHORT_GRANT_COLUMNS
+FLAG_COLUMNS = fv.FLAG_COLUMNS
 
 
 # Copies of a row that are made from one array.
@@ -86,22 +83,21 @@ def grants_cohort(
 def service_rules() -> list[tuple[str, Column]]:
     """Flag rules in dependency order; later rules may read earlier flags."""
     program, grant, comments = F.col("program_type"), F.col("grant_type"), F.col("comments")
-    juvenile = ci_contains_any(grant, ["JISC", "YIP"])
-    rct = ci_contains(program, "RCT")
+    juvenile = ci_contains_any(grant, fv.JUVENILE_GRANTS)
+    rct = ci_contains(program, fv.RCT_PROGRAM)
+    managed = ci_contains(program, fv.CM_PROGRAM) | ci_contains(grant, fv.CM_GRANT)
+    vp_grant, hd_grant = (ci_eq(grant, name) for name in fv.VP_GRANTS)
     return [
-        ("service_legal", rct | ci_contains(program, "legal representation")),
-        (
-            "service_cm",
-            rct | ci_contains(program, "case management") | ci_contains(grant, "scan") | juvenile,
-        ),
+        ("service_legal", rct | ci_contains(program, fv.LEGAL_PROGRAM)),
+        ("service_cm", rct | managed | juvenile),
         ("cm_juv_divert", juvenile),
-        ("cm_scan", ci_contains(grant, "dfss - scan")),
-        ("cm_scan_outreach", ci_contains(grant, "scan outreach")),
+        ("cm_scan", ci_contains(grant, fv.SCAN_GRANT)),
+        ("cm_scan_outreach", ci_contains(grant, fv.SCAN_OUTREACH_GRANT)),
         ("hd", (F.col("service_legal") == 1) & (F.col("service_cm") == 1)),
         ("hd_rct", rct),
-        ("rjcc", ci_contains(program, "rjcc")),
-        ("crws", ci_contains(comments, "crws") | ci_contains(grant, "crws")),
-        ("vp", ci_eq(grant, "IDHS VP") | ci_eq(grant, "JAC HD")),
+        ("rjcc", ci_contains(program, fv.RJCC_PROGRAM)),
+        ("crws", ci_contains(comments, fv.CRWS_TEXT) | ci_contains(grant, fv.CRWS_TEXT)),
+        ("vp", vp_grant | hd_grant),
     ]
 
 

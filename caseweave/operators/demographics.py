@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseweave.functions.aggregates import best_row
@@ -110,11 +111,20 @@ def dem_recent_address_neighborhood(
         order = [primary, entered, -known, -F.col("address_id")]
         best = best_row(neighborhoods, PID, order).join(people, PID, "left_semi")
         return best.select(*out, F.lit(1).alias("rn"))
-    places = spread_join(neighborhoods, people, PID, hot=hot)
-    numbered = numbered_rows(
-        places,
-        PID,
-        coarse={"primary": primary, "entered": entered},
-        fine=[known.asc(), F.col("address_id").asc()],
-    )
-    return numbered.select(*out, "rn")
+    fine = [known.asc(), F.col("address_id").asc()]
+
+    def in_parts(places: DataFrame) -> DataFrame:
+        coarse = {"primary": primary, "entered": entered}
+        return numbered_rows(places, PID, coarse, fine).select(*out, "rn")
+
+    if hot is None:
+        return in_parts(spread_join(neighborhoods, people, PID))
+    # a person's places are numbered by one sort, unless they are known to be very many
+    order = [primary.desc_nulls_last(), entered.desc_nulls_last(), *fine]
+    number = F.row_number().over(W.partitionBy(PID).orderBy(*order))
+    usual = neighborhoods if hot.none else neighborhoods.join(hot.sent, PID, "left_anti")
+    numbered = usual.join(people, PID, "left_semi").withColumn("rn", number).select(*out, "rn")
+    if hot.none:
+        return numbered
+    many = neighborhoods.join(hot.sent, PID, "left_semi")
+    return numbered.unionByName(in_parts(spread_join(many, people, PID, hot=hot)))

@@ -125,6 +125,20 @@ def legal_in_custody_links(
 _INVOLVED = [PID, "linkages_made", "linkages_started", "successful", "unsuccessful"]
 
 
+def _outcomes(cohort: Q, legal: DataFrame, window: ReportWindow) -> DataFrame:
+    """One row per cohort participant and outcome in the window."""
+    return (
+        legal.where(window.has("case_outcome_date"))
+        .join(as_cohort(cohort).people(), PID, "left_semi")
+        .groupBy(PID, "case_outcome")
+        .agg(
+            concat_distinct("class_prior_to_plea_trial", ", ").alias("charge"),
+            concat_distinct("case_type", ", ").alias("case_type"),
+            concat_distinct("sentence", ", ").alias("sentence"),
+        )
+    )
+
+
 def legal_program_involvement_long(
     cohort: Q,
     legal: DataFrame,
@@ -134,18 +148,9 @@ def legal_program_involvement_long(
     program_timeframe: bool = False,
 ) -> DataFrame:
     """One row per participant and outcome in the window, with linkage and session counts."""
-    # linkages and sessions of others are left out before they are counted
-    concerned = as_cohort(cohort).people()
-    outcomes = (
-        legal.where(window.has("case_outcome_date"))
-        .join(concerned, PID, "left_semi")
-        .groupBy(PID, "case_outcome")
-        .agg(
-            concat_distinct("class_prior_to_plea_trial", ", ").alias("charge"),
-            concat_distinct("case_type", ", ").alias("case_type"),
-            concat_distinct("sentence", ", ").alias("sentence"),
-        )
-    )
+    # cohort people are looked up once, with the outcomes; linkages and sessions shrink to
+    # a row per person on their own
+    outcomes = _outcomes(cohort, legal, window)
     text = F.when(
         ci_starts("case_outcome", "plead"),
         F.concat(F.col("case_outcome"), F.lit(" - "), F.col("sentence")),
@@ -156,7 +161,6 @@ def legal_program_involvement_long(
 
     links = (
         linkages.where(ci_eq("hub_initiated", "yes"))
-        .join(concerned, PID, "left_semi")
         .groupBy(PID)
         .agg(
             F.count(flag(counted("linked_date"))).alias("linkages_made"),
@@ -164,9 +168,7 @@ def legal_program_involvement_long(
         )
     )
     contacts = distinct_flags(
-        case_sessions.where(sess.of_kind("cm") & counted("session_date")).join(
-            concerned, PID, "left_semi"
-        ),
+        case_sessions.where(sess.of_kind("cm") & counted("session_date")),
         [PID],
         "case_session_id",
         {"successful": sess.successful(), "unsuccessful": sess.unsuccessful()},
@@ -213,14 +215,21 @@ def legal_program_involvement_wide(
     linkages: DataFrame,
     case_sessions: DataFrame,
     window: ReportWindow,
-    slots: int,
+    slots: int | None = None,
     program_timeframe: bool = False,
 ) -> DataFrame:
     """The outcomes side by side: charge_1, case_type_1, case_outcome_1, charge_2, …
 
-    A view of ``legal_program_involvement`` for a fixed number of column groups. A
-    participant with more outcomes stops the query, whichever of them is read.
+    Without ``slots`` there are as many column groups as the participant with the most
+    outcomes needs: a first job counts outcomes per participant, which needs neither
+    linkages nor sessions, and the columns are made by its answer. With ``slots`` their
+    number is fixed, and a participant with more outcomes stops the query, whichever of
+    them is read.
     """
+    if slots is None:
+        outcomes = _outcomes(cohort, legal, window).select(PID, "case_outcome")
+        per_person = outcomes.groupBy(PID).agg(F.count(F.lit(1)).alias("n"))
+        slots = per_person.agg(F.max("n")).first()[0] or 0
     found = legal_program_involvement(
         cohort, legal, linkages, case_sessions, window, program_timeframe
     )

@@ -89,8 +89,8 @@ def program_flags() -> dict[str, Column]:
         "juv_div": F.col("cm_juv_divert") == 1,
         "rjcc": F.col("rjcc") == 1,
         "scan": F.col("cm_scan") == 1,
-        "jac": ci_contains(grant, "JAC"),
-        "idhs": (F.col("vp") == 1) & ci_contains(grant, "IDHS"),
+        "jac": ci_contains(grant, fv.JAC_TEXT),
+        "idhs": (F.col("vp") == 1) & ci_contains(grant, fv.IDHS_TEXT),
     }
 
 

@@ -141,3 +141,45 @@ def test_fixed_order_with_nulls(spark):
     assert ranked == ["HIGH", "low", "z", None]
     first = agg.order_by_rank(df, "v", ["high", "low"], nulls_first=True)
     assert [r.v for r in first.collect()] == [None, "HIGH", "low", "z"]
+
+
+def test_folded_spellings(spark, rows):
+    from caseweave.functions.aggregates import distinct_flags
+    from caseweave.functions.categories import folded
+
+    spelled = [("Niño", 1), ("nino  ", 1), ("NINO", 2), ("nina", 3), (None, 4), (" nino", 5), ("", 6)]
+    df = spark.createDataFrame(spelled, "area string, id long")
+    got = folded(df, ["area"], ["area"], {"n": F.count(F.lit(1))})
+    assert got.schema["area"].dataType.simpleString() == "string"
+    assert rows(got) == [(None, 1), ("", 1), (" nino", 1), ("NINO", 3), ("nina", 1)]
+    # one id with two spellings counts once
+    flags = {"low": F.col("id") < 3, "all": F.lit(True)}
+    counted = distinct_flags(df, ["area"], "id", flags, ["area"])
+    assert rows(counted) == [
+        (None, 0, 1), ("", 0, 1), (" nino", 0, 1), ("NINO", 2, 2), ("nina", 0, 1),
+    ]
+
+
+def test_looked_up(spark, rows):
+    from caseweave.functions import joins
+
+    ranks = spark.createDataFrame(
+        [("Low", 1), ("HIGH", 3), ("high", 2), (None, 9), ("none", None)], "name string, ranking int"
+    )
+    df = spark.createDataFrame([("low",), ("High",), ("none",), ("x",), (None,)], "v string")
+    got = df.select("v", joins.looked_up(ranks, "name", "ranking", F.col("v")).alias("r"))
+    assert rows(got) == [(None, None), ("High", 3), ("low", 1), ("none", None), ("x", None)]
+    nothing = df.select(joins.looked_up(ranks.where("false"), "name", "ranking", F.col("v")).alias("r"))
+    assert set(nothing.collect()) == {(None,)}
+
+
+def test_a_lookup_is_small(spark, monkeypatch):
+    from caseweave.functions import joins
+
+    monkeypatch.setattr(joins, "MAX_LOOKUP", 10)
+    many = spark.range(12).selectExpr("cast(id as string) AS name", "cast(id as int) AS ranking")
+    df = many.select(joins.looked_up(many, "name", "ranking", F.col("name")).alias("r"))
+    with pytest.raises(Exception, match="more than 10 texts"):
+        df.collect()
+    few = many.where("ranking < 10")
+    assert many.select(joins.looked_up(few, "name", "ranking", F.col("name")).alias("r")).count() == 12

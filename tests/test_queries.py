@@ -244,6 +244,17 @@ def test_involvement_side_by_side(run):
             run(wide, people, {"slots": 1}, legal=cases, columns=["participant_id", column])
 
 
+def test_involvement_as_wide_as_the_data(run):
+    wide = "legal_program_involvement_wide"
+    cases = [outcome(i, f"A{i:02}") for i in range(1, 13)] + [outcome(20, "B", 2), outcome(21, "C", 9)]
+    got = run(wide, [member(1), member(2)], legal=cases,
+              columns=["participant_id", "case_outcome_1", "case_outcome_12", "n_cases"])
+    assert got == [(1, "A01", "A12", 12), (2, "B", None, 1)]
+    with pytest.raises(Exception, match="case_outcome_13"):
+        run(wide, [member(1)], legal=cases, columns=["case_outcome_13"])
+    assert run(wide, [member(3)], legal=cases, columns=["participant_id", "n_cases"]) == []
+
+
 # -- linkages -----------------------------------------------------------------
 
 

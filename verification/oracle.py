@@ -343,6 +343,15 @@ FROM (SELECT *, row_number() OVER (PARTITION BY participant_id ORDER BY {IN_ORDE
   FROM ({involvement(False)}) x) y GROUP BY {INVOLVED}"""
 
 
+def involvement_widest() -> str:
+    cell = " || '|' || ".join(f"coalesce({p}[i], '-')" for p in ("charge", "case_type", "case_outcome"))
+    lists = ", ".join(f"list({p} ORDER BY {IN_ORDER}) AS {p}" for p in ("charge", "case_type", "case_outcome"))
+    return f"""SELECT participant_id, n_cases, n_slots,
+  array_to_string(list_transform(range(1, n_slots + 1), lambda i: {cell}), '|') AS cells
+FROM (SELECT *, max(n_cases) OVER () AS n_slots FROM (
+  SELECT participant_id, count(*) AS n_cases, {lists} FROM ({involvement(False)}) x GROUP BY participant_id) y) z"""
+
+
 def reduction(timed: bool) -> str:
     scope = f"AND l.case_outcome_date {IN}" if timed else ""
     return f"""SELECT felony, count(*) AS n FROM (
@@ -705,6 +714,7 @@ WHERE t.trunc_date = (SELECT max(m.trunc_date) FROM fx_trunc_legal m WHERE m.par
     "legal_program_involvement": involvement_text(False),
     "legal_program_involvement_timeframe": involvement_text(True),
     "legal_program_involvement_wide": involvement_wide(8),
+    "legal_program_involvement_widest": involvement_widest(),
     "legal_fel_reduction": reduction(True),
     "legal_fel_reduction_all": reduction(False),
     "legal_case_outcomes": outcomes(True),
