@@ -7,9 +7,17 @@ non-negative unbiased risk
     prior * E_good[loss(+)] + max(0, E_unlabelled[loss(-)] - prior * E_good[loss(-)])
 
 whose second part stands for the risk on bad documents, none of which is seen as such.
-The prior, the share of good documents among the unlabelled, is estimated from a first
-model that tells the two samples apart: where only good documents are, the density
-ratio of good to unlabelled documents is 1 / prior.
+With the logistic loss this is the greater of two convex functions of the weights:
+without the second part, and without the max, where it is linear in the good documents.
+So it has one minimum, which Newton's method finds: that of the second function if its
+second part is not negative there, else the point on the way between the two at which
+the second part is zero.
+
+Sums over unlabelled documents are Spark aggregates over all of them, for every step;
+trusted good documents are a bounded sample. The prior, the share of good documents
+among the unlabelled, is estimated from a first model that tells the two samples apart:
+where only good documents are, the density ratio of good to unlabelled documents is
+1 / prior.
 """
 
 from __future__ import annotations
@@ -17,32 +25,40 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from caseweave.llm.common import Columns, map_columns, prepare
+from caseweave.llm.common import Columns, map_columns, materialise, prepare
 from caseweave.llm.memo import Memo
-from caseweave.llm.samples import fold, labelled, unlabelled
+from caseweave.llm.samples import fold, labelled
 
-# Bounds of the fit: trusted good documents, and unlabelled ones.
-POSITIVES, UNLABELLED = 8000, 16000
+# Bound of the fit: trusted good documents.
+POSITIVES = 8000
 
 FOLDS, HELD_OUT_FOLD = 4, 2
 PREDICT_AT = 0.7
 SHAPES = 256
 MEASURES = 12
-STEPS, RATE = 1500, 0.03
-# Weight decay in documents: it fades as the sample grows.
-DECAY_PRIOR, DECAY_RISK = 10.0, 0.3
-BATCH_GOOD, BATCH_OTHER = 512, 1024
+# Weight decay of the model and of the one that estimates the prior. It does not depend on
+# the number of documents, nor do verdicts, but for what the sample itself changes.
+DECAY, DECAY_PRIOR = 0.15, 0.005
+# A fit ends when no part of the gradient is larger than this.
+GRADIENT = 1e-6
+MOST_STEPS = 40
+# Tolerance of the second part of the risk where it has to be zero, and halvings for it.
+ZERO_RISK, HALVINGS = 1e-3, 12
 PRIOR_RANGE = (0.05, 0.98)
+# Tasks that add up what all tasks found; each adds one found table at a time.
+ADDERS = 8
 
 _RUN = re.compile(r"(.)\1+")
-_SIGNS = 24  # longest word whose shape is looked at whole
 
 
 @dataclass(frozen=True)
@@ -62,9 +78,7 @@ class QualityModel:
 
 def _shape(word: str) -> int:
     """Bucket of a word's shape: letters, capitals and digits as classes, other signs
-    as they are, runs of one class as one. Very long words count by their length."""
-    if len(word) > _SIGNS * 4:
-        return zlib.crc32(b"long") % SHAPES
+    as they are, runs of one class as one."""
     classes = "".join(
         ("A" if c.isupper() else "a") if c.isalpha() else "0" if c.isdigit() else c for c in word
     )
@@ -120,8 +134,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(fold(doc_id, FOLDS) == HELD_OUT_FOLD, F.lit(False))
 
 
-def _features(sample: DataFrame) -> np.ndarray:
-    """Feature rows of a bounded sample, on the driver."""
+FEATURES = MEASURES + SHAPES
+
+
+def feature_table(docs: DataFrame) -> DataFrame:
+    """doc_id, features per row, computed once in the shared folder."""
 
     def start() -> Callable[[Columns], Columns]:
         reader = FeatureReader()
@@ -130,105 +147,234 @@ def _features(sample: DataFrame) -> np.ndarray:
             "features": [reader.read(t) for t in batch["text"]],
         }
 
-    rows = map_columns(sample.select("doc_id", "text"), start, "doc_id long, features array<float>")
-    found = rows.orderBy("doc_id").toPandas()["features"].tolist()
-    return np.array(found, dtype=np.float32).reshape(len(found), MEASURES + SHAPES)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return materialise(map_columns(rows, start, "doc_id long, features array<float>"), "features")
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("features").flatten().to_numpy().reshape(-1, FEATURES)
+
+
+def _added(features: DataFrame, part: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
+    """Sum of ``part`` (an array of ``size`` numbers) over all batches of rows.
+
+    Every task hands on one array; a few tasks add these one by one, and the driver adds
+    their sums, so no place holds more than a few arrays at a time.
+    """
+    schema = to_arrow_schema(StructType.fromDDL("sums binary"))
+
+    def row(total: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"sums": [total.tobytes()]}, schema=schema)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            if batch.num_rows:
+                total += part(_matrix(batch))
+        yield row(total)
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for raw in batch.column("sums").to_pylist():
+                total += np.frombuffer(raw)
+        yield row(total)
+
+    found = features.select("features").mapInArrow(first, "sums binary")
+    found = found.repartition(ADDERS).mapInArrow(again, "sums binary")
+    return sum((np.frombuffer(r["sums"]) for r in found.collect()), np.zeros(size))
 
 
 def _sigmoid(odds: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
 
 
-def _minimise(
-    good: np.ndarray, other: np.ndarray, prior: float, non_negative: bool, decay: float
-) -> np.ndarray:
-    """Weights by Adam over seeded mini-batches, the mean of the last half of the steps."""
-    draw = np.random.default_rng(0)
-    good = np.hstack([good, np.ones((len(good), 1))]).astype(np.float32)
-    other = np.hstack([other, np.ones((len(other), 1))]).astype(np.float32)
-    weights = np.zeros(good.shape[1])
-    first, second, mean = np.zeros_like(weights), np.zeros_like(weights), np.zeros_like(weights)
-    for step in range(1, STEPS + 1):
-        x_good = good[draw.integers(0, len(good), BATCH_GOOD)]
-        x_other = other[draw.integers(0, len(other), BATCH_OTHER)]
-        odds_good, odds_other = x_good @ weights, x_other @ weights
-        yes_good, yes_other = _sigmoid(odds_good), _sigmoid(odds_other)
-        plus = (yes_good - 1) @ x_good / BATCH_GOOD  # gradient of E_good[loss(+)]
-        minus_good = yes_good @ x_good / BATCH_GOOD
-        minus_other = yes_other @ x_other / BATCH_OTHER
-        if not non_negative:
-            gradient = plus + minus_other
-        else:
-            loss_good = np.logaddexp(0, odds_good).mean()
-            loss_other = np.logaddexp(0, odds_other).mean()
-            negative = minus_other - prior * minus_good
-            # where the part falls below zero it is stepped back from
-            above = loss_other - prior * loss_good >= 0
-            gradient = prior * plus + negative if above else -negative
-        gradient = gradient + decay / len(good) * weights
-        first = 0.9 * first + 0.1 * gradient
-        second = 0.999 * second + 0.001 * gradient**2
-        weights = weights - RATE * (first / (1 - 0.9**step)) / (
-            np.sqrt(second / (1 - 0.999**step)) + 1e-8
-        )
-        if step > STEPS // 2:
-            mean += weights / (STEPS - STEPS // 2)
-    return mean
+def _with_one(rows: np.ndarray) -> np.ndarray:
+    return np.hstack([rows, np.ones((len(rows), 1), dtype=rows.dtype)])
 
 
-def estimate_prior(good: np.ndarray, other: np.ndarray) -> float:
-    """Share of good documents among the others, by the density ratio at good documents.
+def soft_losses(rows: np.ndarray, weights: np.ndarray, sign: int) -> np.ndarray:
+    """Sums of loss(-) (sign 1) or loss(+) (sign -1) of rows with their one, of its
+    gradient and of its second derivatives, in one array."""
+    odds = sign * (rows @ weights)
+    yes = _sigmoid(odds)
+    second = (rows.T * (yes * (1 - yes)).astype(rows.dtype)) @ rows
+    return np.concatenate(
+        ([np.logaddexp(0, odds).sum()], sign * (yes @ rows), second.ravel().astype(np.float64))
+    )
 
-    Weights are fitted on one half of the good documents and read on the other."""
-    half = len(good) // 2
-    if half < 10:
-        return 0.5
-    weights = _minimise(good[:half], other, 0.5, non_negative=False, decay=DECAY_PRIOR)
-    odds = good[half:] @ weights[:-1] + weights[-1]
-    ratio = float(np.median(np.exp(np.clip(odds, -30, 30))))
-    return float(np.clip(1 / max(ratio, 1e-9), *PRIOR_RANGE))
 
+# Means of the three over all unlabelled documents, at given weights.
+Losses = Callable[[np.ndarray], tuple[float, np.ndarray, np.ndarray]]
 
-def fit(docs: DataFrame, labels: DataFrame) -> QualityModel | None:
-    """The model from rows outside the held-out fold; None without good or other documents.
 
-    The driver holds the features of at most about POSITIVES + UNLABELLED documents.
-    Labels of bad documents are not read.
-    """
-    prepare(docs.sparkSession)
-    seen = ~held_out(F.col("doc_id"))
-    trusted = labelled(docs, labels, "quality", POSITIVES, seen & (F.col("quality") == 1))
-    good = _features(trusted)
-    other = _features(unlabelled(docs, UNLABELLED, seen))
-    if not len(good) or not len(other):
-        return None
-    centre = other.mean(axis=0)
-    spread = other.std(axis=0) + 0.05
-    good, other = (good - centre) / spread, (other - centre) / spread
-    prior = estimate_prior(good, other)
-    weights = _minimise(good, other, prior, non_negative=True, decay=DECAY_RISK)
-    return QualityModel(centre, spread, weights, prior)
+def _split(sums: np.ndarray, n: int) -> tuple[float, np.ndarray, np.ndarray]:
+    size = int(np.sqrt(len(sums)))  # 1 + size + size ** 2 numbers
+    return sums[0] / n, sums[1 : 1 + size] / n, sums[1 + size :].reshape(size, size) / n
 
 
-def score_quality(docs: DataFrame, model: QualityModel | None) -> DataFrame:
-    """doc_id, held_out, score, predicted per row. A NULL text counts as empty; it has
-    the score of a text without words. Without a model every score is 0."""
+def losses_of(rows: np.ndarray, sign: int = 1) -> Losses:
+    """Means over rows that are at hand."""
+    return lambda weights: _split(soft_losses(rows, weights, sign), len(rows))
 
-    def start() -> Callable[[Columns], Columns]:
-        reader = FeatureReader()
 
-        def run(batch: Columns) -> Columns:
-            if model and batch["text"]:
-                rows = np.stack([reader.read(t) for t in batch["text"]]).astype(np.float64)
-                scores = model.probabilities(rows).tolist()
-            else:
-                scores = [0.0] * len(batch["text"])
-            return {"doc_id": batch["doc_id"], "score": scores}
+def losses_over(features: DataFrame, n: int, centre: np.ndarray, spread: np.ndarray) -> Losses:
+    """Means over a table of n rows."""
 
-        return run
+    def means(weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        def part(rows: np.ndarray) -> np.ndarray:
+            scaled = _with_one(((rows - centre) / spread).astype(np.float32))
+            return soft_losses(scaled, weights, 1)
 
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return map_columns(rows, start, "doc_id long, score double").select(
+        size = FEATURES + 1
+        return _split(_added(features, part, 1 + size + size * size), n)
+
+    return means
+
+
+def minimise(
+    terms: list[tuple[float, Losses]], linear: np.ndarray, decay: float, start: np.ndarray
+) -> np.ndarray:
+    """Weights at the minimum of a weighted sum of losses, a linear part and the decay.
+
+    Newton steps, halved while they lead upwards. The last weight, the offset, decays
+    hardly at all."""
+    shrink = np.full(len(start), decay)
+    shrink[-1] = 1e-6
+
+    def at(weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        value = linear @ weights + 0.5 * shrink @ weights**2
+        slope, second = linear + shrink * weights, np.diag(shrink)
+        for share, losses in terms:
+            loss, gradient, curves = losses(weights)
+            value += share * loss
+            slope = slope + share * gradient
+            second = second + share * curves
+        return value, slope, second
+
+    weights = start
+    value, slope, second = at(weights)
+    for _ in range(MOST_STEPS):
+        if np.abs(slope).max() <= GRADIENT:
+            break
+        step = np.linalg.solve(second, slope)
+        for _ in range(MOST_STEPS):
+            found = at(weights - step)
+            if found[0] <= value + 1e-9:
+                break
+            step = step / 2
+        weights = weights - step
+        value, slope, second = found
+    return weights
+
+
+def least_risk(good: np.ndarray, other: Losses, prior: float, decay: float = DECAY) -> np.ndarray:
+    """Weights of the least non-negative risk; ``good`` are rows with their one."""
+    towards = -prior * good.mean(axis=0)
+    on_good, on_others = losses_of(good, -1), losses_of(good, 1)
+
+    def between(share: float, start: np.ndarray) -> np.ndarray:
+        """The minimum between the function without the second part (0) and with it (1)."""
+        terms = [(share, other), ((1 - share) * prior, on_good)]
+        return minimise(terms, share * towards, decay, start)
+
+    def bad_part(weights: np.ndarray) -> float:
+        return other(weights)[0] - prior * on_others(weights)[0]
+
+    weights = between(1.0, np.zeros(good.shape[1]))
+    if bad_part(weights) >= 0:
+        return weights
+    low, high = 1.0, 1.0
+    for _ in range(HALVINGS):  # a share at which the part is not negative
+        low = low / 8
+        weights = between(low, weights)
+        part = bad_part(weights)
+        if part >= 0:
+            break
+        high = low
+    for _ in range(HALVINGS):
+        if abs(part) <= ZERO_RISK:
+            break
+        share = np.sqrt(low * high)
+        weights = between(share, weights)
+        part = bad_part(weights)
+        low, high = (low, share) if part < 0 else (share, high)
+    return weights
+
+
+def _without(losses: Losses, n: int, rows: np.ndarray) -> Losses:
+    """Means over n rows without some of them, which are at hand."""
+    some = losses_of(rows)
+
+    def means(weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        pairs = zip(losses(weights), some(weights), strict=True)
+        return tuple((n * a - len(rows) * b) / (n - len(rows)) for a, b in pairs)
+
+    return means
+
+
+def estimate_prior(good: np.ndarray, other: Losses, n: int) -> float:
+    """Share of good documents among the n others, by the density ratio at good documents.
+
+    Weights are fitted on one half of the good documents and read on the other half, which
+    is left out of the others meanwhile: a model that saw it among them would know it.
+    Rows have their one."""
+    half = len(good) // 2
+    if half < 10 or n <= len(good):
+        return 0.5
+    fitted, read = good[:half], good[half:]
+    terms = [(1.0, losses_of(fitted, -1)), (1.0, _without(other, n, read))]
+    nothing = np.zeros(good.shape[1])
+    weights = minimise(terms, nothing, DECAY_PRIOR, nothing)
+    ratio = float(np.median(np.exp(np.clip(read @ weights, -30, 30))))
+    share = min(1 / max(ratio, 1e-9), 1.0)
+    whole = (share * (n - len(read)) + len(read)) / n
+    return float(np.clip(whole, *PRIOR_RANGE))
+
+
+def fit(features: DataFrame, labels: DataFrame) -> QualityModel | None:
+    """The model from rows outside the held-out fold; None without good or other documents.
+
+    The driver holds the features of at most about POSITIVES documents. Labels of bad
+    documents are not read.
+    """
+    seen = ~held_out(F.col("doc_id"))
+    trusted = labelled(
+        features, labels, "quality", POSITIVES, seen & (F.col("quality") == 1), content="features"
+    )
+    rows = trusted.orderBy("doc_id").select("features").toArrow()
+    good = np.array(rows["features"].to_pylist(), dtype=np.float64).reshape(-1, FEATURES)
+    others = features.where(seen)
+    sums = _added(
+        others,
+        lambda x: np.concatenate(
+            ([len(x)], x.sum(axis=0, dtype=np.float64), (x.astype(np.float64) ** 2).sum(axis=0))
+        ),
+        1 + 2 * FEATURES,
+    )
+    n = int(sums[0])
+    if not len(good) or not n:
+        return None
+    centre = sums[1 : 1 + FEATURES] / n
+    spread = np.sqrt(np.maximum(sums[1 + FEATURES :] / n - centre**2, 0)) + 0.05
+    good = _with_one((good - centre) / spread)
+    other = losses_over(others, n, centre, spread)
+    prior = estimate_prior(good, other, n)
+    return QualityModel(centre, spread, least_risk(good, other, prior), prior)
+
+
+def _scored(features: DataFrame, model: QualityModel | None) -> DataFrame:
+    schema = "doc_id long, score double"
+    target = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            scores = np.zeros(n) if model is None else model.probabilities(_matrix(batch))
+            columns = {"doc_id": batch.column("doc_id"), "score": pa.array(scores, pa.float64())}
+            yield pa.RecordBatch.from_pydict(columns, schema=target)
+
+    return features.mapInArrow(run, schema).select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         "score",
@@ -236,6 +382,15 @@ def score_quality(docs: DataFrame, model: QualityModel | None) -> DataFrame:
     )
 
 
+def score_quality(docs: DataFrame, model: QualityModel | None) -> DataFrame:
+    """doc_id, held_out, score, predicted per row. A NULL text counts as empty; it has
+    the score of a text without words. Without a model every score is 0."""
+    prepare(docs.sparkSession)
+    return _scored(feature_table(docs), model)
+
+
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted."""
-    return score_quality(docs, fit(docs, labels))
+    """One row per document: doc_id, held_out, score, predicted. Texts are read once."""
+    prepare(docs.sparkSession)
+    features = feature_table(docs)
+    return _scored(features, fit(features, labels))

@@ -29,9 +29,15 @@ def _weighed(rows: DataFrame, limit: int, seed: int) -> DataFrame:
 
 
 def labelled(
-    docs: DataFrame, labels: DataFrame, column: str, limit: int, taken: Column, seed: int = 1
+    docs: DataFrame,
+    labels: DataFrame,
+    column: str,
+    limit: int,
+    taken: Column,
+    seed: int = 1,
+    content: str = "text",
 ) -> DataFrame:
-    """doc_id, text, label, stands_for of at most about `limit` documents per label.
+    """doc_id, text (or another content), label, stands_for of at most about `limit` documents per label.
 
     Only labels for which `taken` holds are read. The ids are broadcast: there are
     at most about 2 * limit of them, whatever the size of the tables. A document with
@@ -46,12 +52,5 @@ def labelled(
     ids = _weighed(known.where("label = 0"), limit, seed).unionByName(
         _weighed(known.where("label = 1"), limit, seed)
     )
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
-        F.broadcast(ids), "doc_id"
-    )
-
-
-def unlabelled(docs: DataFrame, limit: int, taken: Column, seed: int = 2) -> DataFrame:
-    """doc_id, text of at most about `limit` documents for which `taken` holds."""
-    rows = docs.where(taken).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return _thinned(rows, limit, seed)
+    known = F.coalesce("text", F.lit("")) if content == "text" else F.col(content)
+    return docs.select("doc_id", known.alias(content)).join(F.broadcast(ids), "doc_id")
