@@ -2,9 +2,11 @@
 
 Notices are found by diagonal voting: the rolling hashes of GRAM words of every
 text are joined to the positions of the same grams in the notices; a match votes
-for its offset (word position less notice position). Votes are counted by offset,
-neighbouring offsets (words added or left out) are merged, and a merged span counts
-if enough of the notice's grams voted and it is about as long as the notice.
+for its offset (word position less notice position). Around every offset with votes
+the neighbouring ones (words added or left out) are merged to a span, which so is about
+as long as the notice, whatever else of it stands nearby. A span is verified by its
+words: each gram of the notice counts once, at its place nearest to the offset, and only
+if it stands behind the grams before it. The best span of a notice is taken.
 
 The notices are constants of the library, so their table has a fixed size and is
 broadcast. Texts are not shuffled: only votes and per-document counts are.
@@ -24,8 +26,6 @@ from caseweave.llm.license_texts import NOTICES, PHRASES
 GRAM = 3
 DRIFT = 3
 COVERAGE = 0.6
-STRETCH = 1.25
-STRETCH_WORDS = 3
 
 # Fixed value: everything in ASCII but digits and lower-case letters ends a word.
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -89,36 +89,75 @@ def notice_spans(docs: DataFrame) -> DataFrame:
         F.xxhash64("text").alias("print"),
         _words(_normal(F.col("text"))).alias("words"),
     ).select("doc_id", "print", F.posexplode(_rolling(F.col("words"), GRAM)).alias("pos", "gram"))
-    votes = (
-        grams.join(F.broadcast(notice_grams(docs.sparkSession)), "gram")
-        .withColumn("offset", F.col("pos") - F.col("at"))
-        .groupBy("doc_id", "print", "notice", "label", "notice_words", "n_grams", "offset", "at")
-        .agg(F.min("pos").alias("pos"))
+    votes = grams.join(F.broadcast(notice_grams(docs.sparkSession)), "gram").withColumn(
+        "offset", F.col("pos") - F.col("at")
     )
-    diagonals = votes.groupBy(
-        "doc_id", "print", "notice", "label", "notice_words", "n_grams", "offset"
-    ).agg(
-        F.count(F.lit(1)).alias("votes"),
-        F.min("pos").alias("first"),
-        F.max("pos").alias("last"),
+    diagonals = votes.groupBy("doc_id", "print", "notice", "label", "n_grams", "offset").agg(
+        F.collect_set("at").alias("places")
     )
-    in_notice = Window.partitionBy("doc_id", "print", "notice").orderBy("offset")
-    begins = F.col("offset") - F.lag("offset").over(in_notice) > DRIFT
-    merged = (
-        diagonals.withColumn("begins", F.coalesce(begins.cast("int"), F.lit(0)))
-        .withColumn("span", F.sum("begins").over(in_notice))
-        .groupBy("doc_id", "print", "notice", "label", "notice_words", "n_grams", "span")
-        .agg(F.sum("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"))
+    near = (
+        Window.partitionBy("doc_id", "print", "notice")
+        .orderBy("offset")
+        .rangeBetween(-DRIFT, DRIFT)
     )
-    n_span = F.col("last") + GRAM - F.col("first")
-    return (
-        merged.withColumn("n_span", n_span)
-        .withColumn("coverage", F.least(F.lit(1.0), F.col("votes") / F.col("n_grams")))
-        .where(F.col("coverage") >= COVERAGE)
-        .where(F.col("n_span") <= STRETCH * F.col("notice_words") + STRETCH_WORDS)
-        .select("doc_id", "print", "label", F.col("first").alias("first_word"), "n_span", "coverage")
+    enough = F.ceil(F.lit(COVERAGE) * F.col("n_grams") - 1e-9)
+    spans = (
+        diagonals.withColumn("n_votes", F.sum(F.size("places")).over(near))
+        .withColumn("votes", F.collect_list(F.struct("offset", "places")).over(near))
+        .where(F.col("n_votes") >= enough)
+    )
+    verified = spans.withColumn("found", _in_order(F.col("votes"), F.col("offset"))).where(
+        F.col("found.n") >= enough
+    )
+    best = verified.groupBy("doc_id", "print", "notice", "label", "n_grams").agg(
+        F.max(F.struct("found.n", (-F.col("offset")).alias("left"), "found.first", "found.last"))
+        .alias("best")
+    )
+    return best.select(
+        "doc_id",
+        "print",
+        "label",
+        F.col("best.first").alias("first_word"),
+        (F.col("best.last") + GRAM - F.col("best.first")).alias("n_span"),
+        (F.col("best.n") / F.col("n_grams")).alias("coverage"),
+    )
+
+
+def _in_order(votes: Column, centre: Column) -> Column:
+    """n, first, last: notice positions of a span that stand in order, and their places.
+
+    Of several votes for a notice position the one nearest to the centre counts.
+    """
+    every = F.flatten(
+        F.transform(
+            votes,
+            lambda v: F.transform(
+                v["places"],
+                lambda at: F.struct(
+                    at.alias("at"),
+                    F.abs(v["offset"] - centre).alias("far"),
+                    v["offset"].alias("offset"),
+                ),
+            ),
+        )
     )
 
+    def kept(n: Column, at: Column, first: Column, last: Column) -> Column:
+        return F.struct(n.alias("n"), at.alias("at"), first.alias("first"), last.alias("last"))
+
+    def step(so_far: Column, vote: Column) -> Column:
+        place = vote["offset"] + vote["at"]
+        again = vote["at"] == so_far["at"]
+        behind = (so_far["n"] > 0) & (place <= so_far["last"])
+        first = F.when(so_far["n"] == 0, place).otherwise(so_far["first"])
+        skipped = kept(so_far["n"], vote["at"], so_far["first"], so_far["last"])
+        return F.when(again | behind, skipped).otherwise(
+            kept(so_far["n"] + 1, vote["at"], first, place)
+        )
+
+    nothing = kept(*(F.lit(x) for x in (0, -1, 0, 0)))
+    return F.aggregate(F.array_sort(every), nothing, step)
+
 
 def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))

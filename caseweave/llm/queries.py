@@ -12,14 +12,7 @@ from caseweave.llm.byte_pairs import token_counts
 from caseweave.llm.common import table
 from caseweave.llm.embedding_dedup import SIMILARITY, embedding_duplicates
 from caseweave.llm.fingerprints import fingerprints
-from caseweave.llm.license_scan import (
-    COVERAGE,
-    DRIFT,
-    GRAM,
-    STRETCH,
-    STRETCH_WORDS,
-    scan_licenses,
-)
+from caseweave.llm.license_scan import COVERAGE, DRIFT, scan_licenses
 from caseweave.llm.license_texts import NOTICES, PHRASES
 from caseweave.llm.mixing import FILL_ROUNDS, mix
 from caseweave.llm.near_dedup import near_duplicates
@@ -166,21 +159,21 @@ g AS (
   SELECT doc_id, unnest(list_transform(range(1, len(ws) - 1), lambda i:
       {{'pos': i - 1, 'gram': ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]}}), recursive := true)
   FROM d),
-v AS (SELECT DISTINCT doc_id, notice, label, notice_words, n_grams, pos - place AS off, pos
-      FROM g JOIN t USING (gram)),
-o AS (
-  SELECT doc_id, notice, label, notice_words, n_grams, off, count(*) AS votes,
-    min(pos) AS a, max(pos) AS b
-  FROM v GROUP BY ALL),
-s AS (SELECT *, CASE WHEN off - lag(off) OVER (PARTITION BY doc_id, notice ORDER BY off) > {DRIFT}
-      THEN 1 ELSE 0 END AS begins FROM o),
-m AS (SELECT *, sum(begins) OVER (PARTITION BY doc_id, notice ORDER BY off) AS span FROM s),
+v AS (SELECT doc_id, notice, label, n_grams, place, pos, pos - place AS off FROM g JOIN t USING (gram)),
+o AS (SELECT DISTINCT doc_id, notice, off AS centre FROM v),
+k AS (
+  SELECT v.doc_id, v.notice, label, n_grams, centre, place, arg_min(pos, (abs(off - centre), off)) AS pos
+  FROM v JOIN o ON v.doc_id = o.doc_id AND v.notice = o.notice AND abs(off - centre) <= {DRIFT}
+  GROUP BY v.doc_id, v.notice, label, n_grams, centre, place),
 c AS (
-  SELECT doc_id, label, least(1.0::DOUBLE, sum(votes)::DOUBLE / n_grams) AS coverage
-  FROM m GROUP BY doc_id, notice, label, notice_words, n_grams, span
-  HAVING least(1.0::DOUBLE, sum(votes)::DOUBLE / n_grams) >= {COVERAGE}
-    AND max(b) + {GRAM} - min(a) <= {STRETCH} * notice_words + {STRETCH_WORDS}),
-l AS (SELECT doc_id, list(DISTINCT label) AS more, max(coverage) AS coverage FROM c GROUP BY doc_id),
+  SELECT doc_id, label, list_reduce(
+      list({{'n': 1, 'last': pos}} ORDER BY place),
+      lambda a, x: CASE WHEN x.last > a.last THEN {{'n': a.n + 1, 'last': x.last}} ELSE a END).n::DOUBLE
+    / n_grams AS coverage
+  FROM k GROUP BY doc_id, notice, label, n_grams, centre),
+l AS (
+  SELECT doc_id, list(DISTINCT label) AS more, max(coverage) AS coverage FROM c
+  WHERE coverage >= {COVERAGE} - 1e-9 GROUP BY doc_id),
 p AS (
   SELECT doc_id, len(ws) AS n, list_concat({", ".join(places)}) AS spots,
     CAST(list_concat({", ".join(named)}) AS VARCHAR[]) AS base

@@ -66,6 +66,76 @@ def test_spans_have_their_place(documents):
     assert (best.first_word, best.n_span, best.coverage) == (3, 5, 1.0)
 
 
+def labels_by_words(text):
+    """Label: best share of a notice, comparing words around every place it may begin at."""
+    words = re.findall("[0-9a-z]+", (text or "").lower())
+    best = {}
+    for label, notice in NOTICES:
+        target = re.findall("[0-9a-z]+", notice.lower())
+        grams = [target[k : k + 3] for k in range(len(target) - 2)]
+        for offset in range(-len(target), len(words)):
+            starts = ((at, offset + at) for at in range(len(grams)))
+            if not any(i >= 0 and words[i : i + 3] == grams[at] for at, i in starts):
+                continue  # spans lie around offsets at which something matches
+            last = n = None
+            for at, gram in enumerate(grams):
+                nearby = sorted(range(-3, 4), key=lambda d: (abs(d), d))
+                spots = [offset + at + d for d in nearby]
+                spots = [i for i in spots if i >= 0 and words[i : i + 3] == gram]
+                if spots and (last is None or spots[0] > last):
+                    last, n = spots[0], (n or 0) + 1
+            share = (n or 0) / len(grams)
+            if share >= 0.6 - 1e-9:
+                best[label] = max(best.get(label, 0), share)
+    return best
+
+
+def test_lost_and_doubled_notices(documents):
+    rows = [
+        (1, "Released under the MIT License" + " the mit license" * 14),
+        (2, "the MIT License, the MIT License"),
+        (3, "the MIT License, the MIT License, under the MIT License"),
+        (4, " ".join(["the mit license"] * 9) + " Released under the MIT License"),
+        (5, "License MIT the under Released " * 4),
+        (6, "Licensed under the MIT License " * 5),
+    ]
+    found = {r.doc_id: (r.labels, r.score) for r in scan_licenses(documents(rows)).collect()}
+    assert found[1] == found[4] == found[6] == ("mit", 1.0)
+    assert found[2] == found[5] == ("", 0.0)
+    assert found[3] == ("mit", pytest.approx(2 / 3))
+
+
+def test_notices_match_comparison_of_words(documents):
+    draw = random.Random(8)
+    rows = []
+    for i in range(250):
+        words = []
+        for _ in range(draw.randint(1, 3)):
+            notice = re.findall("[0-9A-Za-z]+", draw.choice(NOTICES)[1])
+            for _ in range(draw.randint(0, 6)):
+                at = draw.randrange(len(notice))
+                change = draw.choice(("drop", "add", "copy", "swap"))
+                if change == "drop":
+                    del notice[at : at + draw.randint(1, 2)]
+                elif change == "add":
+                    notice.insert(at, draw.choice(("new", "the", "License")))
+                elif change == "copy":
+                    notice[at:at] = notice[max(0, at - 4) : at] * draw.randint(1, 4)
+                else:
+                    notice[at:] = notice[at:][::-1] if draw.random() < 0.2 else notice[at:]
+                notice = notice or ["the"]
+            words += notice + prose(i, draw.randint(0, 5)).split()
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id: r for r in scan_licenses(documents(rows)).collect()}
+    assert sum(bool(labels_by_words(text)) for _, text in rows) > 100
+    for i, text in rows:
+        want = labels_by_words(text)
+        more = set(got[i].labels.split(",")) - set(got[i].base_labels.split(",")) - {""}
+        assert more == set(want) - set(got[i].base_labels.split(",")), text
+        score = 1.0 if got[i].base_labels else max(want.values(), default=0.0)
+        assert got[i].score == pytest.approx(score), text
+
+
 def test_repeated_rows_and_empty_table(documents):
     text = "Licensed under CC BY-NC 4.0"
     rows = scan_licenses(documents([(1, text), (1, text), (1, "plain")])).collect()
