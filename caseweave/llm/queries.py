@@ -14,7 +14,7 @@ from caseweave.llm.embedding_dedup import SIMILARITY, embedding_duplicates
 from caseweave.llm.fingerprints import fingerprints
 from caseweave.llm.license_scan import COVERAGE, DRIFT, scan_licenses
 from caseweave.llm.license_texts import NOTICES, PHRASES
-from caseweave.llm.mixing import FILL_ROUNDS, mix
+from caseweave.llm.mixing import mix
 from caseweave.llm.near_dedup import near_duplicates
 from caseweave.llm.piece_codec import encode_decode
 from caseweave.llm.quality_classifier import quality
@@ -234,35 +234,32 @@ o0 AS (
   SELECT d.*, r.n, r.target, r.whole, r.rest, 0 AS extra
   FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)"""
 
-_OP9_ROUND = """,
-g{k} AS (SELECT source, max(rest) - sum(size * extra) AS missing FROM o{k} GROUP BY source),
-f{k} AS (
-  SELECT o{k}.*, missing, extra = 0 AND size > 0 AND size <= missing AND whole < 3 AS fits
-  FROM o{k} JOIN g{k} ON o{k}.source IS NOT DISTINCT FROM g{k}.source),
-o{j} AS (
-  SELECT * EXCLUDE (missing, fits, extra), CASE WHEN fits AND sum(size) OVER (
-    PARTITION BY source, fits ORDER BY place, doc_id ROWS UNBOUNDED PRECEDING) <= missing
-    THEN 1 ELSE extra END AS extra
-  FROM f{k})"""
-
+# One document of each source after the other, in order: each is taken if it fits.
 _OP9_END = """,
-m AS (SELECT source, max(rest) - sum(size * extra) AS missing FROM o{k} GROUP BY source),
+z AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY place, doc_id, size) AS rn
+  FROM o0 WHERE size > 0 AND whole < 3),
+k AS (
+  SELECT source, 0::BIGINT AS rn, rest AS gap, NULL::BIGINT AS doc_id, FALSE AS took FROM r
+  UNION ALL
+  SELECT k.source, z.rn, CASE WHEN z.size <= k.gap THEN k.gap - z.size ELSE k.gap END, z.doc_id,
+    z.size <= k.gap
+  FROM k JOIN z ON k.source IS NOT DISTINCT FROM z.source AND z.rn = k.rn + 1),
+m AS (SELECT source, min(gap) AS missing FROM k GROUP BY source),
+x AS (SELECT doc_id FROM k WHERE took),
 b AS (
-  SELECT o.source, arg_min(o.doc_id, (abs(o.size - m.missing), o.place, o.doc_id)) AS best
-  FROM o{k} o JOIN m ON o.source IS NOT DISTINCT FROM m.source
-  WHERE extra = 0 AND size > 0 AND whole < 3 AND abs(size - missing) < missing
-  GROUP BY o.source)
+  SELECT z.source, arg_min(z.doc_id, (abs(z.size - m.missing), z.place, z.doc_id)) AS best
+  FROM z JOIN m ON z.source IS NOT DISTINCT FROM m.source
+  WHERE z.doc_id NOT IN (SELECT doc_id FROM x) AND abs(z.size - m.missing) < m.missing
+  GROUP BY z.source)
 SELECT o.doc_id, o.size, o.n AS source_size, o.target,
-  o.size * (whole + extra + CASE WHEN b.best = o.doc_id AND extra = 0 THEN 1 ELSE 0 END)::BIGINT
+  o.size * (whole + CASE WHEN o.doc_id IN (SELECT doc_id FROM x) OR b.best = o.doc_id THEN 1 ELSE 0 END)::BIGINT
     AS taken
-FROM o{k} o LEFT JOIN b ON o.source IS NOT DISTINCT FROM b.source
+FROM o0 o LEFT JOIN b ON o.source IS NOT DISTINCT FROM b.source
 """
 
-OP9_SQL = (
-    _OP9_START
-    + "".join(_OP9_ROUND.format(k=k, j=k + 1) for k in range(FILL_ROUNDS))
-    + _OP9_END.format(k=FILL_ROUNDS)
-)
+OP9_SQL = _OP9_START.replace("WITH d AS", "WITH RECURSIVE d AS") + _OP9_END
+
 
 # A step of CRC-32 over a byte: the remainder of its lowest eight bits is the sum, by
 # exclusive or, of what each bit leaves. Fixed value: the reversed polynomial.

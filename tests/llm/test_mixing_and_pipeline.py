@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 from collections import defaultdict
@@ -7,6 +8,7 @@ from collections import defaultdict
 import pytest
 
 import corpus_pipeline
+from caseweave.llm import mixing
 from caseweave.llm.mixing import mix, mixed_documents, water_fill
 
 from .conftest import ODD, prose
@@ -71,6 +73,59 @@ def test_mix_reaches_its_targets(documents):
         assert abs(taken[source] - limits[source]) <= max(0.01 * limits[source], 2), source
 
 
+def taken_by_force(rows):
+    """Repetitions by (doc_id, size) as sorted lists: one document after the other."""
+    size, entries = defaultdict(int), defaultdict(list)
+    for doc_id, text, source in rows:
+        size[source] += words(text)
+        key = "mix-1:" + ("" if doc_id is None else str(doc_id))
+        place = int(hashlib.md5(key.encode()).hexdigest()[:15], 16)
+        entries[source].append(((place, doc_id is not None, doc_id or 0, words(text)), doc_id))
+    order = sorted(size, key=lambda s: (s is None, s or ""))
+    limits = filled([size[s] for s in order], [1 + i % 3 for i in range(len(order))], 3)
+    found = defaultdict(list)
+    for source, target in zip(order, limits, strict=True):
+        whole = min(3, int(target / size[source] + 1e-9)) if size[source] else 0
+        gap = max(0.0, target - whole * size[source])
+        documents_ = sorted(entries[source], key=lambda e: e[0])
+        extra = [0] * len(documents_)
+        for k, (at, _) in enumerate(documents_):
+            if whole < 3 and 0 < at[3] <= gap:
+                extra[k], gap = 1, gap - at[3]
+        fits = [
+            (abs(at[3] - gap), at, k) for k, (at, _) in enumerate(documents_)
+            if whole < 3 and at[3] and not extra[k] and abs(at[3] - gap) < gap
+        ]
+        if fits:
+            extra[min(fits)[2]] = 1
+        for (at, doc_id), more in zip(documents_, extra, strict=True):
+            found[doc_id, at[3]].append(whole + more)
+    return {k: sorted(v) for k, v in found.items()}
+
+
+@pytest.mark.parametrize("seed", [0, 3])
+def test_mix_matches_one_document_after_the_other(documents, monkeypatch, seed):
+    rows = corpus(seed)
+    rows += [(7000, "ten words " * 5, "equal")] * 50 + [(7001 + i, "three small words", "equal") for i in range(3)]
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 5)
+    got = defaultdict(list)
+    for r in mix(documents(rows)).collect():
+        got[r.doc_id, r.size].append(r.repetitions)
+    assert {k: sorted(v) for k, v in got.items()} == taken_by_force(rows)
+
+
+def test_equal_rows_end_near_the_target(documents):
+    """50 equal rows of 10 words: as many are repeated as the target takes."""
+    rows = [(1, "ten words " * 5, "b")] * 50 + [(10 + i, prose(i, 50), "a") for i in range(3)]
+    docs = documents(rows)
+    got = [r for r in mix(docs).collect() if r.doc_id == 1]
+    assert len(got) == 50 and len({r.repetitions for r in got}) == 2
+    assert abs(sum(r.taken for r in got) - got[0].target) <= 5
+    times = sum(r.repetitions for r in got)
+    for other in (docs, docs.repartition(7)):
+        assert mixed_documents(other).where("doc_id = 1").count() == times
+
+
 def test_reruns_and_partitions_agree(documents):
     docs = documents(corpus(1))
     one = sorted(map(str, mix(docs.repartition(7)).collect()))
