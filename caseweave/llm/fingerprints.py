@@ -2,10 +2,12 @@
 
 A rolling hash over a few bytes marks where pieces end, so that an edit only changes
 the pieces it touches. With block size b a piece ends where the rolling hash is among
-the lowest 1/b of its range; b is chosen by length, so that there are about PIECES / 2
-to PIECES pieces. A fingerprint has the piece hashes at b, 2b and 4b; two of them are
-compared at the block sizes that both have, by the edit distance (pieces put in or
-taken out) of their piece sequences.
+the lowest 1/b of its range. The length gives a first b; it is doubled while there are
+more than PIECES pieces, and halved while there are fewer than PIECES / 2 and twice as
+fine a cut has no more than PIECES. So no piece is cut short and none is left out. A
+fingerprint has the piece hashes at b, 2b and 4b; two of them are compared at the block
+sizes that both have, by the edit distance (pieces put in or taken out) of their piece
+sequences.
 """
 
 from __future__ import annotations
@@ -76,16 +78,13 @@ def _ends(hashes: np.ndarray, block: int) -> np.ndarray:
 
 def _codes(data: bytes, ends: np.ndarray) -> tuple[str, ...]:
     """Piece codes. Of a run of equal pieces RUN are kept, so that one repeated line is
-    not all of a fingerprint; the last of PIECES pieces reaches to the end of the text."""
+    not all of a fingerprint."""
     cuts = ends.tolist()
     if not cuts or cuts[-1] < len(data):
         cuts.append(len(data))
     codes: list[str] = []
     begin, run = 0, 0
     for end in cuts:
-        if len(codes) == PIECES - 1:
-            codes.append(_CODES[zlib.crc32(data[begin:]) & 0xFFF])
-            break
         code = _CODES[zlib.crc32(data[begin:end]) & 0xFFF]
         run = run + 1 if codes and codes[-1] == code else 1
         if run <= RUN:
@@ -100,16 +99,25 @@ def fingerprint(text: str) -> Fingerprint:
     if not data:
         return Fingerprint(LEAST_BLOCK, ((),) * LEVELS)
     hashes = rolling_hashes(data)
+    found: dict[int, tuple[str, ...]] = {}
+
+    def pieces(block: int) -> tuple[str, ...]:
+        if block not in found:
+            found[block] = _codes(data, _ends(hashes, block))
+        return found[block]
+
     block = LEAST_BLOCK
     while block * PIECES < len(data):
         block *= 2
-    ends = _ends(hashes, block)
-    at_ends = hashes[ends - 1]
-    levels = []
-    for doubling in range(LEVELS):
-        kept = ends[at_ends < np.uint32((1 << 32) // (block << doubling))]
-        levels.append(_codes(data, kept))
-    return Fingerprint(block, tuple(levels))
+    while len(pieces(block)) > PIECES:
+        block *= 2
+    while (
+        block > LEAST_BLOCK
+        and len(pieces(block)) < PIECES // 2
+        and len(pieces(block // 2)) <= PIECES
+    ):
+        block //= 2
+    return Fingerprint(block, tuple(pieces(block << doubling) for doubling in range(LEVELS)))
 
 
 def common_pieces(a: tuple[str, ...], b: tuple[str, ...]) -> int:

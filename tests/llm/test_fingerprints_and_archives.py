@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import io
 import random
+import zlib
 import zipfile
 
 import pytest
@@ -153,3 +154,38 @@ def test_packages_are_of_bounded_size_and_hold_payloads(spark, monkeypatch):
 
 def test_no_pages(spark):
     assert web_archive.archive_round_trip(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def plain_pieces(data, block):
+    """Piece hashes by a loop over bytes, each rolling hash worked out on its own."""
+    codes, begin = [], 0
+    for end in range(1, len(data) + 1):
+        h = sum((data[end - 1 - k] + 1) * pow(0x01000193, k, 1 << 32) for k in range(min(7, end)))
+        h &= 0xFFFFFFFF
+        h ^= h >> 15
+        h = h * 0x2C1B3C6D & 0xFFFFFFFF
+        h ^= h >> 12
+        if h < (1 << 32) // block or end == len(data):
+            codes.append(zlib.crc32(data[begin:end]) & 0xFFF)
+            begin = end
+    kept = [c for i, c in enumerate(codes) if i < 3 or codes[i - 3 : i] != [c] * 3]
+    return kept
+
+
+def test_fingerprint_matches_a_plain_loop():
+    texts = [prose(i, n) for i, n in enumerate((1, 9, 60, 300, 900, 2500))]
+    texts += ["one line again\n" * 120, "ab" * 900, "x", prose(3, 40) + "\n" * 700, "é日" * 300]
+    for text in texts:
+        data, found = text.encode(), fingerprint(text)
+        letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+        for doubling, level in enumerate(found.levels):
+            want = plain_pieces(data, found.block << doubling)
+            assert [64 * letters.index(c[0]) + letters.index(c[1]) for c in level] == want
+        assert len(found.levels[0]) <= 128  # all pieces, and not more than a fingerprint has
+        if found.block > 4 and len(found.levels[0]) < 64:
+            assert len(plain_pieces(data, found.block // 2)) > 128
+
+
+def test_few_pieces_only_where_a_text_has_no_more():
+    found = fingerprint(" ".join(f"{i} same words again and again" for i in range(400)))
+    assert 32 <= len(found.levels[0]) <= 128
