@@ -71,5 +71,7 @@ def parse_record(raw: bytes) -> Record:
     block = rest[: int(fields["content-length"])]
     if len(block) < int(fields["content-length"]):
         raise ValueError("the record is cut off")
+    if not fields.get("content-type", "").lower().startswith("application/http"):
+        return Record(fields, {}, block)
     http_head, _, payload = block.partition(_NEW_LINE * 2)
     return Record(fields, _parsed(http_head.split(_NEW_LINE)[1:]), payload)

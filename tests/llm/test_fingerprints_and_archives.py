@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import base64
+import gzip
 import hashlib
 import io
+import json
 import random
 import zlib
 import zipfile
@@ -189,3 +192,94 @@ def test_fingerprint_matches_a_plain_loop():
 def test_few_pieces_only_where_a_text_has_no_more():
     found = fingerprint(" ".join(f"{i} same words again and again" for i in range(400)))
     assert 32 <= len(found.levels[0]) <= 128
+
+
+def foreign_record(n, kind="response", payload=b"<p>hello</p>", digest=True):
+    sha = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+    fields = {
+        "WARC-Type": kind,
+        "WARC-Record-ID": f"<urn:uuid:00000000-0000-0000-0000-{n:012}>",
+        "WARC-Date": "2023-05-06T07:08:09Z",
+        "WARC-Target-URI": f"https://www.example.com/{n}",
+    }
+    if digest:
+        fields["WARC-Payload-Digest"] = f"sha1:{sha}"
+    return gzip.compress(warc.write_record(fields, len(payload), payload if kind != "revisit" else b""))
+
+
+def foreign_package(path, compressed=False):
+    """Two archive members, an index in gzip blocks with key, timestamp and base names,
+    numbers as texts and as numbers, ZIP64 headers, and a compressed list of pages."""
+    names, lines = ("one.warc.gz", "two.warc.gz"), []
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as package:
+        package.writestr("pages/pages.jsonl", "{}\n" * 500, compress_type=zipfile.ZIP_DEFLATED)
+        for k, name in enumerate(names):
+            how = zipfile.ZIP_DEFLATED if compressed and k else zipfile.ZIP_STORED
+            info = zipfile.ZipInfo(f"archive/{name}")
+            info.compress_type = how
+            with package.open(info, "w", force_zip64=True) as member:
+                at = 0
+                for n in range(10 * k, 10 * k + 10):
+                    record = foreign_record(n, "revisit" if n % 4 == 3 else "response", digest=n % 5 > 0)
+                    member.write(record)
+                    number = str if n % 2 else int
+                    entry = {"url": f"https://www.example.com/{n}", "offset": number(at),
+                             "length": number(len(record)), "filename": name}
+                    lines.append(f"com,example)/{n} 20230506070809 {json.dumps(entry)}\n")
+                    at += len(record)
+        lines.sort()
+        blocks = ["!meta 0 {\"format\": \"cdxj-gzip-1.0\"}\n", *lines]
+        zipped = b"".join(gzip.compress("".join(blocks[i : i + 6]).encode()) for i in range(0, len(blocks), 6))
+        package.writestr("indexes/index.cdx.gz", zipped)
+        package.writestr("indexes/index.idx", "com,example)/0 20230506 {\"offset\": 0}")
+        package.writestr("datapackage.json", "{}", compress_type=zipfile.ZIP_DEFLATED)
+
+
+def test_a_package_of_others_is_read(spark, tmp_path):
+    foreign_package(tmp_path / "other.wacz")
+    listed = spark.createDataFrame([(f"file://{tmp_path}/other.wacz",)], "package string")
+    got = {r.url: r for r in web_archive.read_records(listed).collect()}
+    assert sorted(got) == sorted(f"https://www.example.com/{n}" for n in range(20))
+    for n in range(20):
+        r = got[f"https://www.example.com/{n}"]
+        revisit = n % 4 == 3
+        assert (r.page_id, r.refers_to, r.record_type) == (None, None, "revisit" if revisit else "response")
+        assert r.payload_bytes == 12 and (r.payload is None) == revisit
+        if not revisit or n % 5:
+            assert r.payload_digest == hashlib.sha1(b"<p>hello</p>").hexdigest()
+
+
+def test_a_compressed_archive_is_an_error(spark, tmp_path):
+    foreign_package(tmp_path / "packed.wacz", compressed=True)
+    listed = spark.createDataFrame([(f"file://{tmp_path}/packed.wacz",)], "package string")
+    with pytest.raises(Exception, match="is compressed"):
+        web_archive.read_records(listed).collect()
+
+
+def test_own_packages_have_a_plain_index(spark, tmp_path):
+    rows = [(i, f"http://www.Example.org:8080/a b?q={i % 3}", f"page {i}") for i in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    manifest = web_archive.write_archives(pages.coalesce(1), f"file://{tmp_path}/out").collect()
+    assert len(manifest) == 1
+    with zipfile.ZipFile(manifest[0].package.removeprefix("file://")) as package:
+        lines = package.read("indexes/index.cdxj").decode().splitlines()
+        described = json.loads(package.read("datapackage.json"))
+        data = package.read("archive/data.warc.gz")
+    assert lines == sorted(lines) and len(lines) == 9
+    key, stamp, entry = lines[0].split(" ", 2)
+    assert (key, stamp) == ("org,example:8080)/a%20b?q=0", "20240101000000")
+    entry = json.loads(entry)
+    begin, size = int(entry["offset"]), int(entry["length"])
+    assert entry["filename"] == "data.warc.gz"
+    assert warc.parse_record(data[begin : begin + size]).fields["warc-target-uri"] == entry["url"]
+    assert {r["path"] for r in described["resources"]} == {"archive/data.warc.gz", "indexes/index.cdxj"}
+    assert described["resources"][0]["hash"] == "sha256:" + hashlib.sha256(data).hexdigest()
+
+
+def test_url_keys():
+    key = web_archive.url_key
+    assert key("https://www.example.com") == "com,example)/"
+    assert key("http://a.b.Example.com/X/y?Z=1") == "com,example,b,a)/x/y?z=1"
+    assert key(None) == key("") == "-"
+    assert key("no address") == "no%20address"
+    assert key("http://[broken/x y") == "http://[broken/x%20y"
