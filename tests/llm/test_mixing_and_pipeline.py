@@ -3,9 +3,11 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import public_tokenizers
 import pytest
+import sentencepiece
 
 import corpus_pipeline
 from caseweave.llm import mixing
@@ -191,3 +193,41 @@ def test_pipeline_matches_its_operators(spark):
         after = stage(spark, docs, sf_dir)
         assert {r.doc_id for r in after.select("doc_id").collect()} == verdict(docs)
         docs = spark.createDataFrame(after.collect(), docs.schema)
+
+
+def test_last_stages_match_brute_force(spark, documents):
+    """Near-duplicates, mix and pieces, one after the other, against plain Python."""
+    from .test_near_dedup import brute, changed
+
+    rows = [(i, prose(i, 30 + i % 40), draw) for i, draw in enumerate("abcab" * 12)]
+    rows += [(100 + i, rows[i][1], "c") for i in range(8)]  # exact copies
+    rows += [(200 + i, changed(rows[i][1], 0.01, i), "a") for i in range(8)]  # near ones
+    rows += [(300, "Ünïcode ▁ 日本語 😀 \n\t text", "b"), (301, None, "b"), (302, "one", None)]
+    stages = {name: stage for name, stage in corpus_pipeline.STAGES}
+    sf_dir = "/root/testdata/sf0.001"
+
+    kept = stages["near-duplicates"](spark, documents(rows), sf_dir)
+    wanted = {doc_id for doc_id, _, _, stays in brute([(i, t) for i, t, _ in rows]) if stays}
+    stay = [r for r in rows if r[0] in wanted]
+    assert sorted((r.doc_id, r.text, r.source) for r in kept.collect() if r.text) == sorted(
+        (i, t, s) for i, t, s in stay if t
+    )
+    assert len(stay) < len(rows) - 8
+
+    mixed = stages["mixing"](spark, documents(stay), sf_dir)
+    times = Counter(r.doc_id for r in mixed.collect())
+    force = taken_by_force(stay)
+    assert times == Counter({i: n[0] for (i, size), n in force.items() if size and n[0]})
+    assert max(times.values()) > 1
+
+    taken = [r for r in stay for _ in range(times[r[0]])]
+    tool = sentencepiece.SentencePieceProcessor(
+        model_file=public_tokenizers.path("piece_bpe_32k.model")
+    )
+    want = Counter()
+    for doc_id, text, _ in taken:
+        ids = tool.encode(text, add_bos=True, add_eos=True)
+        raw = b"".join(i.to_bytes(4, "little") for i in ids)
+        want[doc_id, len(ids), hashlib.sha256(raw).hexdigest()] += 1
+    found = stages["pieces"](spark, documents(taken), sf_dir).collect()
+    assert Counter((r.doc_id, r.n_tokens, r.ids_sha256) for r in found) == want
