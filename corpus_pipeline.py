@@ -49,8 +49,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("pieces", pieces_stage),
 ]
 
-# SQL has no expression for the stages that learn and encode; tests compare run() with
-# the stages worked out by brute force.
+# SQL has no expression for the stages that learn and encode. Tests compare near-duplicates,
+# mix and pieces with brute force, and run() with the stages one by one.
 ORACLE_SQL = None
 
 
