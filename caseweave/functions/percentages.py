@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,37 +34,44 @@ def percentage_convert(
     if not numeric:
         return df
 
-    # One scalar subquery serves the shares and the total row.
-    totals = df.agg(F.struct(*[F.sum(c).alias(c) for c in numeric]).alias("t")).scalar()
-    one_row = df.sparkSession.range(0, 1, 1, 1)
-    totals_row = one_row.select(*[totals.getField(c).alias(c) for c in numeric])
+    # The total row joins the report before the totals are summed, all by one window over
+    # the rows of the finished report: it is read once, and one task then holds its groups.
+    total_row = df.sparkSession.range(0, 1, 1, 1).select(
+        *[
+            F.lit(total_label if labels and f.name == labels[0] else None)
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in df.schema
+        ],
+        F.lit(True).alias("_total"),
+    )
+    everything = W.partitionBy()
+    whole = df.withColumn("_total", F.lit(False)).unionByName(total_row)
+    whole = whole.select(
+        "*",
+        *[F.sum(c).over(everything).alias(f"_sum_{c}") for c in numeric],
+        *[F.when(~F.col("_total"), c).alias(f"_s{i}") for i, c in enumerate(order)],
+    )
+    sort_keys = ["_total", *[f"_s{i}" for i in range(len(order))]]
+    ordered = whole.orderBy(*[F.col(s).asc_nulls_last() for s in sort_keys])
 
-    def share(name: str, is_total: bool) -> Column:
-        value = F.col(name)
-        if is_total:
-            return value.cast("string") if as_text else value.cast("double")
-        part = _percent(value, totals.getField(name))
-        return F.concat(part.cast("string"), F.lit("%")) if as_text else part
+    def share(name: str) -> Column:
+        value, total = F.col(name), F.col(f"_sum_{name}")
+        part = _percent(value, total)
+        if as_text:
+            text = F.concat(part.cast("string"), F.lit("%"))
+            return F.when(F.col("_total"), total.cast("string")).otherwise(text)
+        return F.when(F.col("_total"), total.cast("double")).otherwise(part)
 
-    def project(frame: DataFrame, is_total: bool) -> DataFrame:
-        out: list[Column] = [F.lit(is_total).alias("_total")]
-        out += [
-            (F.lit(None) if is_total else c).alias(f"_s{i}") for i, c in enumerate(order)
-        ]
-        for field in df.schema:
-            if field.name in numeric and replace:
-                out.append(share(field.name, is_total).alias(field.name))
-            elif field.name in numeric:
-                out.append(F.col(field.name).cast("string") if as_text else F.col(field.name))
-            elif not is_total:
-                out.append(F.col(field.name))
-            else:
-                label = F.lit(total_label) if field.name == labels[0] else F.lit(None)
-                out.append(label.cast(field.dataType).alias(field.name))
-        if not replace:
-            out += [share(name, is_total).alias(f"percentage_{name}") for name in numeric]
-        return frame.select(*out)
+    def shown(name: str) -> Column:
+        if name not in numeric:
+            return F.col(name)
+        if replace:
+            return share(name)
+        value = F.when(F.col("_total"), F.col(f"_sum_{name}")).otherwise(F.col(name))
+        return value.cast("string") if as_text else value
 
-    whole = project(df, False).unionByName(project(totals_row, True))
-    sort_keys = ["_total", *[f"_s{i}" for i in range(len(order))]]
-    return whole.orderBy(*[F.col(s).asc_nulls_last() for s in sort_keys]).drop(*sort_keys)
+    columns = [shown(f.name).alias(f.name) for f in df.schema]
+    if not replace:
+        columns += [share(name).alias(f"percentage_{name}") for name in numeric]
+    return ordered.select(*columns)
