@@ -31,12 +31,14 @@ class Memo:
         if found is None:
             found = self._old.get(key)
             if found is not None:
-                self.put(key, found)
+                self._keep(key, found)
         return found
 
     def put(self, key: Any, value: Any) -> None:
-        if _length(key) > LONGEST_KEY:
-            return
+        if (len(key) if type(key) is str else _length(key)) <= LONGEST_KEY:
+            self._keep(key, value)
+
+    def _keep(self, key: Any, value: Any) -> None:
         if len(self._new) >= self._limit:
             self._old, self._new = self._new, {}
         self._new[key] = value
